@@ -114,7 +114,7 @@ def html_to_docs(spark, sf_dir):
 def _with_wrong_first(labels: DataFrame, key: str) -> DataFrame:
     """Two rows per key, a wrong label before the right one, in file order."""
     other = F.when(F.col("label") == K.CLASSES[0], K.CLASSES[1]).otherwise(K.CLASSES[0])
-    pair = F.array(F.struct(F.lit(0).alias("n"), other.alias("label")), F.struct(F.lit(1).alias("n"), F.upper("label")))
+    pair = F.array(F.struct(F.lit(0).alias("n"), other.alias("label")), F.struct(F.lit(1).alias("n"), F.upper("label").alias("label")))
     doubled = labels.select(key, F.inline(pair))
     return doubled.repartition(key).sortWithinPartitions(key, "n").select(key, "label")
 

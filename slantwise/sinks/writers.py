@@ -58,5 +58,7 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; line breaks and quotes inside a field survive."""
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """CSV with a header; line breaks, quotes and outer blanks of a field survive."""
+    df.write.mode("overwrite").options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
