@@ -149,7 +149,7 @@ def _class_sizes(docs: DataFrame, classes: Sequence[str], label_col: str) -> Col
     return docs.agg(*counts).select(F.struct("n", *[f"n{i}" for i in range(len(classes))])).scalar()
 
 
-def _top(rows: DataFrame, group: str, score: str, top_k: int, name: str = "term") -> DataFrame:
+def top_per_group(rows: DataFrame, group: str, score: str, top_k: int, name: str = "term") -> DataFrame:
     """Best ``top_k`` rows per group with their rank; ties by name."""
     order = Window.partitionBy(group).orderBy(F.desc(score), name)
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
@@ -190,7 +190,7 @@ def chi2_phrases(
         gap = F.col(f"_w{i}") - p * F.col("_w")
         scores.append(F.round(F.try_divide(gap * gap, p * (1 - p) * F.col("_w")), ROUND))
     rows = _by_class(sums, classes, scores, ["term"]).where(F.col("score") > 0)
-    return _top(rows, "class_name", "score", top_k).select(
+    return top_per_group(rows, "class_name", "score", top_k).select(
         "class_name", "rank", F.col("term").alias("phrase"), "score"
     )
 
@@ -234,7 +234,7 @@ def mi_phrases(
         for i in range(len(classes))
     ]
     rows = _by_class(best, classes, scores, ["term"]).where(F.col("score").isNotNull())
-    return _top(rows, "class_name", "score", top_k).select(
+    return top_per_group(rows, "class_name", "score", top_k).select(
         "class_name", "rank", F.col("term").alias("phrase"), "score"
     )
 
@@ -263,6 +263,6 @@ def topic_leakage(
         .agg(F.count(F.lit(1)).alias("_df"), F.sum("tf").alias("count"))
         .where(F.col("_df") >= min_df)
     )
-    return _top(totals, "class_name", "count", min(top_k, max_features)).select(
+    return top_per_group(totals, "class_name", "count", min(top_k, max_features)).select(
         "class_name", "rank", "term", "count"
     )

@@ -4,78 +4,178 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slantwise import constants as K
+from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
-from slantwise.functions.arrays import let, value_counts
+from slantwise.functions.arrays import contiguous_ngrams, let
 from slantwise.operators.features import ROUND
 
 CLASS_DOCUMENTS = 200
 CLASS_CHARS = 50_000
 
 
-def doc_keywords(
-    docs: DataFrame,
+def _term_runs(occurrences: Column) -> Column:
+    """Runs of equal text tokens in sorted ``(term, kind, place)`` structs.
+
+    Kind 0 is an occurrence in the text, kind 1 membership in a candidate. Sorted,
+    the memberships of a term follow its occurrences, so the length of a run of
+    kind 0 is the count in the text and that of the next run the number of
+    candidates that hold the term.
+    """
+
+    def ends_run(item: Column, i: Column) -> Column:
+        following = F.get(occurrences, i + 1)
+        return following.isNull() | (following["term"] != item["term"]) | (following["kind"] != item["kind"])
+
+    ends = F.filter(
+        F.transform(occurrences, lambda item, i: F.when(ends_run(item, i), i)), lambda i: i.isNotNull()
+    )
+
+    def describe(stops: Column) -> Column:
+        def run(stop: Column, j: Column) -> Column:
+            item = F.get(occurrences, stop)
+            start = F.coalesce(F.get(stops, j - 1), F.lit(-1)) + 1
+            after = F.get(stops, j + 1)
+            held = (F.get(occurrences, after)["term"] == item["term"]) & after.isNotNull()
+            return F.when(
+                item["kind"] == 0,
+                F.struct(
+                    start.alias("start"),
+                    (stop - start + 1).alias("tf"),
+                    F.when(held, after - stop).otherwise(0).alias("held_by"),
+                    (item["place"] >= 0).alias("content"),
+                ),
+            )
+
+        return F.filter(F.transform(stops, run), lambda r: r.isNotNull())
+
+    return let(ends, describe)
+
+
+def text_keywords(
+    text: Column,
     top_k: int = 20,
     ngram_range: tuple[int, int] = K.NGRAM_RANGE,
     stop_words: Iterable[str] = K.STOP_WORDS,
-    text_col: str = "text",
-    id_col: str = "doc_id",
-) -> DataFrame:
-    """``(id, rank, keyword, score)``: the best candidates of every text.
+) -> Column:
+    """Array of ``(rank, keyword, score)`` structs, computed inside the row.
 
     Each text has a private space: the text and its distinct candidate n-grams
     are the documents, single tokens are the terms. A term's document frequency
-    is 1 (the text) plus the candidates that hold it. The texts are shuffled
-    once, by id; every later grouping and window keeps that partitioning.
+    is 1 (the text) plus the candidates that hold it. Sorting and run lengths
+    give all counts in n log n steps, and no row leaves its partition.
     """
-    spread = docs.select(id_col, F.col(text_col).alias("_text")).repartition(id_col)
-    candidates = F.array_distinct(tx.ngrams(F.col("_text"), ngram_range, stop_words))
-    numbered = let(
-        candidates,
-        lambda found: F.transform(found, lambda c: F.struct(c.alias("_cand"), F.size(found).alias("_n_cand"))),
-    )
-    # Rows of both kinds in one table: (candidate null) = the text itself.
-    text_rows = spread.select(id_col, F.inline(value_counts(tx.tokens(F.col("_text"))))).select(
-        id_col,
-        F.lit(None).cast("string").alias("_cand"),
-        F.lit(None).cast("int").alias("_n_cand"),
-        "term",
-        "tf",
-    )
-    cand_rows = (
-        spread.select(id_col, F.inline(numbered))
-        .select(id_col, "_cand", "_n_cand", F.inline(value_counts(F.split("_cand", " "))))
-    )
-    per_term = Window.partitionBy(id_col, "term")
-    per_doc = Window.partitionBy(id_col)
-    is_text = F.col("_cand").isNull()
-    text_weight = F.col("_tf_text") * F.col("_idf")
-    weighed = (
-        text_rows.unionByName(cand_rows)
-        .withColumn("_df", F.lit(1) + F.count("_cand").over(per_term))
-        .withColumn("_tf_text", F.max(F.when(is_text, F.col("tf"))).over(per_term))
-        .withColumn("_n_cand", F.max("_n_cand").over(per_doc))
-        .withColumn("_idf", F.ln((F.col("_n_cand") + 2.0) / (F.col("_df") + 1.0)) + 1.0)
-        .withColumn("_text_sq", F.sum(F.when(is_text, text_weight * text_weight)).over(per_doc))
-        .where(~is_text)
-        .withColumn("_w", F.col("tf") * F.col("_idf"))
-    )
-    scored = weighed.groupBy(id_col, "_cand").agg(
-        F.round(
-            F.sum(F.col("_w") * text_weight) / F.sqrt(F.max("_text_sq") * F.sum(F.col("_w") * F.col("_w"))), ROUND
-        ).alias("score")
-    )
-    order = Window.partitionBy(id_col).orderBy(F.desc("score"), "_cand")
-    return (
-        scored.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= top_k)
-        .select(id_col, "rank", F.col("_cand").alias("keyword"), "score")
+    low, high = ngram_range
+    stop = sorted(set(stop_words))
+
+    def is_content(token: Column) -> Column:
+        return ~token.isin(stop) if stop else F.lit(True)
+
+    def occurrence(term: Column, kind: int, place: Column) -> Column:
+        return F.struct(term.alias("term"), F.lit(kind).alias("kind"), place.cast("int").alias("place"))
+
+    def occurrences(content: Column, candidates: Column) -> Column:
+        in_text = F.transform(content, lambda t, i: occurrence(t, 0, i))
+        stops = F.transform(
+            F.filter(tx.tokens(text), lambda t: ~is_content(t)), lambda t: occurrence(t, 0, F.lit(-1))
+        )
+        held = F.flatten(
+            F.transform(
+                candidates,
+                lambda c: F.transform(F.array_distinct(F.split(c, " ")), lambda t: occurrence(t, 1, F.lit(0))),
+            )
+        )
+        return F.sort_array(F.concat(in_text, stops, held))
+
+    def ranked(content: Column, candidates: Column) -> Column:
+        n_documents = F.size(candidates) + 1
+
+        def idf(run: Column) -> Column:
+            return F.ln((n_documents + 1.0) / (run["held_by"] + 2.0)) + 1.0
+
+        def with_occurrences(sorted_items: Column) -> Column:
+            runs = F.transform(_term_runs(sorted_items), lambda r: r.withField("idf", idf(r)))
+            return let(runs, lambda r: best(r, sorted_items))
+
+        def best(runs: Column, sorted_items: Column) -> Column:
+            text_sq = F.aggregate(
+                runs, F.lit(0.0), lambda total, r: total + r["tf"] * r["idf"] * r["tf"] * r["idf"]
+            )
+            by_place = F.sort_array(
+                F.flatten(
+                    F.transform(
+                        F.filter(runs, lambda r: r["content"]),
+                        lambda r: F.transform(
+                            F.slice(sorted_items, r["start"] + 1, r["tf"]),
+                            lambda item: F.struct(
+                                item["place"].alias("place"),
+                                (r["tf"] * r["idf"] * r["idf"]).alias("dot"),
+                                (r["idf"] * r["idf"]).alias("sq"),
+                            ),
+                        ),
+                    )
+                )
+            )
+            return let(by_place, lambda weights: let(text_sq, lambda norm_sq: scored(weights, norm_sq)))
+
+        def scored(weights: Column, norm_sq: Column) -> Column:
+            def gram(n: int, start: Column) -> Column:
+                words = [F.get(content, start + k) for k in range(n)]
+                parts = [F.get(weights, start + k) for k in range(n)]
+                dot = sc.total([p["dot"] for p in parts])
+                # A token used twice in a candidate has weight 2 there, so its square counts 4 times.
+                squares = [p["sq"] for p in parts] + [
+                    F.when(words[a] == words[b], parts[a]["sq"] * 2).otherwise(0.0)
+                    for a in range(n)
+                    for b in range(a + 1, n)
+                ]
+                score = F.round(dot / F.sqrt(norm_sq * sc.total(squares)), ROUND)
+                return F.struct((-score).alias("order"), F.concat_ws(" ", *words).alias("keyword"))
+
+            def of_size(n: int) -> Column:
+                return F.transform(F.slice(content, F.lit(n), F.size(content)), lambda _, start: gram(n, start))
+
+            every = F.sort_array(F.flatten(F.array(*[of_size(n) for n in range(low, high + 1)])))
+            return let(every, top)
+
+        def top(items: Column) -> Column:
+            distinct = F.filter(
+                F.transform(
+                    items, lambda x, i: F.when((i == 0) | (F.get(items, i - 1)["keyword"] != x["keyword"]), x)
+                ),
+                lambda x: x.isNotNull(),
+            )
+            return F.transform(
+                F.slice(distinct, 1, top_k),
+                lambda x, i: F.struct(
+                    (i + 1).alias("rank"), x["keyword"].alias("keyword"), (-x["order"]).alias("score")
+                ),
+            )
+
+        return let(occurrences(content, candidates), with_occurrences)
+
+    content = F.filter(tx.tokens(text), is_content)
+    return let(
+        content,
+        lambda c: let(F.array_distinct(contiguous_ngrams(c, low, high)), lambda found: ranked(c, found)),
     )
 
 
+def doc_keywords(
+    docs: DataFrame,
+    top_k: int = 20,
+    ngram_range: tuple[int, int] = K.NGRAM_RANGE,
+    stop_words: Iterable[str] = K.STOP_WORDS,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """``(id, rank, keyword, score)``: the best candidates of every text."""
+    return docs.select(id_col, F.inline(text_keywords(F.col(text_col), top_k, ngram_range, stop_words)))
+
+
 def class_texts(
     docs: DataFrame,
     label_col: str = "label",

@@ -11,7 +11,7 @@ from slantwise import constants as K
 from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
 from slantwise.functions.arrays import contiguous_ngrams, let, value_counts
-from slantwise.operators.features import DEFAULT_ANALYZER, ROUND, Analyzer, _top, known_terms, term_counts
+from slantwise.operators.features import DEFAULT_ANALYZER, ROUND, Analyzer, known_terms, term_counts, top_per_group
 from slantwise.session import small_side
 
 
@@ -126,7 +126,7 @@ def top_coefficients(
     rows = weights.where(F.col("coef") > 0).select(
         sc.label_of(F.col("class_idx"), classes).alias("class_name"), "term", F.round("coef", ROUND).alias("coef")
     )
-    return _top(rows, "class_name", "coef", top_k).select("class_name", "rank", "term", "coef")
+    return top_per_group(rows, "class_name", "coef", top_k).select("class_name", "rank", "term", "coef")
 
 
 def explain_terms(
@@ -170,7 +170,7 @@ def explain_terms(
             (F.get(F.array(*names), F.col("_pred")) * F.col("_tfidf")).alias("_c"),
         )
     rounded = scored.withColumn("contribution", F.round("_c", ROUND)).withColumn("_size", F.abs("contribution"))
-    return _top(rounded, id_col, "_size", top_k).select(id_col, "rank", "term", "pred_label", "contribution")
+    return top_per_group(rounded, id_col, "_size", top_k).select(id_col, "rank", "term", "pred_label", "contribution")
 
 
 def leave_one_out(
@@ -196,30 +196,30 @@ def leave_one_out(
     low, high = analyzer.ngram_range
     tokens = tx.simple_tokens(F.col(text_col)) if analyzer.simple else tx.content_tokens(F.col(text_col), analyzer.stop_words)
 
-    def window(t: Column, i: Column) -> Column:
-        """Neighbourhood of token i: before, itself, after (high - 1 on each side)."""
-        start = F.greatest(i - (high - 1), F.lit(0))
-        before = F.slice(t, start + 1, i - start)
-        after = F.slice(t, i + 2, F.lit(high - 1))
-        return F.struct(before.alias("before"), after.alias("after"), F.slice(t, i + 1, F.lit(1)).alias("own"))
-
-    def changes(spot: Column) -> Column:
-        """Signed n-grams: those of the neighbourhood without token i minus those with it.
-
-        N-grams lying wholly on one side occur in both and cancel.
-        """
-        old = contiguous_ngrams(F.concat(spot["before"], spot["own"], spot["after"]), low, high)
-        new = contiguous_ngrams(F.concat(spot["before"], spot["after"]), low, high)
-        signed = F.concat(
-            F.transform(old, lambda g: F.struct(g.alias("term"), F.lit(-1).alias("step"))),
-            F.transform(new, lambda g: F.struct(g.alias("term"), F.lit(1).alias("step"))),
-        )
-        return signed
+    def joined(parts: Sequence[Column]) -> Column:
+        """One n-gram; null when a part lies outside the text."""
+        spaced = [parts[0]]
+        for part in parts[1:]:
+            spaced += [F.lit(" "), part]
+        return F.concat(*spaced)
+
+    def changes(t: Column, i: Column) -> Column:
+        """N-grams that cover token i, and those that bridge the gap it leaves."""
+        signed = []
+        for n in range(low, high + 1):
+            for before in range(n):
+                covered = [F.get(t, i - before + k) for k in range(n)]
+                signed.append(F.struct(joined(covered).alias("term"), F.lit(-1).alias("step")))
+            for before in range(1, n):
+                bridged = [F.get(t, i - before + k) for k in range(before)]
+                bridged += [F.get(t, i + 1 + k) for k in range(n - before)]
+                signed.append(F.struct(joined(bridged).alias("term"), F.lit(1).alias("step")))
+        return F.filter(F.array(*signed), lambda s: s["term"].isNotNull())
 
     def variants(t: Column) -> Column:
         spots = F.transform(
             F.slice(t, F.lit(1), F.lit(max_tokens)),
-            lambda token, i: F.struct(i.alias("position"), token.alias("token"), let(window(t, i), changes).alias("signed")),
+            lambda token, i: F.struct(i.alias("position"), token.alias("token"), changes(t, i).alias("signed")),
         )
         # A document of one token has nothing left to score.
         return F.when(F.size(t) > 1, spots).otherwise(F.slice(spots, F.lit(1), F.lit(0)))
@@ -228,40 +228,41 @@ def leave_one_out(
     names = [f"coef_{i}" for i in range(len(classes))]
     side = small_side(wide, rows)
 
-    full_terms = (
-        base.select(id_col, F.inline(value_counts(contiguous_ngrams(F.col("_tokens"), low, high))))
-        .join(side, "term")
-        .withColumn("_old", analyzer.tf_weight(F.col("tf")) * F.col("idf"))
+    known = _weighted(
+        base.select(id_col, F.inline(value_counts(contiguous_ngrams(F.col("_tokens"), low, high)))), wide, analyzer, rows
     )
-    full = full_terms.groupBy(id_col).agg(
-        F.sum(F.col("_old") * F.col("_old")).alias("_ss"),
-        *[F.sum(F.col("_old") * F.col(name)).alias(f"_dot_{i}") for i, name in enumerate(names)],
+    full = known.groupBy(id_col).agg(
+        F.count(F.lit(1)).alias("_terms"),
+        F.sum(F.col("w") * F.col("w")).alias("_ss"),
+        *[F.sum(F.col("w") * F.col(name)).alias(f"_dot_{i}") for i, name in enumerate(names)],
     )
     spots = base.select(id_col, F.inline(let(F.col("_tokens"), variants)))
+    # Only the changed terms the model knows are kept; their weights follow once
+    # equal steps have been added up.
     stepped = (
         spots.select(id_col, "position", F.inline("signed"))
-        .join(F.broadcast(wide.select("term")) if rows is not None else small_side(wide.select("term")), "term")
+        .join(side.select("term") if rows is None else F.broadcast(wide.select("term")), "term")
         .groupBy(id_col, "position", "term")
         .agg(F.sum("step").alias("_step"))
         .where(F.col("_step") != 0)
     )
-    known = full_terms.select(id_col, "term", "tf")
     new_tf = F.coalesce(F.col("tf"), F.lit(0)) + F.col("_step")
     moved = (
-        stepped.join(known, [id_col, "term"], "left")
+        stepped.join(known.select(id_col, "term", "tf"), [id_col, "term"], "left")
         .join(side, "term")
         .withColumn("_old", F.when(F.col("tf") > 0, analyzer.tf_weight(F.col("tf")) * F.col("idf")).otherwise(0.0))
         .withColumn("_new", F.when(new_tf > 0, analyzer.tf_weight(new_tf) * F.col("idf")).otherwise(0.0))
     )
+    appears = (F.col("_old") == 0) & (F.col("_new") > 0)
+    vanishes = (F.col("_old") > 0) & (F.col("_new") == 0)
     deltas = moved.groupBy(id_col, "position").agg(
         F.sum(F.col("_new") * F.col("_new") - F.col("_old") * F.col("_old")).alias("_d_ss"),
         *[F.sum((F.col("_new") - F.col("_old")) * F.col(name)).alias(f"_d_{i}") for i, name in enumerate(names)],
-        F.sum(F.when((F.col("_old") > 0) & (F.col("_new") == 0), -1).when((F.col("_old") == 0) & (F.col("_new") > 0), 1).otherwise(0)).alias("_d_terms"),
+        F.sum(F.when(vanishes, -1).when(appears, 1).otherwise(0)).alias("_d_terms"),
     )
-    n_terms = full_terms.groupBy(id_col).agg(F.count(F.lit(1)).alias("_terms"))
-    joined = (
+    joined_sums = (
         spots.select(id_col, "position", "token")
-        .join(full.join(n_terms, id_col), id_col, "left")
+        .join(full, id_col, "left")
         .join(deltas, [id_col, "position"], "left")
     )
     zero = F.lit(0.0)
@@ -279,7 +280,7 @@ def leave_one_out(
         logit(i, F.coalesce(F.col(f"_dot_{i}"), zero) + F.coalesce(F.col(f"_d_{i}"), zero), after_ss)
         for i in range(k)
     ]
-    with_logits = joined.select(
+    with_logits = joined_sums.select(
         id_col,
         "position",
         "token",
