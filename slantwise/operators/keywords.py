@@ -10,49 +10,122 @@ from pyspark.sql import functions as F
 from slantwise import constants as K
 from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
-from slantwise.functions.arrays import contiguous_ngrams, let
+from slantwise.functions.arrays import contiguous_ngrams, let, value_counts
 from slantwise.operators.features import ROUND
 
 CLASS_DOCUMENTS = 200
 CLASS_CHARS = 50_000
 
 
-def _term_runs(occurrences: Column) -> Column:
-    """Runs of equal text tokens in sorted ``(term, kind, place)`` structs.
+def _text_square(runs: Column, others: Column, n_candidates: Column) -> Column:
+    """Squared length of the text vector: content terms, then terms no candidate holds."""
+    rare_idf = F.ln((n_candidates + 2.0) / 2.0) + 1.0
+    content = F.aggregate(runs, F.lit(0.0), lambda s, r: s + r["tf"] * r["idf"] * r["tf"] * r["idf"])
+    return content + F.aggregate(others, F.lit(0.0), lambda s, o: s + o["tf"] * o["tf"]) * rare_idf * rare_idf
 
-    Kind 0 is an occurrence in the text, kind 1 membership in a candidate. Sorted,
-    the memberships of a term follow its occurrences, so the length of a run of
-    kind 0 is the count in the text and that of the next run the number of
-    candidates that hold the term.
+
+def _term_runs(placed: Column, held: Column, n_candidates: Column) -> Column:
+    """``(start, tf, idf)`` of every content term, in term order.
+
+    ``placed`` are the content tokens sorted with their places, ``held`` the
+    number of candidates per term. Every content token is in some candidate, so
+    both list the same terms in the same order.
     """
 
-    def ends_run(item: Column, i: Column) -> Column:
-        following = F.get(occurrences, i + 1)
-        return following.isNull() | (following["term"] != item["term"]) | (following["kind"] != item["kind"])
+    def run(ends: Column) -> Column:
+        def describe(end: Column, j: Column) -> Column:
+            start = F.coalesce(F.get(ends, j - 1), F.lit(-1)) + 1
+            idf = F.ln((n_candidates + 2.0) / (F.get(held, j)["tf"] + 2.0)) + 1.0
+            return F.struct(start.alias("start"), (end - start + 1).alias("tf"), idf.alias("idf"))
+
+        return F.transform(ends, describe)
+
+    def is_end(item: Column, i: Column) -> Column:
+        following = F.get(placed, i + 1)["term"]
+        return F.when(following == item["term"], F.lit(None)).otherwise(i)
+
+    return let(F.filter(F.transform(placed, is_end), lambda i: i.isNotNull()), run)
+
+
+def _weights_by_place(placed: Column, runs: Column) -> Column:
+    """Per content token, in text order: its term number and its weights."""
+
+    def spread_run(run: Column, number: Column) -> Column:
+        square = run["idf"] * run["idf"]
+        return F.transform(
+            F.slice(placed, run["start"] + 1, run["tf"]),
+            lambda item: F.struct(
+                item["place"].alias("place"),
+                number.alias("term"),
+                (run["tf"] * square).alias("dot"),
+                square.alias("sq"),
+            ),
+        )
+
+    return F.sort_array(F.flatten(F.transform(runs, spread_run)))
 
-    ends = F.filter(
-        F.transform(occurrences, lambda item, i: F.when(ends_run(item, i), i)), lambda i: i.isNotNull()
+
+def _gram_scores(weights: Column, norm_sq: Column, low: int, high: int) -> Column:
+    """``(raw, start, n)`` of every n-gram of the text."""
+
+    def scored(terms: Column, dots: Column, squares: Column) -> Column:
+        def gram(n: int, start: Column) -> Column:
+            at = [start + k for k in range(n)]
+            # A term used twice in a candidate has weight 2 there: its square counts 4 times.
+            repeats = [
+                F.when(F.get(terms, at[i]) == F.get(terms, at[j]), F.get(squares, at[i]) * 2).otherwise(0.0)
+                for i in range(n)
+                for j in range(i + 1, n)
+            ]
+            length_sq = sc.total([F.get(squares, p) for p in at] + repeats)
+            raw = sc.total([F.get(dots, p) for p in at]) / F.sqrt(norm_sq * length_sq)
+            return F.struct(raw.alias("raw"), start.alias("start"), F.lit(n).alias("n"))
+
+        def of_size(n: int) -> Column:
+            return F.transform(F.slice(terms, F.lit(n), F.size(terms)), lambda _, start: gram(n, start))
+
+        return F.flatten(F.array(*[of_size(n) for n in range(low, high + 1)]))
+
+    return let(
+        F.transform(weights, lambda w: w["term"]),
+        lambda terms: let(
+            F.transform(weights, lambda w: w["dot"]),
+            lambda dots: let(F.transform(weights, lambda w: w["sq"]), lambda squares: scored(terms, dots, squares)),
+        ),
     )
 
-    def describe(stops: Column) -> Column:
-        def run(stop: Column, j: Column) -> Column:
-            item = F.get(occurrences, stop)
-            start = F.coalesce(F.get(stops, j - 1), F.lit(-1)) + 1
-            after = F.get(stops, j + 1)
-            held = (F.get(occurrences, after)["term"] == item["term"]) & after.isNotNull()
-            return F.when(
-                item["kind"] == 0,
-                F.struct(
-                    start.alias("start"),
-                    (stop - start + 1).alias("tf"),
-                    F.when(held, after - stop).otherwise(0).alias("held_by"),
-                    (item["place"] >= 0).alias("content"),
+
+def _best_grams(content: Column, scores: Column, top_k: int) -> Column:
+    """The best distinct n-grams by rounded score, then by name.
+
+    N-grams with different scores differ, so ``top_k`` distinct scores hold at
+    least ``top_k`` distinct n-grams: everything below the last of them, less the
+    rounding step, can be left out before any string is built.
+    """
+    leading = F.slice(F.sort_array(F.array_distinct(F.transform(scores, lambda s: s["raw"])), False), 1, top_k)
+    lowest = F.coalesce(F.array_min(leading), F.lit(0.0)) - 2 * 10.0**-ROUND
+
+    def named(floor: Column) -> Column:
+        return F.sort_array(
+            F.transform(
+                F.filter(scores, lambda s: s["raw"] >= floor),
+                lambda s: F.struct(
+                    (-F.round(s["raw"], ROUND)).alias("order"),
+                    F.array_join(F.slice(content, s["start"] + 1, s["n"]), " ").alias("keyword"),
                 ),
             )
+        )
 
-        return F.filter(F.transform(stops, run), lambda r: r.isNotNull())
+    def distinct(items: Column) -> Column:
+        first = F.transform(
+            items, lambda x, i: F.when((i == 0) | (F.get(items, i - 1)["keyword"] != x["keyword"]), x)
+        )
+        return F.transform(
+            F.slice(F.filter(first, lambda x: x.isNotNull()), 1, top_k),
+            lambda x, i: F.struct((i + 1).alias("rank"), x["keyword"].alias("keyword"), (-x["order"]).alias("score")),
+        )
 
-    return let(ends, describe)
+    return let(let(lowest, named), distinct)
 
 
 def text_keywords(
@@ -74,93 +147,39 @@ def text_keywords(
     def is_content(token: Column) -> Column:
         return ~token.isin(stop) if stop else F.lit(True)
 
-    def occurrence(term: Column, kind: int, place: Column) -> Column:
-        return F.struct(term.alias("term"), F.lit(kind).alias("kind"), place.cast("int").alias("place"))
-
-    def occurrences(content: Column, candidates: Column) -> Column:
-        in_text = F.transform(content, lambda t, i: occurrence(t, 0, i))
-        stops = F.transform(
-            F.filter(tx.tokens(text), lambda t: ~is_content(t)), lambda t: occurrence(t, 0, F.lit(-1))
+    def with_candidates(words: Column, content: Column, candidates: Column) -> Column:
+        n_candidates = F.size(candidates)
+        members = F.flatten(F.transform(candidates, lambda c: F.array_distinct(F.split(c, " "))))
+        placed = F.sort_array(
+            F.transform(content, lambda t, i: F.struct(t.alias("term"), i.alias("place")))
         )
-        held = F.flatten(
-            F.transform(
-                candidates,
-                lambda c: F.transform(F.array_distinct(F.split(c, " ")), lambda t: occurrence(t, 1, F.lit(0))),
-            )
-        )
-        return F.sort_array(F.concat(in_text, stops, held))
-
-    def ranked(content: Column, candidates: Column) -> Column:
-        n_documents = F.size(candidates) + 1
+        others = value_counts(F.filter(words, lambda t: ~is_content(t)))
 
-        def idf(run: Column) -> Column:
-            return F.ln((n_documents + 1.0) / (run["held_by"] + 2.0)) + 1.0
-
-        def with_occurrences(sorted_items: Column) -> Column:
-            runs = F.transform(_term_runs(sorted_items), lambda r: r.withField("idf", idf(r)))
-            return let(runs, lambda r: best(r, sorted_items))
-
-        def best(runs: Column, sorted_items: Column) -> Column:
-            text_sq = F.aggregate(
-                runs, F.lit(0.0), lambda total, r: total + r["tf"] * r["idf"] * r["tf"] * r["idf"]
-            )
-            by_place = F.sort_array(
-                F.flatten(
-                    F.transform(
-                        F.filter(runs, lambda r: r["content"]),
-                        lambda r: F.transform(
-                            F.slice(sorted_items, r["start"] + 1, r["tf"]),
-                            lambda item: F.struct(
-                                item["place"].alias("place"),
-                                (r["tf"] * r["idf"] * r["idf"]).alias("dot"),
-                                (r["idf"] * r["idf"]).alias("sq"),
-                            ),
-                        ),
-                    )
-                )
-            )
-            return let(by_place, lambda weights: let(text_sq, lambda norm_sq: scored(weights, norm_sq)))
-
-        def scored(weights: Column, norm_sq: Column) -> Column:
-            def gram(n: int, start: Column) -> Column:
-                words = [F.get(content, start + k) for k in range(n)]
-                parts = [F.get(weights, start + k) for k in range(n)]
-                dot = sc.total([p["dot"] for p in parts])
-                # A token used twice in a candidate has weight 2 there, so its square counts 4 times.
-                squares = [p["sq"] for p in parts] + [
-                    F.when(words[a] == words[b], parts[a]["sq"] * 2).otherwise(0.0)
-                    for a in range(n)
-                    for b in range(a + 1, n)
-                ]
-                score = F.round(dot / F.sqrt(norm_sq * sc.total(squares)), ROUND)
-                return F.struct((-score).alias("order"), F.concat_ws(" ", *words).alias("keyword"))
-
-            def of_size(n: int) -> Column:
-                return F.transform(F.slice(content, F.lit(n), F.size(content)), lambda _, start: gram(n, start))
-
-            every = F.sort_array(F.flatten(F.array(*[of_size(n) for n in range(low, high + 1)])))
-            return let(every, top)
-
-        def top(items: Column) -> Column:
-            distinct = F.filter(
-                F.transform(
-                    items, lambda x, i: F.when((i == 0) | (F.get(items, i - 1)["keyword"] != x["keyword"]), x)
-                ),
-                lambda x: x.isNotNull(),
+        def with_runs(items: Column, runs: Column) -> Column:
+            scores = let(
+                _text_square(runs, others, n_candidates),
+                lambda norm_sq: let(_weights_by_place(items, runs), lambda w: _gram_scores(w, norm_sq, low, high)),
             )
-            return F.transform(
-                F.slice(distinct, 1, top_k),
-                lambda x, i: F.struct(
-                    (i + 1).alias("rank"), x["keyword"].alias("keyword"), (-x["order"]).alias("score")
-                ),
-            )
-
-        return let(occurrences(content, candidates), with_occurrences)
+            return let(scores, lambda s: _best_grams(content, s, top_k))
+
+        found = let(
+            placed,
+            lambda items: let(
+                let(value_counts(members), lambda held: _term_runs(items, held, n_candidates)),
+                lambda runs: with_runs(items, runs),
+            ),
+        )
+        return F.when(n_candidates > 0, found)
 
-    content = F.filter(tx.tokens(text), is_content)
     return let(
-        content,
-        lambda c: let(F.array_distinct(contiguous_ngrams(c, low, high)), lambda found: ranked(c, found)),
+        tx.tokens(text),
+        lambda words: let(
+            F.filter(words, is_content),
+            lambda content: let(
+                F.array_distinct(contiguous_ngrams(content, low, high)),
+                lambda candidates: with_candidates(words, content, candidates),
+            ),
+        ),
     )
 
 
