@@ -13,6 +13,9 @@ BROADCAST_ROWS = 200_000
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Temporary folder of a local session that names none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "slantwise", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators rely on; cluster settings win."""
@@ -42,9 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
