@@ -24,7 +24,7 @@ from slantwise.operators import splitting as sp
 from slantwise.operators import training as tr
 from slantwise.operators.mmr import mmr_select
 from slantwise.operators.proposals import propose_labels
-from slantwise.session import scratch_path
+from slantwise.session import materialize, scratch_path
 from slantwise.sinks import writers as wr
 from slantwise.sources import documents as sd
 from slantwise.sources import label_files as lf
@@ -627,8 +627,13 @@ def stream_score(spark, sf_dir):
 
 @query
 def scored_group_report(spark, sf_dir):
-    """Clean, de-duplicate, score with the fixed model, report by language and source."""
+    """Clean, de-duplicate, score with the fixed model, report by language and source.
+
+    The cleaned corpus and the narrow scored table are written on the way, as in
+    any run that keeps them: the text is cleaned and shuffled once, and the
+    report's passes read a few columns.
+    """
     model = fx.fixed_model(spark, sf_dir)
-    corpus = prep.preprocess(fx.docs(spark, sf_dir), language=None)
+    corpus = materialize(prep.preprocess(fx.docs(spark, sf_dir), language=None), "corpus")
     scored = ln.score_documents(corpus, model.wide(), model.intercepts, normalize=False, rows=ROWS)
-    return rp.multi_field_report(scored, ("lang", "source", "region"))
+    return rp.multi_field_report(materialize(scored.drop("text"), "scored"), ("lang", "source", "region"))

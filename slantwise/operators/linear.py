@@ -40,6 +40,30 @@ def _weighted(counts: DataFrame, wide: DataFrame, analyzer: Analyzer, rows: int
     return known_terms(counts, wide, rows).withColumn("w", analyzer.tf_weight(F.col("tf")) * F.col("idf"))
 
 
+def _document_sums(
+    docs: DataFrame, wide: DataFrame, k: int, analyzer: Analyzer, text_col: str, id_col: str, rows: int | None
+) -> DataFrame:
+    """Squared norm and products with the coefficients, one row per document.
+
+    The norm and the products are sums over the same terms, so one aggregate
+    gives both. It runs per partition first: what is shuffled is one small row
+    per document, never its terms.
+    """
+    weighted = _weighted(term_counts(docs, analyzer, text_col, (id_col,)), wide, analyzer, rows)
+    return weighted.groupBy(id_col).agg(
+        F.sum(F.col("w") * F.col("w")).alias("_ss"),
+        *[F.sum(F.col("w") * F.col(f"coef_{i}")).alias(f"_dot_{i}") for i in range(k)],
+    )
+
+
+def _decisions(intercepts: DataFrame, k: int) -> list[Column]:
+    """Decision values from the sums; without a known term only the intercept counts."""
+    return [
+        _intercept(intercepts, i) + F.coalesce(F.try_divide(F.col(f"_dot_{i}"), F.sqrt("_ss")), F.lit(0.0))
+        for i in range(k)
+    ]
+
+
 def linear_scores(
     docs: DataFrame,
     wide: DataFrame,
@@ -50,28 +74,11 @@ def linear_scores(
     id_col: str = "doc_id",
     rows: int | None = None,
 ) -> DataFrame:
-    """``(id, z_0, z_1, ...)``: intercept plus coefficient times tf-idf, per class.
-
-    The norm and the products are sums over the same terms, so one aggregate
-    gives both. It runs per partition first: what is shuffled is one small row
-    per document, never its terms. Documents without a known term keep the
-    intercepts.
-    """
-    weighted = _weighted(term_counts(docs, analyzer, text_col, (id_col,)), wide, analyzer, rows)
-    sums = weighted.groupBy(id_col).agg(
-        F.sum(F.col("w") * F.col("w")).alias("_ss"),
-        *[F.sum(F.col("w") * F.col(f"coef_{i}")).alias(f"_dot_{i}") for i in range(len(classes))],
-    )
-    return docs.select(id_col).join(sums, id_col, "left").select(
-        id_col,
-        *[
-            (
-                _intercept(intercepts, i)
-                + F.coalesce(F.try_divide(F.col(f"_dot_{i}"), F.sqrt("_ss")), F.lit(0.0))
-            ).alias(f"z_{i}")
-            for i in range(len(classes))
-        ],
-    )
+    """``(id, z_0, z_1, ...)``: intercept plus coefficient times tf-idf, per class."""
+    k = len(classes)
+    sums = _document_sums(docs, wide, k, analyzer, text_col, id_col, rows)
+    values = [z.alias(f"z_{i}") for i, z in enumerate(_decisions(intercepts, k))]
+    return docs.select(id_col).join(sums, id_col, "left").select(id_col, *values)
 
 
 def predict_proba(decisions: DataFrame, classes: Sequence[str] = K.CLASSES, id_col: str = "doc_id") -> DataFrame:
@@ -107,10 +114,15 @@ def score_documents(
     Only the columns used later travel with the final join: drop ``text`` after
     scoring and it is read once, on the map side, and never shuffled.
     """
-    text = F.col(text_col)
+    text, k = F.col(text_col), len(classes)
     clean = docs.select(id_col, (tx.normalize_text(text) if normalize else text).alias("_clean"))
-    decisions = linear_scores(clean, wide, intercepts, classes, analyzer, "_clean", id_col, rows)
-    scored = docs.join(predict_proba(decisions, classes, id_col), id_col)
+    sums = _document_sums(clean, wide, k, analyzer, "_clean", id_col, rows)
+    names = [f"_z_{i}" for i in range(k)]
+    decided = docs.join(sums, id_col, "left").select(
+        *docs.columns, *[z.alias(name) for z, name in zip(_decisions(intercepts, k), names)]
+    )
+    probs = sc.softmax([F.col(name) for name in names])
+    scored = decided.select(*docs.columns, *[p.alias(name) for p, name in zip(probs, sc.prob_columns(classes))])
     return with_score_columns(scored, classes)
 
 
@@ -260,8 +272,11 @@ def leave_one_out(
         *[F.sum((F.col("_new") - F.col("_old")) * F.col(name)).alias(f"_d_{i}") for i, name in enumerate(names)],
         F.sum(F.when(vanishes, -1).when(appears, 1).otherwise(0)).alias("_d_terms"),
     )
+    places = base.where(F.size("_tokens") > 1).select(
+        id_col, F.posexplode(F.slice("_tokens", 1, max_tokens)).alias("position", "token")
+    )
     joined_sums = (
-        spots.select(id_col, "position", "token")
+        places
         .join(full, id_col, "left")
         .join(deltas, [id_col, "position"], "left")
     )
