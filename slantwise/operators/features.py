@@ -49,6 +49,26 @@ def term_counts(
     return docs.select(*keep, F.inline(value_counts(analyzer.terms(F.col(text_col)))))
 
 
+def _most_frequent(stats: DataFrame, max_features: int) -> DataFrame:
+    """The ``max_features`` terms with the highest ``cf``, ties by term.
+
+    A top-k of this size would send up to ``max_features`` rows from every
+    partition to one task. A histogram over the logarithm of ``cf`` first tells
+    which terms can be among them, so only those are ordered.
+    """
+    rung = F.floor(F.log2("cf") * 16).cast("int")
+    falling = Window.orderBy(F.desc("_rung"))
+    reached = F.col("_reached") >= max_features
+    floor = (
+        stats.groupBy(rung.alias("_rung"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_reached", F.sum("_n").over(falling))
+        .select(F.coalesce(F.max(F.when(reached, F.col("_rung"))), F.lit(0)))
+        .scalar()
+    )
+    return stats.where(rung >= floor).orderBy(F.desc("cf"), "term").limit(max_features)
+
+
 def vocabulary(
     docs: DataFrame,
     analyzer: Analyzer = DEFAULT_ANALYZER,
@@ -73,11 +93,9 @@ def vocabulary(
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
         .where((F.col("df") >= limit(min_df)) & (F.col("df") <= limit(max_df)))
-        .orderBy(F.desc("cf"), "term")
-        .limit(max_features)
     )
     index = Window.orderBy("term")
-    return stats.select(
+    return _most_frequent(stats, max_features).select(
         "term",
         (F.row_number().over(index) - 1).alias("idx"),
         "df",

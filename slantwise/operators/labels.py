@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from slantwise import constants as K
 from slantwise.functions.scores import index_of
-from slantwise.session import small_side
-
-
-def _is_empty(table: DataFrame | None) -> bool:
-    return table is None or table.isEmpty()
+from slantwise.session import BROADCAST_ROWS, small_side
 
 
 def assign_source_labels(
@@ -23,12 +19,13 @@ def assign_source_labels(
 
     Without a source column or any source label every label is null.
     """
-    if source_col not in df.columns or _is_empty(source_labels):
+    rows = 0 if source_labels is None else source_labels.limit(BROADCAST_ROWS + 1).count()
+    if source_col not in df.columns or rows == 0:
         return df.withColumn(out_col, F.lit(None).cast("string"))
     lookup = source_labels.select(F.col("outlet_name").alias("_source_key"), F.col("label").alias("_source_label"))
     return (
         df.drop(out_col)
-        .join(small_side(lookup), F.lower(F.col(source_col)) == F.col("_source_key"), "left")
+        .join(small_side(lookup, rows), F.lower(F.col(source_col)) == F.col("_source_key"), "left")
         .withColumn(out_col, F.col("_source_label"))
         .drop("_source_key", "_source_label")
     )
