@@ -6,7 +6,7 @@ need no copy of this package.
 
 from pyspark import cloudpickle
 
-from slantwise.llm import bwt, kernels, pairs, suffixes, windows
+from slantwise.llm import bwt, kernels, pairs, suffixes, tokencount, windows
 
-for _module in (kernels, pairs, suffixes, windows, bwt):
+for _module in (kernels, pairs, suffixes, tokencount, windows, bwt):
     cloudpickle.register_pickle_by_value(_module)

@@ -1 +1,214 @@
-"""Placeholder until the kernels below are written."""
+"""Collection Burrows-Wheeler transform built column by column, and window anchors.
+
+The strings of a collection grow from the right by one symbol per round. Round
+``j`` inserts every suffix of length ``j`` into the sorted order at once: the
+transform of the round before tells each new suffix its place. Whether two
+neighbours share a common prefix of the wanted length is kept up to date on the
+way. The state between rounds is the transform, the positions and the flags, each
+read and written in one sequential sweep.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+
+from slantwise.llm import kernels
+
+BLOCK = 1 << 22
+_PLACE = np.uint64((1 << 24) - 1)
+
+
+def repeated_suffixes(strings: list[bytes], length: int) -> list[np.ndarray]:
+    """For each string, a mask over its bytes: the ``length`` bytes from here start
+    at another place of the collection too."""
+    total = len(strings)
+    sizes = np.array([len(s) for s in strings], np.int64)
+    # One spare byte per string stands for its empty suffix. UTF-8 never holds 0xFF,
+    # so symbols move up by one and 0 marks a string that is complete.
+    text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    ends = first + sizes
+    before = np.zeros(len(text), np.uint8)
+    before[1:] = text[:-1] + 1
+    before[first] = 0
+    prefix = kernels.prefix_hash(text)
+    enough = np.zeros(len(text), bool)
+    for a, b in zip(first, ends):
+        enough[a : max(a, b - length + 1)] = True
+
+    place = ends.astype(np.int64)  # what each row of the order stands for
+    symbol = before[place]
+    same = np.zeros(total, bool)  # the common prefix with the row above is long enough
+    row = np.arange(total)  # of the suffix inserted last, by string
+    for j in range(1, int(sizes.max(initial=0)) + 1):
+        growing = np.flatnonzero(sizes >= j)
+        order = np.argsort(symbol, kind="stable")
+        target = np.empty(len(order), np.int64)
+        target[order] = np.arange(len(order))
+        shift = total - int(np.count_nonzero(symbol == 0))
+        new = target[row[growing]] + shift
+        size = len(symbol) + len(growing)
+        old = np.ones(size, bool)
+        old[new] = False
+        at = ends[growing] - j
+        grown = []
+        for values, inserted in ((place, at), (symbol, before[at]), (same, False)):
+            fresh = np.empty(size, values.dtype)
+            fresh[old] = values
+            fresh[new] = inserted
+            grown.append(fresh)
+        place, symbol, same = grown
+        if j >= length:
+            look = np.concatenate([new, new[new + 1 < size] + 1])
+            look = look[(look > 0) & enough[place[look]]]
+            above, here = place[look - 1], place[look]
+            ok = enough[above]
+            alike = np.zeros(len(look), bool)
+            a, b = above[ok], here[ok]
+            alike[ok] = kernels.range_hash(prefix, a, a + length) == kernels.range_hash(prefix, b, b + length)
+            same[look] = alike
+        else:
+            after = new[new + 1 < size] + 1
+            same[after] = False
+        row[growing] = new
+    mask = np.zeros(len(text), bool)
+    mask[place[same]] = True
+    mask[place[np.flatnonzero(same) - 1]] = True
+    return [mask[a:b] for a, b in zip(first, ends)]
+
+
+def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of every ``width`` neighbours, from running minima of fixed blocks."""
+    n = len(values) - width + 1
+    blocks = -(-len(values) // width)
+    padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
+    padded[: len(values)] = values
+    table = padded.reshape(blocks, width)
+    ahead = np.minimum.accumulate(table, axis=1).ravel()
+    back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+
+
+def anchored_runs(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
+    """Runs of neighbouring windows of ``length`` bytes that have one anchor.
+
+    The anchor of a window is the gram with the least hash in it, the first of
+    equals. It depends on the window alone, so equal windows stand at equal places
+    of runs with equal anchors. Yields text number, first window, number of
+    windows, anchor key and the hash of the bytes the run covers.
+    """
+    prefix = kernels.prefix_hash(data)
+    last = bounds[1:] - length  # last window start of each text
+    for low in range(0, max(1, len(data) - length + 1), BLOCK):
+        high = min(len(data), low + BLOCK + length - 1)
+        if high - low < length:
+            return
+        starts = np.arange(low, high - gram + 1)
+        hashes = kernels.range_hash(prefix, starts, starts + gram)
+        packed = (hashes & ~_PLACE) | (starts - low).astype(np.uint64)
+        anchor = (_sliding_least(packed, length - gram + 1) & _PLACE).astype(np.int64)
+        window = np.arange(low, low + len(anchor))
+        text = np.searchsorted(bounds, window, "right") - 1
+        valid = window <= last[text]
+        head = valid.copy()
+        head[1:] &= ~valid[:-1] | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+        begin = np.flatnonzero(head)
+        if not len(begin):
+            continue
+        total = np.concatenate([[0], np.cumsum(valid)])
+        count = total[np.concatenate([begin[1:], [len(valid)]])] - total[begin]
+        begin_at = window[begin]
+        content = kernels.range_hash(prefix, begin_at, begin_at + count + length - 1)
+        content = kernels.mix(content + (anchor[begin] + low - begin_at).astype(np.uint64))
+        yield text[begin], begin_at - bounds[text[begin]], count, hashes[anchor[begin]], content
+
+
+def run_rows(batches, length: int, gram: int):
+    """``(key, content, node, pos, size)`` of every run of each text (node, text)."""
+    for batch in batches:
+        nodes = batch.column(0).to_numpy()
+        for first, _, data, bounds in kernels.pieces(batch.column(1)):
+            for text, pos, count, key, content in anchored_runs(data, bounds, length, gram):
+                arrays = [key.view(np.int64), content.view(np.int64), nodes[first + text], pos, count]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "content", "node", "pos", "size"])
+
+
+def cut_strings(batches, length: int):
+    """Bytes of the chosen runs: rows of text, keys, contents, positions, sizes."""
+    for batch in batches:
+        raw, bounds = kernels.text_buffers(batch.column(0))
+        rows = []
+        for k, runs in enumerate(batch.column(1).to_pylist()):
+            for run in runs:
+                a = int(bounds[k]) + run["pos"]
+                rows.append((run["bucket"], run["key"], run["content"], raw[a : a + run["size"] - 1 + length].tobytes()))
+                if len(rows) >= 20_000:
+                    yield _strings(rows)
+                    rows = []
+        yield _strings(rows)
+
+
+def _strings(rows) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 4
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "key", "content", "string"])
+
+
+def window_marks(batches, length: int):
+    """One row per window of the chosen runs: two hashes, key, content and offset."""
+    for batch in cut_strings(batches, length):
+        for key, content, string in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            data = np.frombuffer(string, np.uint8)
+            start = np.arange(len(data) - length + 1)
+            one = kernels.range_hash(kernels.prefix_hash(data), start, start + length)
+            two = kernels.range_hash(kernels.prefix_hash(data ^ 0x5B), start, start + length)
+            n = len(start)
+            arrays = [one.view(np.int64), two.view(np.int64), np.full(n, key), np.full(n, content), start]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["h1", "h2", "key", "content", "offset"])
+
+
+def repeated_runs(batches, length: int):
+    """``(key, content, skip, size)``: windows of each run that the transform of its
+    bucket finds elsewhere too; rows come ordered by bucket."""
+
+    def close(rows: dict) -> pa.RecordBatch:
+        names = list(rows)
+        found = []
+        for (key, content), mask in zip(names, repeated_suffixes([rows[x] for x in names], length)):
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
+            found += [(key, content, int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
+        columns = list(zip(*found)) if found else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "content", "skip", "size"])
+
+    bucket, rows = None, {}
+    for batch in batches:
+        for number, key, content, string in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if number != bucket and rows:
+                yield close(rows)
+                rows = {}
+            bucket = number
+            rows[key, content] = string
+    if rows:
+        yield close(rows)
+
+
+def cut_out(batches, length: int):
+    """Node, removed bytes, spans and digest of what stays of each text."""
+    for batch in batches:
+        raw, bounds = kernels.text_buffers(batch.column(1))
+        removed, spans, digest = [], [], []
+        for k, runs in enumerate(batch.column(2).to_pylist()):
+            data = raw[bounds[k] : bounds[k + 1]]
+            if runs:
+                start = np.array([r["start"] for r in runs])
+                drop = kernels.covered(start, np.array([r["size"] for r in runs]) + length - 1, len(data))
+            else:
+                drop = np.ones(len(data), bool)
+            removed.append(int(drop.sum()))
+            spans.append(int(np.count_nonzero(drop[1:] & ~drop[:-1])) + int(len(drop) > 0 and drop[0]))
+            digest.append(hashlib.sha256(data[~drop].tobytes()).hexdigest())
+        arrays = [batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())]
+        yield pa.RecordBatch.from_arrays(arrays, ["node", "n_removed", "n_spans", "kept_sha256"])

@@ -125,9 +125,36 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+BREAKING = "address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul|body|head|html"
+SITE_LINES = rf"""
+WITH read AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+    regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g'),
+      '(?is)</?(?:{BREAKING})(?:\s[^>]*)?/?>', chr(10), 'g'), '(?s)<[^>]*>', '', 'g') AS text
+  FROM pages
+), split AS (
+  SELECT page_id, host, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
+    lambda x: regexp_replace(x, '^[\x20\t\r]+|[\x20\t\r]+$', '', 'g')), lambda x: x <> '') AS lines FROM read
+), totals AS (SELECT host, count(*) AS pages FROM read GROUP BY host),
+marks AS (SELECT DISTINCT page_id, host, unnest(lines) AS line FROM split),
+frequent AS (
+  SELECT m.host, line FROM marks m JOIN totals t ON m.host IS NOT DISTINCT FROM t.host
+  GROUP BY m.host, line, t.pages HAVING count(*) >= 3 AND count(*) > 0.1 * t.pages
+), dropped AS (SELECT host, list(line) AS lines FROM frequent GROUP BY host),
+stay AS (
+  SELECT page_id, s.host, s.lines, list_filter(s.lines, lambda x: NOT list_contains(coalesce(d.lines, []), x)) AS kept
+  FROM split s LEFT JOIN dropped d ON s.host IS NOT DISTINCT FROM d.host
+)
+SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped,
+  sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM stay
+"""
+
 STATEMENTS: dict[str, str] = {
     "op2_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
     "op4_mix_sources": MIX_SOURCES,
+    "op6_site_lines": SITE_LINES,
     "op8_host_quality": HOST_QUALITY,
     "op9_benchmark_leaks": BENCHMARK_LEAKS,
 }

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slantwise.llm import decontaminate as dc
+from slantwise.llm import lines as ln
 from slantwise.llm import mixing as mx
 from slantwise.llm import quality as ql
+from slantwise.llm import secrets as sc
 from slantwise.llm import setjoin as sj
 from slantwise.llm import sharding as sh
+from slantwise.llm import substrings as ss
+from slantwise.llm import tokencount as tc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -26,18 +30,41 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+@query
+def op1_repeated_substrings(spark, sf_dir):
+    out = ss.remove_repeats(documents(spark, sf_dir, "doc_id", "text"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     out = sj.similar_components(documents(spark, sf_dir, "doc_id", "text"), shingle=3, percent=90)
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op3_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    out = tc.count_tokens(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 @query
 def op4_mix_sources(spark, sf_dir):
     out = mx.mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op6_site_lines(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    read = pages.select("page_id", ln.url_host(F.col("url")).alias("host"), ln.page_lines(F.col("html")).alias("text"))
+    out = ln.drop_site_boilerplate(read, max_ratio=0.1, min_pages=3)
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return out.select("page_id", "host", "n_lines", "n_dropped", digest)
+
+
 @query
 def op7_shard_documents(spark, sf_dir):
     out = sh.shard_documents(documents(spark, sf_dir, "doc_id", "text"))
@@ -55,3 +82,9 @@ def op9_benchmark_leaks(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     out = dc.find_leaks(documents(spark, sf_dir, "doc_id", "text"), benchmark)
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query
+def op10_linked_secrets(spark, sf_dir):
+    out = sc.find_secrets(documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
