@@ -4,8 +4,8 @@ The strings of a collection grow from the right by one symbol per round. Round
 ``j`` inserts every suffix of length ``j`` into the sorted order at once: the
 transform of the round before tells each new suffix its place. Whether two
 neighbours share a common prefix of the wanted length is kept up to date on the
-way. The state between rounds is the transform, the positions and the flags, each
-read and written in one sequential sweep.
+way. The state between rounds is a few columns of the order, each read and written
+in one sequential sweep.
 """
 
 from __future__ import annotations
@@ -23,61 +23,72 @@ _PLACE = np.uint64((1 << 24) - 1)
 
 def repeated_suffixes(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string, a mask over its bytes: the ``length`` bytes from here start
-    at another place of the collection too."""
-    total = len(strings)
+    at another place of the collection too.
+
+    A symbol is a word of up to eight bytes that divides ``length``; a string enters
+    once for each alignment of its words, so every byte starts one suffix. A row of
+    the order is a suffix; the transform holds the symbol in front of it. The rank
+    of a symbol above a row, which is the place of the suffix one symbol longer, is
+    read from the sorted pairs (symbol, row) of the occurrences inserted before.
+    """
+    word = next(w for w in (8, 4, 2, 1) if length % w == 0)
+    need = length // word
     sizes = np.array([len(s) for s in strings], np.int64)
-    # One spare byte per string stands for its empty suffix. UTF-8 never holds 0xFF,
-    # so symbols move up by one and 0 marks a string that is complete.
-    text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-    first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-    ends = first + sizes
-    before = np.zeros(len(text), np.uint8)
-    before[1:] = text[:-1] + 1
-    before[first] = 0
+    gap = bytes(word)
+    text = np.frombuffer(gap.join(strings) + gap, np.uint8)
+    first = np.concatenate([[0], np.cumsum(sizes + word)[:-1]]).astype(np.int64)
+    mask = np.zeros(len(text) + 1, bool)
+    value = np.zeros(len(text) - word + 1, np.uint64)
+    for k in range(word):
+        value |= text[k : len(value) + k].astype(np.uint64) << np.uint64(8 * k)
+    code = np.unique(value, return_inverse=True)[1].astype(np.int64)
+    shift = np.arange(word)
+    count = ((sizes[:, None] - shift) // word).ravel()
+    start = (first[:, None] + shift).ravel()
+    start, count = start[count >= need], count[count >= need]
+    end, total = start + count * word, len(start)
     prefix = kernels.prefix_hash(text)
-    enough = np.zeros(len(text), bool)
-    for a, b in zip(first, ends):
-        enough[a : max(a, b - length + 1)] = True
+    enough = np.zeros(len(text) + 1, bool)
+    for a, z in zip(first, sizes):
+        enough[a : max(a, a + z - length + 1)] = True
 
-    place = ends.astype(np.int64)  # what each row of the order stands for
-    symbol = before[place]
+    place = end.copy()  # what each row stands for; the first rows are empty suffixes
+    head = np.full(total, -1, np.int64)  # first symbol of the row
+    rest = np.arange(total)  # row of the suffix without it
     same = np.zeros(total, bool)  # the common prefix with the row above is long enough
-    row = np.arange(total)  # of the suffix inserted last, by string
-    for j in range(1, int(sizes.max(initial=0)) + 1):
-        growing = np.flatnonzero(sizes >= j)
-        order = np.argsort(symbol, kind="stable")
-        target = np.empty(len(order), np.int64)
-        target[order] = np.arange(len(order))
-        shift = total - int(np.count_nonzero(symbol == 0))
-        new = target[row[growing]] + shift
-        size = len(symbol) + len(growing)
+    row = np.arange(total)  # of the suffix inserted last, by sequence
+    for j in range(1, int(count.max(initial=0)) + 1):
+        growing = np.flatnonzero(count >= j)
+        at = end[growing] - j * word
+        pair = (code[at] << 32) | row[growing]
+        order = np.argsort(pair)
+        growing, at, pair = growing[order], at[order], pair[order]
+        above = total + np.searchsorted((head[total:] << 32) | rest[total:], pair)
+        new = above + np.arange(len(above))
+        size = len(head) + len(new)
         old = np.ones(size, bool)
         old[new] = False
-        at = ends[growing] - j
+        moved = np.flatnonzero(old)
+        inserted = (at, code[at], moved[row[growing]], False)
         grown = []
-        for values, inserted in ((place, at), (symbol, before[at]), (same, False)):
-            fresh = np.empty(size, values.dtype)
-            fresh[old] = values
-            fresh[new] = inserted
-            grown.append(fresh)
-        place, symbol, same = grown
-        if j >= length:
-            look = np.concatenate([new, new[new + 1 < size] + 1])
-            look = look[(look > 0) & enough[place[look]]]
-            above, here = place[look - 1], place[look]
-            ok = enough[above]
-            alike = np.zeros(len(look), bool)
-            a, b = above[ok], here[ok]
-            alike[ok] = kernels.range_hash(prefix, a, a + length) == kernels.range_hash(prefix, b, b + length)
-            same[look] = alike
-        else:
-            after = new[new + 1 < size] + 1
-            same[after] = False
+        for values, fresh in zip((place, head, moved[rest], same), inserted):
+            out = np.empty(size, values.dtype)
+            out[moved] = values
+            out[new] = fresh
+            grown.append(out)
+        place, head, rest, same = grown
+        row = moved[row]
         row[growing] = new
-    mask = np.zeros(len(text), bool)
-    mask[place[same]] = True
-    mask[place[np.flatnonzero(same) - 1]] = True
-    return [mask[a:b] for a, b in zip(first, ends)]
+        look = np.concatenate([new, new[new + 1 < size] + 1])
+        same[look] = False
+        if j >= need:
+            look = look[enough[place[look]] & enough[place[look - 1]]]
+            up, here = place[look - 1], place[look]
+            same[look] = kernels.range_hash(prefix, up, up + length) == kernels.range_hash(prefix, here, here + length)
+    hit = np.flatnonzero(same)
+    mask[place[hit]] = True
+    mask[place[hit - 1]] = True
+    return [mask[a : a + z] for a, z in zip(first, sizes)]
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -127,13 +138,15 @@ def anchored_runs(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
 
 
 def run_rows(batches, length: int, gram: int):
-    """``(key, content, node, pos, size)`` of every run of each text (node, text)."""
+    """``(key, content, node, pos, size, state)`` of every run of each text (node, text)."""
     for batch in batches:
         nodes = batch.column(0).to_numpy()
+        parts = []
         for first, _, data, bounds in kernels.pieces(batch.column(1)):
             for text, pos, count, key, content in anchored_runs(data, bounds, length, gram):
-                arrays = [key.view(np.int64), content.view(np.int64), nodes[first + text], pos, count]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "content", "node", "pos", "size"])
+                parts.append((key, content, nodes[first + text], pos, count))
+        if parts:
+            yield kernels.piece_batch(*(np.concatenate(x) for x in zip(*parts)))
 
 
 def cut_strings(batches, length: int):

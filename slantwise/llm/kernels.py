@@ -142,6 +142,24 @@ def repeated(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out
 
 
+def piece_batch(key, content, node, pos, size) -> pa.RecordBatch:
+    """Pieces of a task, folded: of equal contents only the first stays in its list.
+
+    ``state`` is 1 for a piece met again in the task and 2 for the others of its
+    content, which are known to repeat and get a key of their own.
+    """
+    order = np.lexsort((pos, node, content, key))
+    key, content, node, pos, size = (x[order] for x in (key, content, node, pos, size))
+    follows = np.zeros(len(key), bool)
+    follows[1:] = (key[1:] == key[:-1]) & (content[1:] == content[:-1])
+    again = np.zeros(len(key), bool)
+    again[:-1] = follows[1:]
+    state = np.where(follows, 2, again.astype(np.int32)).astype(np.int32)
+    key = np.where(follows, mix(mix(node.view(np.uint64)) + pos.astype(np.uint64)), key)
+    arrays = [key.view(np.int64), content.view(np.int64), node, pos.astype(np.int64), size.astype(np.int64), state]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "content", "node", "pos", "size", "state"])
+
+
 def per_text(bounds: np.ndarray, flags: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` over each text."""
     total = np.zeros(len(flags) + 1, np.int64)

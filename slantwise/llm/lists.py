@@ -1,7 +1,7 @@
 """Lists of equal keys over the pieces of many texts, and texts fetched by name.
 
-A piece is a row ``(key, content, node, pos, ...)``: ``node`` names its text,
-``content`` names exactly what the piece holds. Equal contents in two places need
+A piece is a row ``(key, content, node, pos, size, state)``: ``node`` names its text,
+``content`` exactly what it holds, ``state`` whether a task has met it before. Equal contents in two places need
 no comparison; lists with several contents are compared once per content.
 """
 
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from slantwise.llm.repeats import in_filter
 from slantwise.session import materialize
 
+PIECE = "key long, content long, node long, pos long, size long, state int"
+
 
 def text_node(text_col: str) -> Column:
     """64-bit name of a text; null reads as empty."""
@@ -47,14 +49,15 @@ def shared_pieces(rows: DataFrame) -> DataFrame:
         {
             "first": F.min(place).over(by_content),
             "last": F.max(place).over(by_content),
+            "met": F.max("state").over(by_content),
             "least": F.min("content").over(by_key),
             "most": F.max("content").over(by_key),
         }
     )
     found = marked.withColumns(
-        {"exact": F.col("first") != F.col("last"), "several": F.col("least") != F.col("most"), "leads": place == F.col("first")}
+        {"exact": (F.col("first") != F.col("last")) | (F.col("met") > 0), "several": F.col("least") != F.col("most"), "leads": place == F.col("first")}
     ).where("exact or several")
-    return materialize(found.withColumn("other", F.col("first.node")).drop("first", "last", "least", "most"), "shared-pieces")
+    return materialize(found.withColumn("other", F.col("first.node")).drop("first", "last", "least", "most", "met", "state"), "shared-pieces")
 
 
 def with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:

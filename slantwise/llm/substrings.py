@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slantwise.llm import bwt
-from slantwise.llm.lists import distinct_in_batch, shared_pieces, text_node, with_texts
+from slantwise.llm.lists import PIECE, distinct_in_batch, shared_pieces, text_node, with_texts
 from slantwise.session import materialize, small_side
 
-PIECE = "key long, content long, node long, pos long, size long"
 COLLECTION_BYTES = 1 << 20
 HOT_LIST = 8192
 
