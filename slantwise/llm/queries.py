@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slantwise.llm import decontaminate as dc
 from slantwise.llm import lines as ln
 from slantwise.llm import mixing as mx
+from slantwise.llm import passages as ps
 from slantwise.llm import quality as ql
 from slantwise.llm import secrets as sc
 from slantwise.llm import setjoin as sj
@@ -56,6 +57,11 @@ def op4_mix_sources(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_repeated_passages(spark, sf_dir):
+    return ps.find_passages(documents(spark, sf_dir, "doc_id", "text"), min_words=50, percent=80)
+
+
 @query
 def op6_site_lines(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
