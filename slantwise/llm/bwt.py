@@ -141,10 +141,14 @@ def run_rows(batches, length: int, gram: int):
     """``(key, content, node, pos, size, state)`` of every run of each text (node, text)."""
     for batch in batches:
         nodes = batch.column(0).to_numpy()
-        parts = []
+        parts, held = [], 0
         for first, _, data, bounds in kernels.pieces(batch.column(1)):
             for text, pos, count, key, content in anchored_runs(data, bounds, length, gram):
                 parts.append((key, content, nodes[first + text], pos, count))
+                held += len(key)
+            if held > kernels.FOLD:
+                yield kernels.piece_batch(*(np.concatenate(x) for x in zip(*parts)))
+                parts, held = [], 0
         if parts:
             yield kernels.piece_batch(*(np.concatenate(x) for x in zip(*parts)))
 
@@ -152,16 +156,13 @@ def run_rows(batches, length: int, gram: int):
 def cut_strings(batches, length: int):
     """Bytes of the chosen runs: rows of text, keys, contents, positions, sizes."""
     for batch in batches:
-        raw, bounds = kernels.text_buffers(batch.column(0))
-        rows = []
-        for k, runs in enumerate(batch.column(1).to_pylist()):
-            for run in runs:
-                a = int(bounds[k]) + run["pos"]
-                rows.append((run["bucket"], run["key"], run["content"], raw[a : a + run["size"] - 1 + length].tobytes()))
-                if len(rows) >= 20_000:
-                    yield _strings(rows)
-                    rows = []
-        yield _strings(rows)
+        for first, last, data, bounds in kernels.pieces(batch.column(0)):
+            rows = []
+            for text, runs in enumerate(batch.column(1).slice(first, last - first).to_pylist()):
+                for run in runs:
+                    a = int(bounds[text]) + run["pos"]
+                    rows.append((run["bucket"], run["key"], run["content"], data[a : a + run["size"] - 1 + length].tobytes()))
+            yield _strings(rows)
 
 
 def _strings(rows) -> pa.RecordBatch:
@@ -211,17 +212,17 @@ def repeated_runs(batches, length: int):
 def cut_out(batches, length: int):
     """Node, removed bytes, spans and digest of what stays of each text."""
     for batch in batches:
-        raw, bounds = kernels.text_buffers(batch.column(1))
         removed, spans, digest = [], [], []
-        for k, runs in enumerate(batch.column(2).to_pylist()):
-            data = raw[bounds[k] : bounds[k + 1]]
-            if runs:
-                start = np.array([r["start"] for r in runs])
-                drop = kernels.covered(start, np.array([r["size"] for r in runs]) + length - 1, len(data))
-            else:
-                drop = np.ones(len(data), bool)
-            removed.append(int(drop.sum()))
-            spans.append(int(np.count_nonzero(drop[1:] & ~drop[:-1])) + int(len(drop) > 0 and drop[0]))
-            digest.append(hashlib.sha256(data[~drop].tobytes()).hexdigest())
+        for first, last, data, bounds in kernels.pieces(batch.column(1)):
+            for text, runs in enumerate(batch.column(2).slice(first, last - first).to_pylist()):
+                own = data[bounds[text] : bounds[text + 1]]
+                if runs:
+                    start = np.array([r["start"] for r in runs])
+                    drop = kernels.covered(start, np.array([r["size"] for r in runs]) + length - 1, len(own))
+                else:
+                    drop = np.ones(len(own), bool)
+                removed.append(int(drop.sum()))
+                spans.append(int(np.count_nonzero(drop[1:] & ~drop[:-1])) + int(len(drop) > 0 and drop[0]))
+                digest.append(hashlib.sha256(own[~drop].tobytes()).hexdigest())
         arrays = [batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())]
         yield pa.RecordBatch.from_arrays(arrays, ["node", "n_removed", "n_spans", "kept_sha256"])

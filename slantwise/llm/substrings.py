@@ -9,7 +9,7 @@ from slantwise.llm import bwt
 from slantwise.llm.lists import PIECE, distinct_in_batch, shared_pieces, text_node, with_texts
 from slantwise.session import materialize, small_side
 
-COLLECTION_BYTES = 1 << 20
+COLLECTION_BYTES = 1 << 19
 HOT_LIST = 8192
 
 
