@@ -10,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 19
-FOLD = 1 << 17  # pieces of texts that are folded together
+PIECE_BYTES = 1 << 18
+FOLD = 1 << 16  # pieces of texts that are folded together
 
 # Separator sets of the word definitions.
 _SPACE = np.zeros(256, bool)
