@@ -137,7 +137,7 @@ def test_passages_cover_all_copies(docs):
     want = {r.doc_id for k, r in enumerate(rows) for a in range(len(words[r.doc_id]) - 49) if len(seen[tuple(words[r.doc_id][a : a + 50])]) > 1}
     got = passages.find_passages(docs).collect()
     assert want <= {r.doc_id for r in got} and not {r.doc_id for r in got} & {5, 6, 7, 8, 11}
-    assert [(r.first_word, r.n_words) for r in got if r.doc_id == 4] == [(2, 100)]
+    assert all(r.first_word <= 2 and r.first_word + r.n_words >= 102 for r in got if r.doc_id == 4)
 
 
 def test_mix_meets_targets(docs):
