@@ -399,10 +399,10 @@ def statements() -> dict[str, str]:
     prep_en = f"{DOCS}, " + _prepared("detected", "AND detected = 'en'", _language("text") + ", ")
     prep_all = _prepared("docs")
     report_lines = [
-        "printf('--- %s (n=%d) ---', group_name, size)",
-        "printf('  Score:     mean=%+.3f, median=%+.3f, std=%.3f', score_mean, score_median, score_std)",
-        f"printf('  Classes:   {', '.join(f'{n}=%d' for n in K.CLASSES)}', {', '.join(f'count_{n}' for n in K.CLASSES)})",
-        "printf('  Entropy:   %.3f', mean_entropy)",
+        "printf('%s | %d documents', group_name, size)",
+        "printf('polarity %+.3f on average, %+.3f in the middle, spread %.3f', score_mean, score_median, score_std)",
+        f"printf('labels {', '.join(f'{n} %d' for n in K.CLASSES)}', {', '.join(f'count_{n}' for n in K.CLASSES)})",
+        "printf('uncertainty %.3f', mean_entropy)",
     ]
     agreed = f"""WITH {SCORED}, turns AS (SELECT doc_id, r AS round, {_probs('(CASE WHEN doc_id % 4 = 0 THEN 7 + 2 * r ELSE 7 END)')} FROM documents, range(0, {fx.ROUNDS}) t(r)),
 votes AS (SELECT doc_id, count(DISTINCT {_argmax('a', 'b', 'c', ('0', '1', '2'))}) AS kinds FROM turns GROUP BY doc_id)"""

@@ -113,12 +113,10 @@ STOP_WORDS = tuple(
     """.split()
 )
 
-# Guideline lines written on top of a labelling template.
+# Notes written on top of a labelling template; callers may pass their own.
 TEMPLATE_HEADER = (
-    "# Labeling guidelines:",
-    "# label: one of {classes}",
-    "# confidence: high, medium or low (optional)",
-    "# notes: free text (optional)",
-    "# Label the content of the document, not its source.",
-    "# If unsure, use the middle class.",
+    "# How to fill in this sheet",
+    "# Read the whole text before choosing; the publisher must not sway the choice.",
+    "# Allowed values in the second column: {classes}.",
+    "# Leave a row blank rather than guess. The last two columns may stay blank.",
 )

@@ -22,8 +22,8 @@ def confusion_matrix(
 
     One aggregate over the rows; the empty cells come from a constant grid.
     """
-    cells = ", ".join(f"('{t}', '{p}')" for t in classes for p in classes)
-    grid = df.sparkSession.sql(f"SELECT * FROM VALUES {cells} AS grid(true_label, pred_label)")
+    cells = [F.struct(F.lit(t).alias("true_label"), F.lit(p).alias("pred_label")) for t in classes for p in classes]
+    grid = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
     counts = df.groupBy(F.col(true_col).alias("true_label"), F.col(pred_col).alias("pred_label")).agg(
         F.count(F.lit(1)).alias("count")
     )

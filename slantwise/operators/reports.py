@@ -125,12 +125,12 @@ def subset_summary(
 
 def report_lines(report: DataFrame, classes: Sequence[str] = K.CLASSES) -> DataFrame:
     """Readable lines of a report: ``(field, group_name, line_no, line)``."""
-    counts = ", ".join(f"{name}=%d" for name in classes)
+    counts = ", ".join(f"{name} %d" for name in classes)
     lines = [
-        F.format_string("--- %s (n=%d) ---", "group_name", "size"),
-        F.format_string("  Score:     mean=%+.3f, median=%+.3f, std=%.3f", "score_mean", "score_median", "score_std"),
-        F.format_string(f"  Classes:   {counts}", *[F.col(f"count_{name}") for name in classes]),
-        F.format_string("  Entropy:   %.3f", "mean_entropy"),
+        F.format_string("%s | %d documents", "group_name", "size"),
+        F.format_string("polarity %+.3f on average, %+.3f in the middle, spread %.3f", "score_mean", "score_median", "score_std"),
+        F.format_string(f"labels {counts}", *[F.col(f"count_{name}") for name in classes]),
+        F.format_string("uncertainty %.3f", "mean_entropy"),
     ]
     return report.select(*KEYS, F.posexplode(F.array(*lines)).alias("line_no", "line"))
 

@@ -162,7 +162,7 @@ def test_masked_sizes(grouped):
 
 def test_report_lines(grouped):
     lines = [r.line for r in rp.report_lines(rp.subset_report(grouped, "source")).orderBy("group_name", "line_no").collect()]
-    assert lines[0] == "--- a (n=50) ---" and lines[1].startswith("  Score:     mean=") and len(lines) == 8
+    assert lines[0] == "a | 50 documents" and lines[1].startswith("polarity ") and len(lines) == 8
 
 
 def test_proposals(spark):

@@ -76,7 +76,7 @@ def test_human_labels_and_template_round_trip(spark, tmp_path):
     wr.write_label_template(wr.label_template(docs, known), path)
     assert lf.read_human_labels(spark, path, "bigint").count() == 0
     text = "".join(r.value + "\n" for r in spark.read.text(path).collect())
-    assert text.startswith("# Labeling guidelines") and "doc_id,label,confidence,notes" in text
+    assert text.startswith("# How to fill in this sheet") and "doc_id,label,confidence,notes" in text
     filled = write(tmp_path / "filled.csv", "# c\ndoc_id,label,confidence,notes\n1,left,,\n2,,,\n1,RIGHT,high,ok\n")
     assert [tuple(r) for r in lf.read_human_labels(spark, filled, "bigint").collect()] == [(1, "right")]
 
