@@ -18,7 +18,7 @@ import pyarrow as pa
 from slantwise.llm import kernels
 
 SPARE = 2  # blocks beyond the needed ones, so that equal empty blocks never count
-BUFFER = 1 << 20  # signatures held before they are folded and passed on
+BUFFER = 1 << 20  # signatures held before they are passed on
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -96,13 +96,14 @@ def digests(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def head_columns(column: pa.Array, size: int) -> pa.RecordBatch:
-    """Number of shingles and digest of each text's set."""
-    parts = []
+    """Number of shingles, digest and sketch of each text's set."""
+    parts, drawn = [], []
     for _, _, data, bounds in kernels.pieces(column):
         value, at = kernels.shingle_sets(kernels.Words(data, bounds, "space", lower=True), size)
         parts.append((np.diff(at), *digests(value, at)))
+        drawn += sketches(value, at)
     joined = [np.concatenate(x).astype(np.int64) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 3
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in joined], ["n_shingles", "d1", "d2"])
+    return pa.RecordBatch.from_arrays([*map(pa.array, joined), pa.array(drawn, pa.binary())], ["n", "d1", "d2", "sketch"])
 
 
 def set_columns(column: pa.Array, size: int) -> pa.RecordBatch:
@@ -163,48 +164,39 @@ def _block_entries(value, at, node, small, percent):
         yield kernels.mix(content + tag)[listed], node[large][who][listed]
 
 
-def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Least node of every key, and links of the other nodes to it."""
+def _distinct(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries in the order of their lists, each node once per list."""
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    least = node[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(key) else node
-    other = node != least
-    pair = np.unique(np.stack([node[other], least[other]]), axis=1) if other.any() else np.zeros((2, 0), np.int64)
-    return key[new], node[new], pair[0], pair[1]
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    return key[new], node[new]
 
 
-PACKED = ["bucket", "keys", "nodes", "picks", "links"]
+PACKED = ["bucket", "keys", "nodes", "picks"]
 
 
 def _pack(key: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One row per bucket of list keys: six key bytes and a node number per entry.
-
-    A list that is met many times leaves with one entry; the links found on the
-    way travel along.
-    """
-    key, node, a, b = _stars(key, node)
+    """One row per bucket of list keys: six key bytes and a node number per entry."""
+    key, node = _distinct(key, node)
     bucket = (key >> np.uint64(48)).astype(np.int64) % buckets
-    home = (kernels.mix(a.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    used = np.unique(bucket)
+    cuts = np.searchsorted(bucket[order], np.stack([used, used + 1]))
     rows = []
-    order, link_order = np.argsort(bucket, kind="stable"), np.argsort(home, kind="stable")
-    used = np.union1d(bucket, home)
-    cuts, link_cuts = (np.searchsorted(x, np.stack([used, used + 1])) for x in (bucket[order], home[link_order]))
-    for k, number in enumerate(used.tolist()):
-        mine = order[cuts[0, k] : cuts[1, k]]
+    for number, first, last in zip(used.tolist(), *cuts):
+        mine = order[first:last]
         nodes, pick = np.unique(node[mine], return_inverse=True)
         kind = np.uint16 if len(nodes) < 65536 else np.uint32
         low = np.ascontiguousarray(key[mine]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-        far = link_order[link_cuts[0, k] : link_cuts[1, k]]
-        rows.append((number, low, nodes.tobytes(), pick.astype(kind).tobytes(), np.stack([a[far], b[far]]).tobytes()))
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    types = [pa.int32(), *[pa.binary()] * 4]
+        rows.append((number, low, nodes.tobytes(), pick.astype(kind).tobytes()))
+    columns = list(zip(*rows)) if rows else [[]] * 4
+    types = [pa.int32(), *[pa.binary()] * 3]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], PACKED)
 
 
 def entries(batches, at_column: int, size: int, small: int, percent: int, buckets: int):
-    """Folded list entries of all texts of a task."""
+    """List entries of all texts of a task, equal ones of a buffer once."""
     keys, nodes, held = [], [], 0
     for batch in batches:
         for _, _, data, bounds in kernels.pieces(batch.column(at_column)):
@@ -223,24 +215,33 @@ def entries(batches, at_column: int, size: int, small: int, percent: int, bucket
 
 
 def join_lists(batches):
-    """Links within the lists of each bucket; rows come ordered by bucket."""
+    """Members of the lists that hold several sets; rows come ordered by bucket.
+
+    A list is named by its members, so lists of the same sets are one.
+    """
 
     def close(rows: list):
-        key, node, links = [], [], []
-        for low, nodes, pick, far in rows:
+        key, node = [], []
+        for low, nodes, pick in rows:
             wide = np.zeros((len(low) // 6, 8), np.uint8)
             wide[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
             nodes = np.frombuffer(nodes, np.int64)
             key.append(wide.view(np.uint64).reshape(-1))
             node.append(nodes[np.frombuffer(pick, np.uint16 if len(nodes) < 65536 else np.uint32)])
-            links.append(np.frombuffer(far, np.int64).reshape(2, -1))
-        _, _, a, b = _stars(np.concatenate(key), np.concatenate(node))
-        a, b = np.unique(np.concatenate([*links, np.stack([a, b])], axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        key, node = _distinct(np.concatenate(key), np.concatenate(node))
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        count = np.diff(np.r_[start, len(key)])
+        name = np.add.reduceat(kernels.mix(node.view(np.uint64) ^ _SECOND), start)
+        start, count, name = (x[count > 1] for x in (start, count, name))
+        name, at = np.unique(name, return_index=True)
+        start, count = start[at], count[at]
+        where = np.repeat(start - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()) if len(at) else start
+        arrays = [np.repeat(name.view(np.int64), count), node[where], np.repeat(count, count)]
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in arrays], ["list", "node", "k"])
 
     bucket, rows = None, []
     for batch in batches:
-        for number, *row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+        for number, *row in zip(*(batch.column(k).to_pylist() for k in range(4))):
             if number != bucket and rows:
                 yield close(rows)
                 rows = []
@@ -250,6 +251,84 @@ def join_lists(batches):
         yield close(rows)
 
 
+def sketches(value: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Parities of the element counts in as many cells as elements, or up to twice as many.
+
+    Two sets differ in at least as many elements as their sketches differ in bits.
+    """
+    n = np.diff(at)
+    cells = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    base = np.concatenate([[0], np.cumsum(cells)])
+    cell = (kernels.mix(value + _SECOND) & np.repeat(cells - 1, n).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(base[:-1], n) + cell, minlength=base[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return [packed[a:b].tobytes() for a, b in zip(base[:-1] // 8, base[1:] // 8)]
+
+
+def _halved(words: np.ndarray) -> np.ndarray:
+    """Sketches with half the cells."""
+    half = words.shape[-1] // 2
+    return words[..., :half] ^ words[..., half:]
+
+
+def plausible_groups(n: np.ndarray, words: list[np.ndarray], percent: int) -> np.ndarray:
+    """Label of each set: the first set of its group of sets that may be linked.
+
+    A pair that sizes and sketches rule out is no link. Sets that have been reached
+    are not looked at again.
+    """
+    label = np.full(len(n), -1)
+    width = np.array([len(w) for w in words])
+    rows_of = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+    whole = {w: np.stack([words[k] for k in rows]) for w, rows in rows_of.items()}
+    halves = {w: _halved(x) for w, x in whole.items()}
+    for seed in range(len(n)):
+        if label[seed] >= 0:
+            continue
+        label[seed], frontier = seed, [seed]
+        while frontier:
+            one = frontier.pop()
+            own = int(width[one])
+            for w, mine, theirs in ((own // 2, None, whole), (own, words[one], whole), (2 * own, words[one], halves)):
+                if w not in rows_of:
+                    continue
+                rows = rows_of[w]
+                pick = np.flatnonzero(label[rows] < 0)
+                common = need(n[one], n[rows[pick]], percent)
+                fits = common <= np.minimum(n[one], n[rows[pick]])
+                pick, common = pick[fits], common[fits]
+                if not len(pick):
+                    continue
+                mine = _halved(words[one]) if mine is None else mine
+                apart = np.bitwise_count(theirs[w][pick] ^ mine).sum(axis=1, dtype=np.int64)
+                hit = rows[pick[apart <= n[one] + n[rows[pick]] - 2 * common]]
+                label[hit] = seed
+                frontier.extend(hit.tolist())
+    return label
+
+
+def plausible(batches, percent: int):
+    """Stars of the sets of each list that may be linked; rows come ordered by list."""
+
+    def close(rows: list) -> list:
+        node, n, data = zip(*rows)
+        label = plausible_groups(np.array(n), [np.frombuffer(x, np.uint64) for x in data], percent)
+        return [(node[k], node[j]) for k, j in enumerate(label) if k != j]
+
+    task, rows, out = None, [], []
+    for batch in batches:
+        for name, *row in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if name != task:
+                out += close(rows) if len(rows) > 1 else []
+                task, rows = name, []
+            rows.append(row)
+        if len(out) > 20_000:
+            yield _links(out, pa.int64())
+            out = []
+    out += close(rows) if len(rows) > 1 else []
+    yield _links(out, pa.int64())
+
+
 def linked_groups(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Label of each set: the index of the first set of its group of linked sets.
 
@@ -314,6 +393,6 @@ def verify(batches, percent: int):
     yield _links(out)
 
 
-def _links(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+def _links(rows: list[tuple], kind: pa.DataType = pa.string()) -> pa.RecordBatch:
     a, b = zip(*rows) if rows else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])

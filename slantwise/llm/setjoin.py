@@ -13,9 +13,10 @@ from slantwise.llm.components import connected_components
 from slantwise.llm.repeats import in_filter
 from slantwise.session import materialize
 
-PACKED = "bucket int, keys binary, nodes binary, picks binary, links binary"
+PACKED = "bucket int, keys binary, nodes binary, picks binary"
 BUCKET_ENTRIES = 1 << 20
 BLOCK_ELEMENTS = 2 << 20
+LIST_SETS = 4096
 SIZES_LOOKED_AT = 40
 
 
@@ -24,10 +25,12 @@ def text_key(text_col: str):
     return F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
 
 
-def candidate_links(texts: DataFrame, shingle: int, percent: int, small: int, elements: int) -> DataFrame:
-    """Pairs of set digests that stand in one list, each list as a star.
+def candidate_links(texts: DataFrame, classes: DataFrame, shingle: int, percent: int, small: int, elements: int, list_sets: int = LIST_SETS) -> DataFrame:
+    """Pairs of set digests that share a list and whose sketches allow a link, as stars.
 
     ``elements`` (of all sets) sets the number of buckets, so a bucket fits a task.
+    Only members of lists with several sets meet their sketches; a list of more than
+    ``list_sets`` sets is cut into blocks, and every two blocks are one task.
     """
     share = 2 * (100 - percent) / (100 + percent)
     buckets = max(1, round(elements * 2 * share / BUCKET_ENTRIES))
@@ -36,7 +39,21 @@ def candidate_links(texts: DataFrame, shingle: int, percent: int, small: int, el
         return pairs.entries(batches, 0, shingle, small, percent, buckets)
 
     packed = texts.mapInArrow(run, PACKED).repartition("bucket").sortWithinPartitions("bucket")
-    return materialize(packed.mapInArrow(pairs.join_lists, "a long, b long"), "candidate-links")
+    lists = packed.mapInArrow(pairs.join_lists, "list long, node long, k long")
+    lists = lists.repartition("node").dropDuplicates(["node", "list"])
+    lists = _block_tasks(lists.withColumn("blocks", F.ceil(F.col("k") / list_sets).cast("int")), "list", "node")
+    drawn = classes.select(F.col("d1").alias("node"), "n", "sketch")
+    rows = lists.select("node", "task").join(drawn, "node").select("task", "node", "n", "sketch")
+    rows = rows.repartition("task").sortWithinPartitions("task")
+    return materialize(rows.mapInArrow(lambda batches: pairs.plausible(batches, percent), "a long, b long"), "candidate-links")
+
+
+def _block_tasks(rows: DataFrame, group: str, name: str) -> DataFrame:
+    """``rows`` once per ``task``: their group, or each pair of its ``blocks`` with their own."""
+    own = F.pmod(F.xxhash64(name), F.col("blocks")).cast("int")
+    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), own))
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(other))
+    return dealt.withColumn("task", F.concat_ws("/", group, F.least("own", "other"), F.greatest("own", "other")))
 
 
 def similar_components(
@@ -57,10 +74,11 @@ def similar_components(
 
     Equal sets are one class. Sets of up to ``small`` elements are found through
     all their subsets of the size a partner must share, larger ones through
-    inverted lists; ``small`` is chosen by cost from the histogram of sizes.
-    Candidate groups are then linked exactly; a group of more than
-    ``block_elements`` elements is cut into blocks and every two blocks are linked
-    in one task. A list never leaves a task with more than one entry per buffer.
+    inverted lists; ``small`` is chosen by cost from the histogram of sizes. Within
+    a list, sketches rule out the pairs that differ too much, so documents that
+    only share a passage do not become one candidate group. Candidate groups are
+    then linked exactly; a group of more than ``block_elements`` elements is cut
+    into blocks and every two blocks are linked in one task.
 
     Null or empty text has no shingles, links with nothing and is its own
     component. A null id is never the least; a component of null ids only has a
@@ -74,17 +92,18 @@ def similar_components(
         base.select(F.col(id_col).alias("id"), key.alias("text_key"), F.col(text_col).alias("t")),
         "t",
         lambda column: pairs.head_columns(column, shingle),
-        [("n", T.LongType()), ("d1", T.LongType()), ("d2", T.LongType())],
+        [("n", T.LongType()), ("d1", T.LongType()), ("d2", T.LongType()), ("sketch", T.BinaryType())],
     ).drop("t")
     heads = materialize(heads.withColumn("name", F.concat_ws(":", "n", "d1", "d2")), "set-heads")
     elements = heads.agg(F.sum("n")).first()[0] or 0
     if small is None:
         counts = heads.where(F.col("n").between(1, SIZES_LOOKED_AT)).groupBy("n").count().collect()
         small = pairs.boundary({r["n"]: r["count"] for r in counts}, percent)
-    links = candidate_links(base.select(F.col(text_col).alias("t")), shingle, percent, small, elements)
-    groups = connected_components(links).withColumnRenamed("root", "g")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key"))
-    classes = materialize(heads.where("n > 0").groupBy("name", "d1", "n").agg(first.alias("least")), "set-classes")
+    classes = heads.where("n > 0").groupBy("name", "d1", "n").agg(first.alias("least"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes, "set-classes")
+    links = candidate_links(base.select(F.col(text_col).alias("t")), classes, shingle, percent, small, elements)
+    groups = connected_components(links).withColumnRenamed("root", "g")
     members = classes.join(groups, F.col("d1") == F.col("node")).select("g", "name", "n", F.col("least.text_key").alias("text_key"))
     members = materialize(members, "members")
     verified = _verified(base, text_col, members, shingle, percent, block_elements)
@@ -118,10 +137,7 @@ def _verified(base: DataFrame, text_col: str, members: DataFrame, shingle: int,
     totals = members.groupBy("g").agg(F.sum("n").alias("size"), F.count("*").alias("c")).where("c > 1")
     totals = totals.select("g", F.ceil(F.col("size") / block_elements).cast("int").alias("blocks"))
     wanted = members.join(totals, "g").select("g", "name", "text_key", "blocks")
-    own = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
-    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), own))
-    wanted = wanted.withColumn("own", own).withColumn("other", F.explode(other))
-    wanted = wanted.select("name", "text_key", F.concat_ws("/", "g", F.least("own", "other"), F.greatest("own", "other")).alias("task"))
+    wanted = _block_tasks(wanted, "g", "name").select("name", "text_key", "task")
     texts = base.select(text_key(text_col).alias("key"), F.col(text_col).alias("t"))
     texts = _first_in_task(in_filter(texts, "key", members, "text_key"))
     sets = append_columns(
