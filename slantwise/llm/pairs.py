@@ -279,31 +279,31 @@ def plausible_groups(n: np.ndarray, words: list[np.ndarray], percent: int) -> np
     """
     label = np.full(len(n), -1)
     width = np.array([len(w) for w in words])
-    rows_of = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
-    whole = {w: np.stack([words[k] for k in rows]) for w, rows in rows_of.items()}
-    halves = {w: _halved(x) for w, x in whole.items()}
+    left = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+    whole = {w: np.stack([words[k] for k in rows]) for w, rows in left.items()}
     for seed in range(len(n)):
         if label[seed] >= 0:
             continue
         label[seed], frontier = seed, [seed]
-        while frontier:
+        while frontier and left:
             one = frontier.pop()
             own = int(width[one])
-            for w, mine, theirs in ((own // 2, None, whole), (own, words[one], whole), (2 * own, words[one], halves)):
-                if w not in rows_of:
-                    continue
-                rows = rows_of[w]
-                pick = np.flatnonzero(label[rows] < 0)
-                common = need(n[one], n[rows[pick]], percent)
-                fits = common <= np.minimum(n[one], n[rows[pick]])
-                pick, common = pick[fits], common[fits]
-                if not len(pick):
+            for w in (own // 2, own, 2 * own):
+                if w not in left:
                     continue
-                mine = _halved(words[one]) if mine is None else mine
-                apart = np.bitwise_count(theirs[w][pick] ^ mine).sum(axis=1, dtype=np.int64)
-                hit = rows[pick[apart <= n[one] + n[rows[pick]] - 2 * common]]
-                label[hit] = seed
-                frontier.extend(hit.tolist())
+                rows = left[w]
+                common = need(n[one], n[rows], percent)
+                mine = _halved(words[one]) if w < own else words[one]
+                theirs = _halved(whole[w]) if w > own else whole[w]
+                apart = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
+                hit = (common <= np.minimum(n[one], n[rows])) & (apart <= n[one] + n[rows] - 2 * common)
+                found = rows[hit & (label[rows] < 0)]
+                label[found] = seed
+                frontier.extend(found.tolist())
+                if hit.any():
+                    left[w], whole[w] = rows[~hit], whole[w][~hit]
+                    if not len(left[w]):
+                        del left[w]
     return label
 
 

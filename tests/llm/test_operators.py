@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,21 @@ def test_similar_components(spark, small, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == {k: (len(s), root[k]) for k, s in enumerate(sets)}
 
 
+def test_sketches_rule_out_no_link():
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**63, 400, dtype=np.uint64)
+    sets = [np.unique(base[a : a + n]) for n in (1, 5, 63, 64, 65, 120, 130, 256, 300) for a in (0, 3, 20, 90)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    words = [np.frombuffer(x, np.uint64) for x in pairs.sketches(np.concatenate(sets), bounds)]
+    label = pairs.plausible_groups(np.diff(bounds), words, 80)
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            common = len(np.intersect1d(x, y))
+            if 100 * common >= 80 * (len(x) + len(y) - common):
+                assert label[a] == label[b]
+    assert label[0] != label[3] and len(set(label.tolist())) > 5
+
+
 def test_keep_one_leaves_one_of_each_group(docs):
     kept = bag(setjoin.keep_one(docs), "doc_id")
     assert kept == Counter((k,) for k in (1, 4, 5, 6, 7, 8, 9, 10, 11))
