@@ -9,7 +9,7 @@ from slantwise import constants as K
 from slantwise.operators.features import Analyzer, vocabulary
 from slantwise.operators.labels import assign_labels
 from slantwise.operators.linear import with_score_columns
-from slantwise.operators.prep import filter_length, normalize
+from slantwise.operators.prep import normalize
 from slantwise.operators.training import LinearModel
 from slantwise.session import materialize, spread
 
@@ -59,8 +59,8 @@ def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents of the usual length with normalised text."""
-    return normalize(filter_length(labeled_docs(spark, sf_dir)))
+    """Labelled documents with normalised text."""
+    return normalize(labeled_docs(spark, sf_dir))
 
 
 def _probabilities(step: Column | int = 7) -> list[Column]:
@@ -90,7 +90,7 @@ def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fitted_vocabulary(spark: SparkSession, sf_dir: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
     """Vocabulary of the labelled clean documents, fitted once and stored."""
     corpus = clean_docs(spark, sf_dir).where(F.col("label").isNotNull())
-    return materialize(vocabulary(corpus, analyzer), "vocab")
+    return materialize(vocabulary(corpus, analyzer, K.MAX_FEATURES), "vocab")
 
 
 def fixed_weights(vocab: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from slantwise import constants as K
 from slantwise.catalog import fixtures as fx
+from slantwise.functions import text as tx
 from slantwise.operators.splitting import SEED
 
 
@@ -78,8 +79,7 @@ LABELED = f"""{DOCS}, {SOURCE_LABELS}, {HUMAN}, labeled AS (
   LEFT JOIN human_labels h ON d.doc_id = h.doc_id)"""
 
 CLEAN = f"""{LABELED}, clean AS (
-  SELECT doc_id, source, lang, label, {_normalize('text')} AS text FROM labeled
-  WHERE length(text) BETWEEN {K.MIN_CHARS} AND {K.MAX_CHARS})"""
+  SELECT doc_id, source, lang, label, {_normalize('text')} AS text FROM labeled)"""
 
 
 def _probs(step: str = "7") -> str:
@@ -316,7 +316,7 @@ def _leave_one_out() -> str:
             added.append(f"SELECT doc_id, p, {bridge} AS term, 1 AS step FROM (SELECT doc_id, t, p, unnest(range(greatest(p - {n - 1}, 1), least(p - 1, len(t) - 1 - {n - 1}) + 1)) AS s FROM spots)")
     z0 = [f"CAST({v} AS DOUBLE)" for v in fx.INTERCEPTS]
     coefs = ", ".join(f"{_coef(i)} AS k{i}" for i in range(3))
-    return f"""WITH {TFIDF}, spots AS (SELECT doc_id, t, unnest(range(1, least(len(t), 100) + 1)) AS p FROM toks WHERE len(t) > 1),
+    return f"""WITH {TFIDF}, spots AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS p FROM toks WHERE len(t) > 1),
 steps AS ({' UNION ALL '.join(removed + added)}),
 moved AS (SELECT s.doc_id, s.p, s.term, sum(step) AS step FROM steps s JOIN vocab v ON s.term = v.term GROUP BY ALL HAVING sum(step) <> 0),
 changed AS (SELECT m.doc_id, m.p, {coefs}, coalesce(h.w, 0) AS old,
@@ -340,7 +340,7 @@ SELECT doc_id, CAST(rank AS INTEGER) AS rank, CAST(p - 1 AS INTEGER) AS position
 
 
 def _language(expr: str) -> str:
-    found = f"regexp_extract_all(lower(left({expr}, {K.LANGUAGE_SAMPLE_CHARS})), '[\\p{{L}}\\p{{N}}_]+')"
+    found = f"regexp_extract_all(lower({expr}), '[\\p{{L}}\\p{{N}}_]+')"
     hits = ", ".join(
         f"len(list_filter(found, lambda t: t IN ({_list(K.FUNCTION_WORDS[lang])}))) AS {lang}_hits" for lang in sorted(K.FUNCTION_WORDS)
     )
@@ -356,7 +356,7 @@ def _hash(expr: str) -> str:
 
 def _prepared(rows: str, where: str = "", before: str = "") -> str:
     """CTEs of the cleaned, de-duplicated corpus; ``before`` are CTEs it needs."""
-    bounds = f"BETWEEN {K.MIN_CHARS} AND {K.MAX_CHARS}"
+    bounds = f">= {K.MIN_CHARS}"
     return f"""{before}long_enough AS (SELECT doc_id, source, lang, region, {_normalize('text')} AS text FROM {rows}
   WHERE length(text) {bounds} {where}),
 first_copies AS (SELECT *, row_number() OVER (PARTITION BY {_hash('text')} ORDER BY doc_id) AS copy FROM long_enough),
@@ -370,22 +370,28 @@ def _html() -> str:
     brk = "chr(1)"
     pruned = _replace("html", r"(?s)<!--.*?-->|<![^>]*>", brk)
     for tag in K.DROPPED_TAGS:
-        pruned = _replace(pruned, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", brk)
+        pruned = _replace(pruned, rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)", brk)
 
     def decode(expr: str) -> str:
-        for name, character in K.ENTITIES:
-            expr = f"replace({expr}, {_quote(name)}, {_quote(character)})"
-        return expr
+        """Each reference between one ``&`` and the next, looked up once."""
+        number = "coalesce(TRY_CAST(nullif(regexp_extract(r, '^#([0-9]+);', 1), '') AS BIGINT), TRY_CAST('0x' || nullif(regexp_extract(r, '^#[xX]([0-9a-fA-F]+);', 1), '') AS BIGINT), 0)"
+        point = f"CASE WHEN {number} BETWEEN 128 AND 159 THEN c1[{number} - 127] WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INTEGER)) ELSE chr(65533) END"
+        name = "named[regexp_extract(r, '^([A-Za-z][A-Za-z0-9]*);', 1)]"
+        known = f"CASE WHEN regexp_matches(r, '^#([0-9]+|[xX][0-9a-fA-F]+);') THEN {point} ELSE {name} END"
+        rest = "regexp_replace(r, '^[^;]*;', '')"
+        return f"array_to_string(list_transform(string_split({expr}, '&'), lambda r, i: CASE WHEN i = 1 THEN r ELSE coalesce({known} || {rest}, '&' || r) END), '')"
 
     def strip(expr: str) -> str:
         return f"regexp_replace({expr}, {_quote(f'^{K.WS}+|{K.WS}+$')}, '', 'g')"
 
     nodes = f"string_split({decode(_replace('pruned', '<[^>]+>', brk))}, chr(1))"
     inner = "regexp_extract(pruned, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)"
-    return f"""WITH p AS (SELECT page_id AS doc_id, {pruned} AS pruned FROM pages)
+    names = ", ".join(f"{_quote(name)}: {_quote(value)}" for name, value in tx.ENTITIES.items())
+    return f"""WITH p AS (SELECT page_id AS doc_id, {pruned} AS pruned FROM pages),
+tables AS (SELECT MAP {{{names}}} AS named, [{_list(tx.C1_REFERENCES)}] AS c1)
 SELECT doc_id, {strip(decode(_replace(inner, '<[^>]+>', '')))} AS title,
   array_to_string(list_filter(list_transform({nodes}, lambda n: {strip('n')}), lambda n: n <> ''), ' ') AS text,
-  'unknown' AS source FROM p"""
+  'unknown' AS source FROM p, tables"""
 
 
 def _digest(tokens: str) -> str:
@@ -422,8 +428,8 @@ SELECT split, count(*) AS rows, count(label) AS labels FROM every GROUP BY split
         "label_template": f"""WITH {DOCS}, {HUMAN} SELECT doc_id, '' AS label, '' AS confidence, '' AS notes FROM docs
 WHERE doc_id NOT IN (SELECT doc_id FROM human_labels)""",
         "scored_sink": f"WITH {SCORED} SELECT doc_id, source, pred_label, {_r('polarity_score', 'entropy')} FROM scored",
-        "errors_sink": f"""WITH {SCORED} SELECT doc_id, label AS true_label, pred_label, {_r('confidence')}, md5(left(text, 300)) AS snippet_md5
-FROM known WHERE label <> pred_label ORDER BY doc_id LIMIT 200""",
+        "errors_sink": f"""WITH {SCORED} SELECT doc_id, label AS true_label, pred_label, {_r('confidence')}, md5(text) AS snippet_md5
+FROM known WHERE label <> pred_label""",
         "report_sink": f"WITH {SCORED}, {_report(('source', 'region'))} "
         + " UNION ALL ".join(f"SELECT field, group_name, {i} AS line_no, {line} AS line FROM report" for i, line in enumerate(report_lines)),
         "normalize_text": f"WITH {DOCS} SELECT doc_id, {_normalize('text')} AS text FROM docs",
@@ -479,10 +485,10 @@ tg AS (SELECT doc_id, pred_label AS class_name, unnest({_grams('t', 1, 2)}) AS t
 totals AS (SELECT class_name, term, count(DISTINCT doc_id) AS df, count(*) AS count FROM tg GROUP BY ALL HAVING count(DISTINCT doc_id) >= 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY class_name ORDER BY count DESC, term) AS rank FROM totals)
 SELECT class_name, CAST(rank AS INTEGER) AS rank, term, count FROM ranked WHERE rank <= 10""",
-        "subset_report": f"WITH {SCORED}, {_report(('source',), chr(108) + 'ang = ' + _quote('en'))} SELECT * FROM report",
-        "suppressed_groups": f"""WITH {SCORED}, {_report(('source',), "lang = 'en'")} SELECT field, group_name, size,
-  printf('Group size (%d) < k-anonymity threshold ({K.K_ANONYMITY})', size) AS reason FROM groups WHERE size < {K.K_ANONYMITY}""",
-        "subset_summary": f"""WITH {SCORED}, {_report(('source', 'region'), "lang = 'en'")}, sizes AS ({group_counts})
+        "subset_report": f"WITH {SCORED}, {_report(('source',))} SELECT * FROM report",
+        "suppressed_groups": f"""WITH {SCORED}, {_report(('source', 'lang'), k=60)} SELECT field, group_name, size,
+  printf('Group size (%d) < k-anonymity threshold (60)', size) AS reason FROM groups WHERE size < 60""",
+        "subset_summary": f"""WITH {SCORED}, {_report(('source', 'region'))}, sizes AS ({group_counts})
 SELECT field, count(*) FILTER (size >= {K.K_ANONYMITY}) AS groups_reported, count(*) FILTER (size < {K.K_ANONYMITY}) AS groups_suppressed,
   round(min(mean) FILTER (size >= {K.K_ANONYMITY}), 6) AS min_group_mean, round(max(mean) FILTER (size >= {K.K_ANONYMITY}), 6) AS max_group_mean
 FROM sizes GROUP BY field HAVING count(*) FILTER (size >= {K.K_ANONYMITY}) > 0""",
@@ -502,16 +508,14 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(contrib
 SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, CASE pred WHEN 0 THEN '{A}' WHEN 1 THEN '{B}' ELSE '{C}' END AS pred_label, contribution
 FROM ranked WHERE rank <= 15""",
         "leave_one_out": _leave_one_out(),
-        "misclassified": f"""WITH {SCORED} SELECT doc_id, label AS true_label, pred_label, {_r('confidence', PA, PB, PC)}, source, left(text, 300) AS text_snippet
-FROM known WHERE label <> pred_label ORDER BY doc_id LIMIT 200""",
+        "misclassified": f"""WITH {SCORED} SELECT doc_id, label AS true_label, pred_label, {_r('confidence', PA, PB, PC)}, source, text AS text_snippet
+FROM known WHERE label <> pred_label""",
         "error_rate": f"""WITH {SCORED} SELECT count(*) AS n, count(*) FILTER (label <> pred_label) AS errors,
   round(100.0::DOUBLE * count(*) FILTER (label <> pred_label) / count(*), 6) AS percent FROM known""",
         "propose_labels": f"""{agreed} SELECT s.doc_id, pred_label AS proposed_label, {_r('confidence')}, round({EXACT}, 6) AS entropy, true AS consistent
-FROM scored s JOIN votes v ON s.doc_id = v.doc_id WHERE label IS NULL AND confidence >= 0.5 AND kinds = 1
-ORDER BY round(confidence, 6) DESC, s.doc_id LIMIT 500""",
-        "class_keywords": f"""WITH {CLEAN}, numbered AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS place FROM clean WHERE label IS NOT NULL),
-joined AS (SELECT label AS class_name, left(string_agg(left(text, 50000), ' ' ORDER BY doc_id), 50000) AS text FROM numbered WHERE place <= 200 GROUP BY label),
-{_keywords('joined', 'class_name', 20)}""",
+FROM scored s JOIN votes v ON s.doc_id = v.doc_id WHERE label IS NULL AND confidence >= 0.5 AND kinds = 1""",
+        "class_keywords": f"""WITH {CLEAN}, class_docs AS (SELECT label AS class_name, text FROM clean WHERE label IS NOT NULL),
+{_keywords('class_docs', 'class_name', 20)}""",
         "doc_keywords": f"WITH {CLEAN}, {_keywords('clean', 'doc_id', 5)}",
         "mmr_select": _mmr(5, 0.5),
         "mmr_relevance_only": _mmr(5, 0.0),

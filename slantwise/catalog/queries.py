@@ -356,7 +356,7 @@ def tfidf_transform(spark, sf_dir):
 @query
 def linear_score(spark, sf_dir):
     model = fx.fixed_model(spark, sf_dir)
-    return ln.linear_scores(fx.clean_docs(spark, sf_dir), model.wide(), model.intercepts, rows=ROWS).select(
+    return ln.linear_scores(fx.docs(spark, sf_dir), model.wide(), model.intercepts, normalize=True, rows=ROWS).select(
         "doc_id", *rounded("z_0", "z_1", "z_2")
     )
 
@@ -377,7 +377,7 @@ def label_distribution(spark, sf_dir):
 @query
 def vocabulary(spark, sf_dir):
     corpus = lb.labeled(fx.clean_docs(spark, sf_dir))
-    return ft.vocabulary(corpus).select("term", "idx", "df", "cf", *rounded("idf"))
+    return ft.vocabulary(corpus, max_features=K.MAX_FEATURES).select("term", "idx", "df", "cf", *rounded("idf"))
 
 
 @query
@@ -460,20 +460,17 @@ def topic_leakage(spark, sf_dir):
 
 @query
 def subset_report(spark, sf_dir):
-    english = fx.scored(spark, sf_dir).where("lang = 'en'")
-    return rp.subset_report(english, "source")
+    return rp.subset_report(fx.scored(spark, sf_dir), "source")
 
 
 @query
 def suppressed_groups(spark, sf_dir):
-    english = fx.scored(spark, sf_dir).where("lang = 'en'")
-    return rp.suppressed_groups(english, ["source"])
+    return rp.suppressed_groups(fx.scored(spark, sf_dir), ["source", "lang"], 60)
 
 
 @query
 def subset_summary(spark, sf_dir):
-    english = fx.scored(spark, sf_dir).where("lang = 'en'")
-    return rp.subset_summary(english, ["source", "region"])
+    return rp.subset_summary(fx.scored(spark, sf_dir), ["source", "region"])
 
 
 @query
@@ -591,14 +588,14 @@ def train_svm_calibrated(spark, sf_dir):
 @query
 def predict_proba(spark, sf_dir):
     model = fx.fixed_model(spark, sf_dir)
-    decisions = ln.linear_scores(fx.clean_docs(spark, sf_dir), model.wide(), model.intercepts, rows=ROWS)
+    decisions = ln.linear_scores(fx.docs(spark, sf_dir), model.wide(), model.intercepts, normalize=True, rows=ROWS)
     return ln.predict_proba(decisions).select("doc_id", *rounded(*PROBS))
 
 
 @query
 def score_documents(spark, sf_dir):
     model = fx.fixed_model(spark, sf_dir)
-    scored = ln.score_documents(prep.filter_length(fx.docs(spark, sf_dir)), model.wide(), model.intercepts, rows=ROWS)
+    scored = ln.score_documents(fx.docs(spark, sf_dir), model.wide(), model.intercepts, rows=ROWS)
     return scored.select("doc_id", "source", "pred_label", *rounded(*PROBS, "polarity_score", "entropy"))
 
 
@@ -615,7 +612,7 @@ def balanced_weights(spark, sf_dir):
 def stream_score(spark, sf_dir):
     model = fx.fixed_model(spark, sf_dir)
     in_dir, out_dir = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
-    _json_lines(prep.filter_length(fx.docs(spark, sf_dir))).write.text(in_dir)
+    _json_lines(fx.docs(spark, sf_dir)).write.text(in_dir)
     score_stream(spark, in_dir, out_dir, scratch_path(spark, "stream-log"), model, files_per_batch=4).awaitTermination()
     return read_scored_stream(spark, out_dir).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "pred_label", *rounded(*PROBS, "polarity_score", "entropy")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,6 +23,12 @@ from slantwise.functions.arrays import contiguous_ngrams, let
 NFC_STABLE_RANGES = r"\x00-\x{2FF}\x{2002}-\x{2064}"
 MAY_NEED_NFC = "[^" + NFC_STABLE_RANGES + "]"
 
+# Named character references, by name without the closing semicolon.
+ENTITIES = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+# What the numeric references 128 to 159 stand for.
+C1_REFERENCES = [bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160)]
+NO_CHARACTER = "\ufffd"
+
 
 def _nfc_udf():
     """Built where it is used, so workers need no copy of this package."""
@@ -92,14 +100,16 @@ def simple_tokens(text: Column) -> Column:
 def detect_language(
     text: Column,
     words: Mapping[str, Iterable[str]] = K.FUNCTION_WORDS,
-    sample_chars: int = K.LANGUAGE_SAMPLE_CHARS,
+    sample_chars: int | None = None,
 ) -> Column:
-    """Language whose function words occur most often in the start of the text.
+    """Language whose function words occur most often in the text.
 
-    Ties go to the alphabetically first code; no hit gives ``unknown``. All
+    ``sample_chars`` restricts the count to the start of the text. Ties go to the
+    alphabetically first code; no hit gives ``unknown``. All
     counts come from one token array, so no row leaves its partition.
     """
-    found = F.regexp_extract_all(F.lower(F.left(text, F.lit(sample_chars))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    sample = text if sample_chars is None else F.left(text, F.lit(sample_chars))
+    found = F.regexp_extract_all(F.lower(sample), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
 
     def hits(sample: Column, lang: str) -> Column:
         return F.size(F.filter(sample, lambda token: token.isin(list(words[lang]))))
@@ -113,32 +123,43 @@ def detect_language(
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode numeric references and the named ones in the fixed table."""
+    """Decode numeric and named references, each once, from left to right.
 
-    def numeric(part: Column) -> Column:
-        digits = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
-        rest = F.regexp_replace(part, r"^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", "")
-        code = F.when(digits.rlike("^[xX]"), F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(digits)
-        point = F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0"))
-        return F.when(digits == "", F.concat(F.lit("&#"), part)).otherwise(F.concat(F.decode(point, "UTF-32"), rest))
+    Code points that are no character become U+FFFD; unknown names stay.
+    """
+    table = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+    reference = r"^(?:#([0-9]+)|#[xX]([0-9a-fA-F]+)|([A-Za-z][A-Za-z0-9]*));"
+
+    def character(decimal: Column, hexadecimal: Column) -> Column:
+        number = F.when(decimal != "", decimal).otherwise(F.conv(hexadecimal, 16, 10)).try_cast("bigint")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        point = F.when(valid, number).otherwise(F.lit(ord(NO_CHARACTER)))
+        plain = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        c1 = F.get(F.array(*map(F.lit, C1_REFERENCES)), (point - 128).cast("int"))
+        return F.when(point.between(128, 159), c1).otherwise(plain)
+
+    def part(p: Column) -> Column:
+        decimal, hexadecimal, name = (F.regexp_extract(p, reference, i) for i in (1, 2, 3))
+        found = F.when(name != "", F.try_element_at(table, name)).when(
+            (decimal != "") | (hexadecimal != ""), character(decimal, hexadecimal)
+        )
+        return F.coalesce(F.concat(found, F.regexp_replace(p, reference, "")), F.concat(F.lit("&"), p))
 
     def join_parts(parts: Column) -> Column:
-        return F.concat(
-            F.get(parts, F.lit(0)),
-            F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), numeric), ""),
-        )
+        rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), part)
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
 
-    out = let(F.split(text, "&#"), join_parts)
-    for name, character in K.ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(character))
-    return out
+    return F.when(text.contains("&"), let(F.split(text, "&"), join_parts)).otherwise(text)
 
 
 def drop_subtrees(html: Column, tags: Iterable[str] = K.DROPPED_TAGS) -> Column:
-    """Replace comments, declarations and unwanted subtrees by a node break."""
+    """Replace comments, declarations and unwanted subtrees by a node break.
+
+    A subtree that is never closed reaches to the end of the text.
+    """
     out = F.regexp_replace(html, r"(?s)<!--.*?-->|<![^>]*>", "\x01")
     for tag in tags:
-        out = F.regexp_replace(out, rf"(?is)<{re.escape(tag)}\b[^>]*>.*?</{re.escape(tag)}\s*>", "\x01")
+        out = F.regexp_replace(out, rf"(?is)<{re.escape(tag)}\b[^>]*>.*?(?:</{re.escape(tag)}\s*>|\z)", "\x01")
     return out
 
 

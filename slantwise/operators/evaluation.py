@@ -12,7 +12,6 @@ from slantwise.functions import scores as sc
 from slantwise.operators.ranking import exact_median
 
 ROUND = 6
-SNIPPET_CHARS = 300
 
 
 def confusion_matrix(
@@ -223,15 +222,20 @@ def misclassified(
     true_col: str = "label",
     pred_col: str = "pred_label",
     classes: Sequence[str] = K.CLASSES,
-    max_save: int = 200,
+    max_save: int | None = None,
+    snippet_chars: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The first wrong predictions by id, with probabilities and the start of the text."""
+    """Wrong predictions by id, with probabilities and text.
+
+    ``max_save`` keeps the first ones, ``snippet_chars`` the start of the text.
+    """
     names = sc.prob_columns(classes)
     extra = ["source"] if "source" in df.columns else []
-    snippet = [F.substring(text_col, 1, SNIPPET_CHARS).alias("text_snippet")] if text_col in df.columns else []
-    return (
+    shown = F.col(text_col) if snippet_chars is None else F.substring(text_col, 1, snippet_chars)
+    snippet = [shown.alias("text_snippet")] if text_col in df.columns else []
+    wrong = (
         df.where(F.col(true_col) != F.col(pred_col))
         .select(
             id_col,
@@ -243,8 +247,8 @@ def misclassified(
             *snippet,
         )
         .orderBy(id_col)
-        .limit(max_save)
     )
+    return wrong if max_save is None else wrong.limit(max_save)
 
 
 def error_rate(df: DataFrame, true_col: str = "label", pred_col: str = "pred_label") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from slantwise import constants as K
 from slantwise.functions import text as tx
 from slantwise.functions.arrays import value_counts
-from slantwise.session import small_side
+from slantwise.session import materialize, small_side
 
 ROUND = 6
 
@@ -69,10 +69,21 @@ def _most_frequent(stats: DataFrame, max_features: int) -> DataFrame:
     return stats.where(rung >= floor).orderBy(F.desc("cf"), "term").limit(max_features)
 
 
+def _with_index(stats: DataFrame) -> DataFrame:
+    """``idx`` of any number of terms: place in a range of terms plus the size of the ranges before."""
+    placed = materialize(stats.repartitionByRange("term").withColumn("_range", F.spark_partition_id()), "terms")
+    # One row per range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("term")) - 1
+    return placed.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn("idx", (F.col("_start") + F.col("_place")).cast("int"))
+
+
 def vocabulary(
     docs: DataFrame,
     analyzer: Analyzer = DEFAULT_ANALYZER,
-    max_features: int = K.MAX_FEATURES,
+    max_features: int | None = None,
     min_df: int | float = K.MIN_DF,
     max_df: int | float = K.MAX_DF,
     text_col: str = "text",
@@ -81,7 +92,8 @@ def vocabulary(
 
     One shuffle, on the term, with partial sums; a document adds one row per
     distinct term. Integer limits are counts, fractional ones shares of the
-    documents. ``max_features`` bounds the result, so it may be broadcast.
+    documents. ``max_features`` keeps the most frequent terms, which bounds the
+    result, so it may be broadcast; without it all terms stay.
     """
     n_docs = docs.select(F.count(F.lit(1))).scalar()
 
@@ -94,10 +106,14 @@ def vocabulary(
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
         .where((F.col("df") >= limit(min_df)) & (F.col("df") <= limit(max_df)))
     )
-    index = Window.orderBy("term")
-    return _most_frequent(stats, max_features).select(
+    if max_features is None:
+        indexed = _with_index(stats)
+    else:
+        index = F.row_number().over(Window.orderBy("term")) - 1
+        indexed = _most_frequent(stats, max_features).withColumn("idx", index)
+    return indexed.select(
         "term",
-        (F.row_number().over(index) - 1).alias("idx"),
+        "idx",
         "df",
         "cf",
         (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"),
@@ -269,7 +285,6 @@ def topic_leakage(
     docs: DataFrame,
     pred_col: str = "pred_label",
     top_k: int = 10,
-    max_features: int = 500,
     min_df: int = 2,
     stop_words: Iterable[str] = K.STOP_WORDS,
     text_col: str = "text",
@@ -281,6 +296,6 @@ def topic_leakage(
         .agg(F.count(F.lit(1)).alias("_df"), F.sum("tf").alias("count"))
         .where(F.col("_df") >= min_df)
     )
-    return top_per_group(totals, "class_name", "count", min(top_k, max_features)).select(
+    return top_per_group(totals, "class_name", "count", top_k).select(
         "class_name", "rank", "term", "count"
     )

@@ -11,10 +11,8 @@ from slantwise import constants as K
 from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
 from slantwise.functions.arrays import contiguous_ngrams, let, value_counts
-from slantwise.operators.features import ROUND
-
-CLASS_DOCUMENTS = 200
-CLASS_CHARS = 50_000
+from slantwise.operators.features import ROUND, top_per_group
+from slantwise.session import materialize, small_side
 
 
 def _text_square(runs: Column, others: Column, n_candidates: Column) -> Column:
@@ -195,43 +193,46 @@ def doc_keywords(
     return docs.select(id_col, F.inline(text_keywords(F.col(text_col), top_k, ngram_range, stop_words)))
 
 
-def class_texts(
-    docs: DataFrame,
-    label_col: str = "label",
-    max_docs: int = CLASS_DOCUMENTS,
-    max_chars: int = CLASS_CHARS,
-    text_col: str = "text",
-    id_col: str = "doc_id",
-) -> DataFrame:
-    """One text per class: its first documents by id, joined and cut.
-
-    The rank filter limits every task to ``max_docs`` rows per class before the
-    shuffle, and no document sends more characters than the cut leaves.
-    """
-    first = Window.partitionBy(label_col).orderBy(id_col)
-    chosen = (
-        docs.where(F.col(label_col).isNotNull())
-        .select(label_col, id_col, F.left(F.col(text_col), F.lit(max_chars)).alias("_text"))
-        .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= max_docs)
-    )
-    joined = chosen.groupBy(label_col).agg(F.sort_array(F.collect_list(F.struct("_rank", "_text"))).alias("_parts"))
-    combined = F.array_join(F.transform("_parts", lambda p: p["_text"]), " ")
-    return joined.select(F.col(label_col).alias("class_name"), F.left(combined, F.lit(max_chars)).alias("text"))
-
-
 def class_keywords(
     docs: DataFrame,
     label_col: str = "label",
     classes: Sequence[str] = K.CLASSES,
     top_k: int = 20,
     ngram_range: tuple[int, int] = K.NGRAM_RANGE,
-    max_docs: int = CLASS_DOCUMENTS,
-    max_chars: int = CLASS_CHARS,
+    stop_words: Iterable[str] = K.STOP_WORDS,
+    max_docs: int | None = None,
     text_col: str = "text",
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """Keywords of the joined text of every class; an absent class has no rows."""
+    """Keywords of all texts of every class; an absent class has no rows.
+
+    ``max_docs`` keeps the first documents of a class by id. Candidates are the
+    n-grams of single documents. Counts per class and term take the place of a
+    joined text, so no class is ever held in one row.
+    """
     known = docs.where(F.col(label_col).isin(list(classes)))
-    texts = class_texts(known, label_col, max_docs, max_chars, text_col, id_col)
-    return doc_keywords(texts, top_k, ngram_range, id_col="class_name")
+    if max_docs is not None:
+        first = Window.partitionBy(label_col).orderBy(id_col)
+        known = known.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= max_docs)
+    text, pair = F.col(text_col), ["class_name", "term"]
+    known = known.select(F.col(label_col).alias("class_name"), text.alias("_text"))
+    grams = contiguous_ngrams(tx.content_tokens(F.col("_text"), stop_words), *ngram_range)
+    candidates = known.select("class_name", F.explode(F.array_distinct(grams)).alias("keyword")).distinct()
+    candidates = materialize(candidates, "candidates")
+    parts = candidates.select("class_name", "keyword", F.inline(value_counts(F.split("keyword", " "))))
+    held = parts.groupBy(*pair).agg(F.count(F.lit(1)).alias("_held"))
+    # One row per class.
+    sizes = F.broadcast(candidates.groupBy("class_name").agg(F.count(F.lit(1)).alias("_n")))
+    words = known.select("class_name", F.inline(value_counts(tx.tokens(F.col("_text"))))).groupBy(*pair).agg(F.sum("tf").alias("_tf"))
+    idf = F.ln((F.col("_n") + 2.0) / (F.coalesce("_held", F.lit(0)) + 2.0)) + 1.0
+    weights = words.join(held, pair, "left").join(sizes, "class_name").select(*pair, "_tf", idf.alias("_idf"))
+    weights = materialize(weights, "class-weights")
+    total = F.col("_tf") * F.col("_idf")
+    norms = F.broadcast(weights.groupBy("class_name").agg(F.sum(total * total).alias("_sq")))
+    own = F.col("tf") * F.col("_idf")
+    sims = parts.join(small_side(weights), pair).groupBy("class_name", "keyword").agg(
+        F.sum(own * total).alias("_dot"), F.sum(own * own).alias("_own")
+    )
+    score = F.round(F.col("_dot") / F.sqrt(F.col("_sq") * F.col("_own")), ROUND)
+    scored = sims.join(norms, "class_name").select("class_name", "keyword", score.alias("score"))
+    return top_per_group(scored, "class_name", "score", top_k, "keyword").select("class_name", "rank", "keyword", "score")

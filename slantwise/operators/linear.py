@@ -41,26 +41,33 @@ def _weighted(counts: DataFrame, wide: DataFrame, analyzer: Analyzer, rows: int
 
 
 def _document_sums(
-    docs: DataFrame, wide: DataFrame, k: int, analyzer: Analyzer, text_col: str, id_col: str, rows: int | None
+    docs: DataFrame, wide: DataFrame, k: int, analyzer: Analyzer, text_col: str, key_col: str, rows: int | None
 ) -> DataFrame:
-    """Squared norm and products with the coefficients, one row per document.
+    """Copies, squared norm and products with the coefficients, one row per text key.
 
-    The norm and the products are sums over the same terms, so one aggregate
-    gives both. It runs per partition first: what is shuffled is one small row
-    per document, never its terms.
+    All are sums, so one aggregate gives them. It runs per partition first: what
+    is shuffled is one small row per text, never its terms.
     """
-    weighted = _weighted(term_counts(docs, analyzer, text_col, (id_col,)), wide, analyzer, rows)
-    return weighted.groupBy(id_col).agg(
-        F.sum(F.col("w") * F.col("w")).alias("_ss"),
-        *[F.sum(F.col("w") * F.col(f"coef_{i}")).alias(f"_dot_{i}") for i in range(k)],
+    dots = [f"_dot_{i}" for i in range(k)]
+    weighted = _weighted(term_counts(docs, analyzer, text_col, (key_col,)), wide, analyzer, rows).select(
+        key_col,
+        F.lit(0).alias("_copies"),
+        (F.col("w") * F.col("w")).alias("_ss"),
+        *[(F.col("w") * F.col(f"coef_{i}")).alias(name) for i, name in enumerate(dots)],
     )
+    copies = docs.select(key_col, F.lit(1).alias("_copies"), *[F.lit(0.0).alias(name) for name in ("_ss", *dots)])
+    both = weighted.unionByName(copies)
+    return both.groupBy(key_col).agg(*[F.sum(name).alias(name) for name in ("_copies", "_ss", *dots)])
 
 
 def _decisions(intercepts: DataFrame, k: int) -> list[Column]:
-    """Decision values from the sums; without a known term only the intercept counts."""
+    """Decision values from the sums; without a known term only the intercept counts.
+
+    Copies of a text multiply its sums; norm and product together take that out.
+    """
+    norm = F.sqrt(F.col("_ss") * F.col("_copies"))
     return [
-        _intercept(intercepts, i) + F.coalesce(F.try_divide(F.col(f"_dot_{i}"), F.sqrt("_ss")), F.lit(0.0))
-        for i in range(k)
+        _intercept(intercepts, i) + F.coalesce(F.try_divide(F.col(f"_dot_{i}"), norm), F.lit(0.0)) for i in range(k)
     ]
 
 
@@ -73,12 +80,22 @@ def linear_scores(
     text_col: str = "text",
     id_col: str = "doc_id",
     rows: int | None = None,
+    keep: Sequence[str] | None = None,
+    normalize: bool = False,
 ) -> DataFrame:
-    """``(id, z_0, z_1, ...)``: intercept plus coefficient times tf-idf, per class."""
-    k = len(classes)
-    sums = _document_sums(docs, wide, k, analyzer, text_col, id_col, rows)
+    """``(id, z_0, z_1, ...)``: intercept plus coefficient times tf-idf, per class.
+
+    One row per input row: sums are kept per text, not per id, so repeated and
+    null ids score by their own text. Null text scores by the intercepts.
+    ``keep`` lists the columns to carry instead of the id.
+    """
+    k, text = len(classes), F.col(text_col)
+    key = F.md5(text).alias("_key")
+    clean = docs.select(key, (tx.normalize_text(text) if normalize else text).alias("_clean"))
+    sums = _document_sums(clean, wide, k, analyzer, "_clean", "_key", rows)
     values = [z.alias(f"z_{i}") for i, z in enumerate(_decisions(intercepts, k))]
-    return docs.select(id_col).join(sums, id_col, "left").select(id_col, *values)
+    kept = [id_col] if keep is None else list(keep)
+    return docs.select(*kept, key).join(sums, "_key", "left").select(*kept, *values)
 
 
 def predict_proba(decisions: DataFrame, classes: Sequence[str] = K.CLASSES, id_col: str = "doc_id") -> DataFrame:
@@ -114,14 +131,9 @@ def score_documents(
     Only the columns used later travel with the final join: drop ``text`` after
     scoring and it is read once, on the map side, and never shuffled.
     """
-    text, k = F.col(text_col), len(classes)
-    clean = docs.select(id_col, (tx.normalize_text(text) if normalize else text).alias("_clean"))
-    sums = _document_sums(clean, wide, k, analyzer, "_clean", id_col, rows)
-    names = [f"_z_{i}" for i in range(k)]
-    decided = docs.join(sums, id_col, "left").select(
-        *docs.columns, *[z.alias(name) for z, name in zip(_decisions(intercepts, k), names)]
-    )
-    probs = sc.softmax([F.col(name) for name in names])
+    k = len(classes)
+    decided = linear_scores(docs, wide, intercepts, classes, analyzer, text_col, id_col, rows, docs.columns, normalize)
+    probs = sc.softmax([F.col(f"z_{i}") for i in range(k)])
     scored = decided.select(*docs.columns, *[p.alias(name) for p, name in zip(probs, sc.prob_columns(classes))])
     return with_score_columns(scored, classes)
 
@@ -192,18 +204,18 @@ def leave_one_out(
     classes: Sequence[str] = K.CLASSES,
     analyzer: Analyzer = DEFAULT_ANALYZER,
     top_k: int = 15,
-    max_tokens: int = 100,
+    max_tokens: int | None = None,
     text_col: str = "text",
     id_col: str = "doc_id",
     rows: int | None = None,
 ) -> DataFrame:
     """How much the predicted probability falls when one token is left out.
 
-    The first ``max_tokens`` content tokens are tried in turn. Leaving token i
+    All content tokens, or the first ``max_tokens``, are tried in turn. Leaving token i
     out removes the n-grams that cover it and adds those that now bridge the
     gap; every other n-gram keeps its count. So a variant is described by the
     few terms it changes, and its decision values follow from the document's
-    sums plus the changes, instead of rescoring a hundred whole texts.
+    sums plus the changes, instead of rescoring the text once per token.
     """
     low, high = analyzer.ngram_range
     tokens = tx.simple_tokens(F.col(text_col)) if analyzer.simple else tx.content_tokens(F.col(text_col), analyzer.stop_words)
@@ -216,26 +228,26 @@ def leave_one_out(
         return F.concat(*spaced)
 
     def changes(t: Column, i: Column) -> Column:
-        """N-grams that cover token i, and those that bridge the gap it leaves."""
+        """N-grams that start at token i, with the number of tokens whose removal
+        takes them away, and those that bridge the gap that i leaves."""
         signed = []
         for n in range(low, high + 1):
-            for before in range(n):
-                covered = [F.get(t, i - before + k) for k in range(n)]
-                signed.append(F.struct(joined(covered).alias("term"), F.lit(-1).alias("step")))
+            whole = joined([F.get(t, i + k) for k in range(n)])
+            signed.append(F.struct(whole.alias("term"), F.lit(n).alias("span"), F.lit(-1).alias("step")))
             for before in range(1, n):
                 bridged = [F.get(t, i - before + k) for k in range(before)]
                 bridged += [F.get(t, i + 1 + k) for k in range(n - before)]
-                signed.append(F.struct(joined(bridged).alias("term"), F.lit(1).alias("step")))
+                signed.append(F.struct(joined(bridged).alias("term"), F.lit(1).alias("span"), F.lit(1).alias("step")))
         return F.filter(F.array(*signed), lambda s: s["term"].isNotNull())
 
     def variants(t: Column) -> Column:
-        spots = F.transform(
-            F.slice(t, F.lit(1), F.lit(max_tokens)),
-            lambda token, i: F.struct(i.alias("position"), token.alias("token"), changes(t, i).alias("signed")),
-        )
+        spots = F.transform(t, lambda token, i: F.struct(i.alias("start"), changes(t, i).alias("signed")))
         # A document of one token has nothing left to score.
         return F.when(F.size(t) > 1, spots).otherwise(F.slice(spots, F.lit(1), F.lit(0)))
 
+    def tried(position: Column) -> Column:
+        return F.lit(True) if max_tokens is None else position < max_tokens
+
     base = docs.select(id_col, tokens.alias("_tokens")).repartition(id_col)
     names = [f"coef_{i}" for i in range(len(classes))]
     side = small_side(wide, rows)
@@ -252,8 +264,10 @@ def leave_one_out(
     # Only the changed terms the model knows are kept; their weights follow once
     # equal steps have been added up.
     stepped = (
-        spots.select(id_col, "position", F.inline("signed"))
-        .join(side.select("term") if rows is None else F.broadcast(wide.select("term")), "term")
+        spots.select(id_col, "start", F.inline("signed"))
+        .join(small_side(wide.select("term"), rows), "term")
+        .select(id_col, "term", "step", F.explode(F.sequence("start", F.col("start") + F.col("span") - 1)).alias("position"))
+        .where(tried(F.col("position")))
         .groupBy(id_col, "position", "term")
         .agg(F.sum("step").alias("_step"))
         .where(F.col("_step") != 0)
@@ -273,8 +287,8 @@ def leave_one_out(
         F.sum(F.when(vanishes, -1).when(appears, 1).otherwise(0)).alias("_d_terms"),
     )
     places = base.where(F.size("_tokens") > 1).select(
-        id_col, F.posexplode(F.slice("_tokens", 1, max_tokens)).alias("position", "token")
-    )
+        id_col, F.posexplode("_tokens").alias("position", "token")
+    ).where(tried(F.col("position")))
     joined_sums = (
         places
         .join(full, id_col, "left")

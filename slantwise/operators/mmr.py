@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slantwise.functions.arrays import cosine
 from slantwise.operators.features import ROUND
-from slantwise.session import materialize
-
-# Groups up to this size are handled by one task each; larger ones in rounds.
-GROUP_ROWS = 20_000
+from slantwise.session import materialize, small_side
 
 
 def mmr_select(
@@ -24,15 +18,15 @@ def mmr_select(
     id_col: str = "cand_id",
     vector_col: str = "vector",
     query_col: str = "query",
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Greedy selection per group: ``(group, pick, id, similarity)``.
 
     The first pick is the candidate most similar to the query; each further one
     maximises ``(1 - diversity) * similarity - diversity * redundancy``, where
     redundancy is its highest similarity to a pick so far. Ties go to the lower
-    id. No candidate is cut off: small groups run in one task each, a group of
-    more than ``group_rows`` candidates in ``top_k`` distributed rounds.
+    id. A missing vector or query is similar to nothing. No candidate is cut off,
+    and no group is gathered: each pick is one pass over the stored vectors, with
+    the picks so far (at most ``top_k`` per group) joined to them.
     """
     relevant = candidates.select(
         group_col,
@@ -47,81 +41,31 @@ def mmr_select(
             .where(F.col("pick") <= top_k)
             .select(group_col, "pick", id_col, F.round("_rel", ROUND).alias("similarity"))
         )
-    sizes = candidates.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > group_rows).select(group_col)
-    if large.isEmpty():
-        return _in_groups(relevant, top_k, diversity, group_col, id_col)
-    small = relevant.join(large, group_col, "left_anti")
-    big = relevant.join(large, group_col, "left_semi")
-    return _in_groups(small, top_k, diversity, group_col, id_col).unionByName(
-        _in_rounds(big, top_k, diversity, group_col, id_col)
-    )
-
-
-def _in_groups(relevant: DataFrame, top_k: int, diversity: float, group_col: str, id_col: str) -> DataFrame:
-    """All picks of a group in one task; the vectors are a matrix there."""
-    schema = T.StructType(
-        [
-            relevant.schema[group_col],
-            T.StructField("pick", T.IntegerType()),
-            relevant.schema[id_col],
-            T.StructField("similarity", T.DoubleType()),
-        ]
-    )
-
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(id_col, kind="stable").reset_index(drop=True)
-        vectors = np.stack(group["_v"].to_numpy())
-        length = np.linalg.norm(vectors, axis=1)
-        unit = vectors / np.where(length > 0, length, 1.0)[:, None]
-        rel = group["_rel"].to_numpy()
-        worth = rel.copy()
-        redundancy = np.full(len(group), -np.inf)
-        free = np.ones(len(group), dtype=bool)
-        chosen = []
-        for _ in range(min(top_k, len(group))):
-            best = int(np.argmax(np.where(free, np.round(worth, 12), -np.inf)))
-            chosen.append(best)
-            free[best] = False
-            redundancy = np.maximum(redundancy, unit @ unit[best])
-            worth = (1 - diversity) * rel - diversity * redundancy
-        return pd.DataFrame(
-            {
-                group_col: group[group_col].iloc[0],
-                "pick": np.arange(1, len(chosen) + 1, dtype=np.int32),
-                id_col: group[id_col].iloc[chosen].to_numpy(),
-                "similarity": np.round(rel[chosen], ROUND),
-            }
-        )
-
-    return relevant.groupBy(group_col).applyInPandas(pick, schema)
-
-
-def _in_rounds(relevant: DataFrame, top_k: int, diversity: float, group_col: str, id_col: str) -> DataFrame:
-    """One distributed round per pick; the state is written out between rounds."""
-    worth = F.when(F.col("_red").isNull(), F.col("_rel")).otherwise(
-        (1 - diversity) * F.col("_rel") - diversity * F.col("_red")
-    )
-    state = relevant.withColumn("_red", F.lit(None).cast("double"))
+    vectors = materialize(relevant, "mmr-vectors")
     chosen = None
     for number in range(1, top_k + 1):
-        state = materialize(state, f"mmr-{number}")
-        # The best row per group in two partial aggregates: the value, then the lowest id.
-        worths = state.withColumn("_worth", F.round(worth, 12))
-        top = worths.groupBy(group_col).agg(F.max("_worth").alias("_worth"))
-        lowest = worths.join(top, [group_col, "_worth"]).groupBy(group_col).agg(F.min(id_col).alias(id_col))
-        best = materialize(worths.join(lowest, [group_col, id_col]).select(group_col, id_col, "_v", "_rel"), "mmr-pick")
-        if best.isEmpty():
+        best = _best(vectors, chosen, diversity, group_col, id_col)
+        best = materialize(best.withColumn("pick", F.lit(number)), "mmr-pick")
+        if number > 1 and best.isEmpty():
             break
-        picked = best.select(
-            group_col, F.lit(number).alias("pick"), id_col, F.round("_rel", ROUND).alias("similarity")
-        )
-        chosen = picked if chosen is None else chosen.unionByName(picked)
-        last = best.select(group_col, F.col(id_col).alias("_picked"), F.col("_v").alias("_pv"))
-        state = (
-            state.join(last, group_col)
-            .where(F.col(id_col) != F.col("_picked"))
-            .withColumn("_red", F.greatest("_red", cosine(F.col("_v"), F.col("_pv"))))
-            .drop("_picked", "_pv")
+        chosen = best if chosen is None else chosen.unionByName(best)
+    return chosen.select(group_col, "pick", id_col, F.round("_rel", ROUND).alias("similarity"))
+
+
+def _best(vectors: DataFrame, chosen: DataFrame | None, diversity: float, group_col: str, id_col: str) -> DataFrame:
+    """The next pick of every group that has candidates left."""
+    if chosen is None:
+        open_rows = vectors.select(group_col, id_col, F.round("_rel", 12).alias("_worth"))
+    else:
+        picks = chosen.groupBy(group_col).agg(F.collect_list("_v").alias("_pv"), F.collect_list(id_col).alias("_taken"))
+        nearest = F.array_max(F.transform("_pv", lambda p: cosine(F.col("_v"), p)))
+        # A pick without a vector is in no list and is similar to nothing.
+        missing = F.when(F.size("_pv") < F.size("_taken"), F.lit(0.0))
+        worth = (1 - diversity) * F.col("_rel") - diversity * F.coalesce(F.greatest(nearest, missing), F.lit(0.0))
+        open_rows = (
+            vectors.join(small_side(picks), group_col)
+            .where(~F.array_contains("_taken", F.col(id_col)))
+            .select(group_col, id_col, F.round(worth, 12).alias("_worth"))
         )
-    return chosen
+    first = open_rows.groupBy(group_col).agg(F.min(F.struct(-F.col("_worth"), id_col)).alias("_first"))
+    return vectors.join(small_side(first.select(group_col, F.col(f"_first.{id_col}").alias(id_col))), [group_col, id_col])

@@ -12,10 +12,11 @@ from slantwise.functions import text as tx
 
 
 def filter_length(
-    df: DataFrame, min_chars: int = K.MIN_CHARS, max_chars: int = K.MAX_CHARS, text_col: str = "text"
+    df: DataFrame, min_chars: int = K.MIN_CHARS, max_chars: int | None = K.MAX_CHARS, text_col: str = "text"
 ) -> DataFrame:
-    """Keep texts of ``min_chars``..``max_chars`` characters; null text is dropped."""
-    return df.where(F.char_length(F.col(text_col)).between(min_chars, max_chars))
+    """Keep texts of ``min_chars``..``max_chars`` characters (``None``: no upper bound); null text is dropped."""
+    length = F.char_length(F.col(text_col))
+    return df.where(length >= min_chars if max_chars is None else length.between(min_chars, max_chars))
 
 
 def filter_language(
@@ -53,7 +54,7 @@ def normalize(df: DataFrame, text_col: str = "text") -> DataFrame:
 def preprocess(
     df: DataFrame,
     min_chars: int = K.MIN_CHARS,
-    max_chars: int = K.MAX_CHARS,
+    max_chars: int | None = None,
     language: str | None = "en",
     normalize_unicode: bool = True,
     dedup: bool = True,

@@ -17,12 +17,14 @@ def propose_labels(
     rounds: DataFrame,
     final: DataFrame,
     confidence: float = 0.85,
-    max_new: int = 500,
+    max_new: int | None = None,
     classes: Sequence[str] = K.CLASSES,
     id_col: str = "doc_id",
 ) -> DataFrame:
     """Confident proposals on which every round agrees, the most confident first.
 
+    All of them, or the first ``max_new``.
+
     ``rounds`` holds one row per document and round, ``final`` one per document.
     Agreement is smallest prediction = largest prediction, a partial aggregate;
     documents below the threshold leave before the join.
@@ -47,4 +49,5 @@ def propose_labels(
         F.round("_entropy", ROUND).alias("entropy"),
         "consistent",
     )
-    return accepted.orderBy(F.desc("confidence"), id_col).limit(max_new)
+    ordered = accepted.orderBy(F.desc("confidence"), id_col)
+    return ordered if max_new is None else ordered.limit(max_new)

@@ -97,7 +97,8 @@ def test_histogram_matches_numpy(spark):
 
 def test_misclassified(scored):
     df = scored.withColumn("text", F.repeat(F.lit("é"), 400)).withColumn("source", F.lit("s"))
-    rows = ev.misclassified(df, max_save=2).collect()
+    assert all(len(r.text_snippet) == 400 for r in ev.misclassified(df).collect())
+    rows = ev.misclassified(df, max_save=2, snippet_chars=300).collect()
     assert [r.doc_id for r in rows] == [1, 4] and len(rows[0].text_snippet) == 300
     assert ev.misclassified(scored.where("doc_id = 0")).count() == 0
 
@@ -186,9 +187,8 @@ def greedy(vectors, query, top_k, diversity):
     return chosen
 
 
-@pytest.mark.parametrize("group_rows", [1000, 5])
 @pytest.mark.parametrize("diversity", [0.0, 0.3, 0.7])
-def test_mmr_in_groups_and_in_rounds(spark, diversity, group_rows):
+def test_mmr_of_groups(spark, diversity):
     rng = np.random.default_rng(3)
     rows, expected = [], {}
     for group, n in (("big", 12), ("small", 3)):
@@ -197,6 +197,13 @@ def test_mmr_in_groups_and_in_rounds(spark, diversity, group_rows):
         expected[group] = greedy(vectors, query, 4, diversity)
     df = spark.createDataFrame(rows, "group_id string, cand_id long, vector array<double>, query array<double>")
     picks = {}
-    for r in mmr_select(df, 4, diversity, group_rows=group_rows).orderBy("group_id", "pick").collect():
+    for r in mmr_select(df, 4, diversity).orderBy("group_id", "pick").collect():
         picks.setdefault(r.group_id, []).append(r.cand_id)
     assert picks == expected
+
+
+def test_mmr_without_vectors(spark):
+    rows = [("a", 1, None, [1.0, 0.0]), ("a", 2, [1.0, 0.0], [1.0, 0.0]), ("a", 3, [0.0, 0.0], [1.0, 0.0]), ("b", 4, [1.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "group_id string, cand_id long, vector array<double>, query array<double>")
+    got = [tuple(r) for r in mmr_select(df, 5).orderBy("group_id", "pick").collect()]
+    assert got == [("a", 1, 2, 1.0), ("a", 2, 1, 0.0), ("a", 3, 3, 0.0), ("b", 1, 4, 0.0)]

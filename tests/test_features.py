@@ -174,12 +174,29 @@ def test_doc_keywords(spark, top_k):
         assert [s for _, s in got.get(number, [])] == pytest.approx([s for _, s in expected], abs=2e-6)
 
 
-def test_class_keywords_use_the_first_documents(spark):
-    rows = [(3, "left", "zebra"), (1, "left", "apple banana"), (2, "left", "cherry"), (9, "right", "pear")]
+def test_class_keywords_read_all_documents(spark):
+    rows = [(3, "left", "zebra"), (1, "left", "apple banana"), (2, "left", "cherry"), (9, "right", "pear"), (7, "other", "fig")]
     df = spark.createDataFrame(rows, "doc_id long, label string, text string")
-    texts = {r.class_name: r.text for r in kw.class_texts(df, max_docs=2, max_chars=15).collect()}
-    assert texts == {"left": "apple banana ch", "right": "pear"}
-    assert {r.class_name for r in kw.class_keywords(df).collect()} == {"left", "right"}
+
+    def found(**options):
+        return {(r.class_name, r.keyword) for r in kw.class_keywords(df, **options).collect()}
+
+    near = {("left", "apple"), ("left", "banana"), ("left", "apple banana"), ("left", "cherry"), ("right", "pear")}
+    assert found() == near | {("left", "zebra")}
+    assert found(max_docs=2) == near
+
+
+def test_class_keywords_of_one_document_match_the_document(spark):
+    text = "The cat sat near the other cat, and the dog sat far off"
+    df = spark.createDataFrame([(1, "left", text)], "doc_id long, label string, text string")
+    one = [(r.keyword, r.score) for r in kw.doc_keywords(df).orderBy("rank").collect()]
+    assert [(r.keyword, r.score) for r in kw.class_keywords(df).orderBy("rank").collect()] == one
+
+
+def test_all_terms_are_indexed_in_order(spark):
+    df = spark.createDataFrame([(i, f"term{i:03d} shared") for i in range(200)], "doc_id long, text string")
+    rows = ft.vocabulary(df, ft.Analyzer((1, 1)), min_df=1, max_df=1.0).collect()
+    assert [r.idx for r in sorted(rows, key=lambda r: r.term)] == list(range(201))
 
 
 @pytest.fixture(scope="module")
@@ -224,6 +241,17 @@ def test_score_one_text(spark, model):
     assert row.prob_left == pytest.approx(brute_proba(["public", "taxes"])[0])
 
 
+def test_rows_score_by_their_own_text(spark, model):
+    wide, intercepts, _ = model
+    texts = [(1, "public taxes"), (1, "market"), (None, "public taxes"), (None, None), (2, "public taxes")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for got in (ln.score_documents(df, wide, intercepts).collect(), ln.score_documents(df, wide, intercepts, rows=25).collect()):
+        assert len(got) == len(texts)
+        for row in got:
+            tokens = row.text.split() if row.text else []
+            assert [row.prob_left, row.prob_center, row.prob_right] == pytest.approx(list(brute_proba(tokens)))
+
+
 def test_leave_one_out_matches_rescoring(docs, model):
     wide, intercepts, _ = model
     got = {(r.doc_id, r.position): (r.token, r.importance) for r in ln.leave_one_out(docs, wide, intercepts, top_k=1000).collect()}

@@ -98,7 +98,8 @@ def test_language(spark):
     ]
     assert apply(spark, texts, tx.detect_language) == ["en", "fr", "de", "es", "unknown", "unknown"]
     late = "x " * 500 + "the of and to"
-    assert apply(spark, [late], tx.detect_language) == ["unknown"]
+    assert apply(spark, [late], tx.detect_language) == ["en"]
+    assert apply(spark, [late], lambda t: tx.detect_language(t, sample_chars=1000)) == ["unknown"]
 
 
 def test_length_filter_is_inclusive(spark):
@@ -137,3 +138,31 @@ def test_entities_and_html(spark):
     row = html_documents(df).first()
     assert row.title == "T & U"
     assert row.text == "T & U a <b> é中 one two three"
+
+
+def test_references_are_decoded_once(spark):
+    cases = {
+        "&#38;lt;b": "&lt;b",
+        "&amp;amp; &lt;": "&amp; <",
+        "&#9999999; &#0; &#xD800;": "\ufffd \ufffd \ufffd",
+        "&#128; &#x41; &#99999999999999999999999999;": "\u20ac A \ufffd",
+        "&nosuch; & &copy 1": "&nosuch; & &copy 1",
+        "&Aacute;&hearts;": "\u00c1\u2665",
+        "": "",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.d for r in df.select("t", tx.decode_entities(F.col("t")).alias("d")).collect()}
+    assert got == cases
+
+
+def test_open_subtree_reaches_to_the_end(spark):
+    df = spark.createDataFrame([("<p>a</p><script>var x = 1",)], "t string")
+    assert df.select(tx.html_text(tx.drop_subtrees(F.col("t")))).first()[0] == "a"
+
+
+def test_language_of_the_whole_text(spark):
+    text = "the " + "x " * 2000 + "le la les des"
+    row = spark.createDataFrame([(text,)], "t string").select(
+        tx.detect_language(F.col("t")), tx.detect_language(F.col("t"), sample_chars=100)
+    ).first()
+    assert tuple(row) == ("fr", "en")
