@@ -57,7 +57,7 @@ def shared_pieces(rows: DataFrame) -> DataFrame:
     found = marked.withColumns(
         {"exact": (F.col("first") != F.col("last")) | (F.col("met") > 0), "several": F.col("least") != F.col("most"), "leads": place == F.col("first")}
     ).where("exact or several")
-    return materialize(found.withColumn("other", F.col("first.node")).drop("first", "last", "least", "most", "met", "state"), "shared-pieces")
+    return materialize(found.drop("first", "last", "least", "most", "met", "state"), "shared-pieces")
 
 
 def with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
