@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,18 +24,27 @@ FIELDS = [
 ]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int) -> list[tuple]:
-    """Test items in blocks of bounded bytes, as plain lists."""
-    blocks, ids, texts, size = [], [], [], 0
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[list[str], list[str]]]:
+    """Ids and texts of the test items in blocks of bounded bytes, one at a time."""
+    ids, texts, size = [], [], 0
     rows = benchmark.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
     for row in rows.toLocalIterator():
-        if size and size + len(row.t) > block_bytes:
-            blocks.append((ids, texts))
+        if size and size + len(row.t.encode()) > block_bytes:
+            yield ids, texts
             ids, texts, size = [], [], 0
         ids.append("" if row.i is None else row.i)
         texts.append(row.t)
-        size += len(row.t)
-    return [*blocks, (ids, texts)] if ids else blocks
+        size += len(row.t.encode())
+    if ids:
+        yield ids, texts
+
+
+def _loaded(passes: list[Broadcast]) -> Iterator[TestItems]:
+    """The test suffixes of one pass after another; a pass leaves memory with the next."""
+    for block in passes:
+        yield block.value
+        if block.__dict__.get("_path"):
+            block.__dict__.pop("_value", None)
 
 
 def find_leaks(
@@ -43,7 +55,7 @@ def find_leaks(
     item_text_col: str = "text",
     window: int = 10,
     block_bytes: int = 4 << 20,
-    pass_bytes: int = 16 << 20,
+    pass_bytes: int | None = None,
 ) -> DataFrame:
     """Documents with the benchmark items they hold verbatim.
 
@@ -53,21 +65,27 @@ def find_leaks(
     ``items_sha256``, ``contaminated``, ``longest_match`` (words) and ``matches``
     (``first word:words:item:item word``, each the longest at its place).
 
-    The test set travels to the tasks in blocks of ``block_bytes``; it may hold
-    ``pass_bytes`` in all, beyond that the call fails instead of growing the
-    broadcast. Null text has no words; a null item text is no item, a null item
-    id reads as an empty one; items that share an id count once. Empty tables
+    The test set travels to the tasks as suffix tables of ``block_bytes`` of text
+    (or one longer item). The driver and each task hold one table at a time: every
+    batch of documents is scanned once per table, so a test set of any size gives a
+    whole result. A caller who wants a bound sets ``pass_bytes``; a larger test set
+    is then an error. Null text has no words; a null item text is no item, a null
+    item id reads as an empty one; items that share an id count once. Empty tables
     give empty or clean results. Columns named like a result are replaced.
     """
-    size = benchmark.agg(F.sum(F.octet_length(F.col(item_text_col)))).first()[0] or 0
-    if size > pass_bytes:
-        raise ValueError(f"the test set holds {size} bytes; pass it in parts of at most {pass_bytes}")
-    blocks = docs.sparkSession.sparkContext.broadcast(_blocks(benchmark, item_id_col, item_text_col, window, block_bytes))
-
-    def kernel(column: pa.Array, built: list = []) -> pa.RecordBatch:
-        if not built:
-            built.append([TestItems(ids, pa.array(texts, pa.string()), window) for ids, texts in blocks.value])
-        return leak_columns(built[0], column)
+    if pass_bytes is not None:
+        size = benchmark.agg(F.sum(F.octet_length(F.col(item_text_col)))).first()[0] or 0
+        if size > pass_bytes:
+            raise ValueError(f"the test set holds {size} bytes, more than the {pass_bytes} asked for")
+    context = docs.sparkSession.sparkContext
+    passes = []
+    for ids, texts in _blocks(benchmark, item_id_col, item_text_col, block_bytes):
+        passes.append(context.broadcast(TestItems(ids, pa.array(texts, pa.string()), window)))
+        if passes[-1].__dict__.get("_path"):
+            passes[-1].__dict__.pop("_value", None)
+
+    def kernel(column: pa.Array) -> pa.RecordBatch:
+        return leak_columns([passes[0].value] if len(passes) == 1 else _loaded(passes), column)
 
     return append_columns(docs, text_col, kernel, FIELDS)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -29,21 +30,28 @@ class TestItems:
             for k in range(len(words.counts)):
                 sets.append(words.hash[words.bounds[k] : words.bounds[k + 1]])
         self.vocabulary = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        self.codes = [word_codes(x, self.vocabulary) for x in sets]
-        for item, codes in enumerate(self.codes):
-            size = min(window, len(codes))
-            hashes += [(tuple(codes[at : at + size].tolist()), item, at) for at in range(len(codes) - size + 1) if size]
-        hashes.sort()
-        self.suffixes = hashes
-        self.shortest = min((len(x[0]) for x in hashes), default=window)
-        self.low = self._keys(0)
-        self.high = self._keys(0xFFFFFFFF)
-
-    def _keys(self, fill: int) -> np.ndarray:
-        table = np.full((len(self.suffixes), self.window), fill, ">u4")
-        for row, (codes, _, _) in enumerate(self.suffixes):
-            table[row, : len(codes)] = codes
-        return _as_keys(table)
+        codes = [word_codes(x, self.vocabulary) for x in sets]
+        self.bounds = np.concatenate([[0], np.cumsum([len(x) for x in codes])]).astype(np.int64)
+        self.codes = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
+        counts = np.diff(self.bounds)
+        size = np.minimum(window, counts)
+        starts = np.where(size > 0, counts - size + 1, 0)
+        item = np.repeat(np.arange(len(counts)), starts)
+        at = np.arange(len(item)) - np.repeat(np.cumsum(starts) - starts, starts)
+        length = size[item]
+        table = np.zeros((len(item), window), ">u4")
+        for k in range(window):
+            use = length > k
+            table[use, k] = self.codes[(self.bounds[item] + at + k)[use]]
+        order = np.argsort(_as_keys(table), kind="stable")
+        self.item, self.at, self.length = (x[order].astype(np.int32) for x in (item, at, length))
+        self.shortest = int(self.length.min()) if len(order) else window
+        self.low = _as_keys(table[order])
+        # Only items shorter than a window need an upper key of their own.
+        self.short = np.flatnonzero(self.length < window)
+        high = table[order][self.short]
+        high[np.arange(window) >= self.length[self.short][:, None]] = 0xFFFFFFFF
+        self.high = _as_keys(high)
 
 
 def _as_keys(table: np.ndarray) -> np.ndarray:
@@ -80,36 +88,40 @@ def search(items: TestItems, codes: np.ndarray, doc: np.ndarray) -> list[tuple[i
     Each test suffix is found by two binary searches; every location is then
     extended to its longest verbatim match.
     """
-    if not items.suffixes or not len(codes):
+    if not len(items.low) or not len(codes):
         return []
     start, keys = suffix_array(codes, doc, items.window, items.shortest)
     if not len(start):
         return []
     low = np.searchsorted(keys, items.low, "left")
-    high = np.searchsorted(keys, items.high, "right")
+    high = np.searchsorted(keys, items.low, "right")
+    high[items.short] = np.searchsorted(keys, items.high, "right")
     found = []
     for row in np.flatnonzero(high > low):
-        window, item, at = items.suffixes[row]
-        own = items.codes[item]
+        item, at, words = int(items.item[row]), int(items.at[row]), int(items.length[row])
+        own = items.codes[items.bounds[item] : items.bounds[item + 1]]
         for place in start[low[row] : high[row]]:
-            size, end = len(window), int(place) + len(window)
+            size, end = words, int(place) + words
             while at + size < len(own) and end < len(codes) and doc[end] == doc[place] and codes[end] == own[at + size]:
                 size, end = size + 1, end + 1
             found.append((int(place), item, at, size))
     return found
 
 
-def leak_columns(items: list[TestItems], column: pa.Array) -> pa.RecordBatch:
+def leak_columns(items: Iterable[TestItems], column: pa.Array) -> pa.RecordBatch:
     """Words, hit words, items and the longest match of each text."""
     rows = len(column)
     n_words, n_hit, longest = (np.zeros(rows, np.int64) for _ in range(3))
     names: list[list[str]] = [[] for _ in range(rows)]
     spots: list[list[str]] = [[] for _ in range(rows)]
-    for first, last, data, bounds in kernels.pieces(column):
+    shards, hits = list(kernels.pieces(column)), []
+    for first, last, data, bounds in shards:
         words = kernels.Words(data, bounds, "alphanumeric", lower=True)
         n_words[first:last] = words.counts
-        hit = np.zeros(len(words.hash), bool)
-        for block in items:
+        hits.append(np.zeros(len(words.hash), bool))
+    for block in items:
+        for (first, _, data, bounds), hit in zip(shards, hits):
+            words = kernels.Words(data, bounds, "alphanumeric", lower=True)
             matches = search(block, word_codes(words.hash, block.vocabulary), words.doc)
             if not matches:
                 continue
@@ -120,7 +132,9 @@ def leak_columns(items: list[TestItems], column: pa.Array) -> pa.RecordBatch:
                 row = first + int(words.doc[p])
                 names[row].append(block.ids[i])
                 spots[row].append(f"{int(p - words.bounds[words.doc[p]])}:{s}:{block.ids[i]}:{a}")
-        n_hit[first:last] = kernels.per_text(words.bounds, hit)
+    ends = np.concatenate([[0], np.cumsum(n_words)])
+    whole = np.concatenate(hits) if hits else np.zeros(0, bool)
+    n_hit[:] = kernels.per_text(ends, whole)
     lists = [sorted(set(x)) for x in names]
     digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists]
     arrays = [pa.array(n_words), pa.array(n_hit), pa.array([len(x) for x in lists], pa.int64()), pa.array(digest, pa.string())]
