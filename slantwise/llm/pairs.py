@@ -76,12 +76,19 @@ def list_rows(n: int, percent: int) -> float:
 
 
 def boundary(histogram: dict[int, int], percent: int, limit: int = 40) -> int:
-    """Largest small size, where listing subsets costs less than listing blocks."""
-    best, cost, saved = 0, 0.0, 0.0
+    """Small size of least cost, between listing subsets and listing blocks.
+
+    Larger sets that may be linked with small ones are listed by subsets too, so the
+    histogram reaches up to ``largest_partner(limit)``; sizes no set has never count
+    as a gain.
+    """
+    best, cost, saved = 1, 0.0, 0.0
     for n in range(1, limit + 1):
         saved += histogram.get(n, 0) * (subset_rows(n, percent) - list_rows(n, percent))
-        if saved <= cost:
-            best, cost = n, saved
+        partners = range(n + 1, largest_partner(n, percent) + 1)
+        extra = sum(histogram.get(m, 0) * sum(comb(m, size) for size in subset_sizes(m, n, percent)) for m in partners)
+        if saved + extra < cost:
+            best, cost = n, saved + extra
     return best
 
 

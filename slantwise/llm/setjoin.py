@@ -97,8 +97,8 @@ def similar_components(
     heads = materialize(heads.withColumn("name", F.concat_ws(":", "n", "d1", "d2")), "set-heads")
     elements = heads.agg(F.sum("n")).first()[0] or 0
     if small is None:
-        counts = heads.where(F.col("n").between(1, SIZES_LOOKED_AT)).groupBy("n").count().collect()
-        small = pairs.boundary({r["n"]: r["count"] for r in counts}, percent)
+        counts = heads.where(F.col("n").between(1, pairs.largest_partner(SIZES_LOOKED_AT, percent))).groupBy("n").count().collect()
+        small = pairs.boundary({r["n"]: r["count"] for r in counts}, percent, SIZES_LOOKED_AT)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key"))
     classes = heads.where("n > 0").groupBy("name", "d1", "n").agg(first.alias("least"), F.first("sketch").alias("sketch"))
     classes = materialize(classes, "set-classes")
