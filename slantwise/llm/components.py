@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from slantwise.session import materialize
 
-MAX_ROUNDS = 60
-
 
 def _both_ways(links: DataFrame) -> DataFrame:
     flipped = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -22,12 +20,13 @@ def connected_components(links: DataFrame) -> DataFrame:
     small-star steps alternate: every node hands its larger, then its smaller,
     neighbours to the least node it knows, until only stars around the roots are
     left. A node with very many links is folded to one minimum per task before the
-    shuffle. Rounds grow with the logarithm of the longest path; each is stored in
-    the shared folder. Self-links and links with a null end are ignored.
+    shuffle. Rounds grow with the logarithm of the longest path and go on until one
+    changes nothing; each is stored in the shared folder. Self-links and links with a
+    null end are ignored.
     """
     now = materialize(links.where(F.col("a") != F.col("b")).distinct(), "links")
     before = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
         if tuple(state) == before or not state[0]:
             break
