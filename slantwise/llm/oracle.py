@@ -151,12 +151,68 @@ SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::B
 FROM stay
 """
 
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT)"
+    bit = "lambda c, k: xor(c >> 1, 3988292384::UBIGINT * (c & 1))"
+    byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), {byte}), 4294967295::UBIGINT)"
+
+
+# Level 0 to 39 are the trees of the languages, 40 and up the tree of their roots.
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT *, sha256(concat({', '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', 'text')))})) AS leaf,
+    CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END AS found
+  FROM documents
+), leaves AS (
+  SELECT doc_id, leaf, sha256(concat({', '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', 'found')))})) AS changed,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM d
+), lower_nodes AS (
+  SELECT 0 AS level, tree, idx, n, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT level + 1, tree, idx // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx)) FROM lower_nodes WHERE n > 1 GROUP BY level, tree, idx // 8, n
+), subroots AS (SELECT tree, hash, level FROM lower_nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 40 AS level, -1::BIGINT AS tree, tree AS idx, count(*) OVER () AS n, hash FROM subroots
+  UNION ALL
+  SELECT level + 1, tree, idx // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx)) FROM upper_nodes WHERE n > 1 GROUP BY level, tree, idx // 8, n
+), nodes AS (SELECT * FROM lower_nodes UNION ALL SELECT * FROM upper_nodes),
+runs AS (
+  SELECT level, tree, idx // 8 AS run, list(hash ORDER BY idx) AS hashes FROM nodes WHERE n > 1 GROUP BY ALL
+), folded AS (
+  SELECT doc_id, level, tree, idx, n, changed AS hash, '' AS proof
+  FROM (SELECT doc_id, changed, 0 AS level, tree, idx, n FROM leaves)
+  UNION ALL
+  SELECT doc_id,
+    CASE WHEN f.n = 1 THEN 40 ELSE f.level + 1 END,
+    CASE WHEN f.n = 1 THEN -1 ELSE f.tree END,
+    CASE WHEN f.n = 1 THEN f.tree ELSE f.idx // 8 END,
+    CASE WHEN f.n = 1 THEN (SELECT count(*) FROM subroots) ELSE (f.n + 7) // 8 END,
+    CASE WHEN f.n = 1 THEN f.hash ELSE sha256(array_to_string(hashes[:f.idx % 8], '') || f.hash || array_to_string(hashes[f.idx % 8 + 2:], '')) END,
+    CASE WHEN f.n = 1 THEN f.proof ELSE f.proof || array_to_string(hashes[:f.idx % 8], '') || array_to_string(hashes[f.idx % 8 + 2:], '') END
+  FROM folded f LEFT JOIN runs r ON r.level = f.level AND r.tree = f.tree AND r.run = f.idx // 8 AND f.n > 1
+  WHERE NOT (f.n = 1 AND f.level >= 40)
+)
+SELECT l.doc_id, l.leaf, s.hash AS subroot, u.hash AS root, sha256(f.proof) AS proof_sha256, f.hash AS folded_root, f.hash = u.hash AS verified
+FROM leaves l JOIN subroots s USING (tree) JOIN folded f ON f.doc_id = l.doc_id AND f.level >= 40 AND f.n = 1
+CROSS JOIN (SELECT hash FROM upper_nodes WHERE n = 1) u
+"""
+
 STATEMENTS: dict[str, str] = {
     "op2_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
     "op4_mix_sources": MIX_SOURCES,
     "op6_site_lines": SITE_LINES,
     "op8_host_quality": HOST_QUALITY,
     "op9_benchmark_leaks": BENCHMARK_LEAKS,
+    "op11_merkle_manifest": MERKLE_MANIFEST,
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slantwise.llm import decontaminate as dc
 from slantwise.llm import lines as ln
+from slantwise.llm import merkle as mk
 from slantwise.llm import mixing as mx
 from slantwise.llm import passages as ps
 from slantwise.llm import quality as ql
@@ -94,3 +96,13 @@ def op9_benchmark_leaks(spark, sf_dir):
 def op10_linked_secrets(spark, sf_dir):
     out = sc.find_secrets(documents(spark, sf_dir, "doc_id", "text"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    docs = documents(spark, sf_dir, *mk.LEAF_FIELDS)
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    found = {"text": F.when(struck, lowered).otherwise(F.col("text"))}
+    out = mk.merkle_manifest(docs, fanout=8, found=found)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
