@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slantwise.llm.ranks import ordered_index
-from slantwise.session import materialize, small_side
+from slantwise.session import BROADCAST_ROWS, materialize, small_side
 
 LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 STEP = "struct<left:binary,right:binary>"
@@ -134,6 +134,18 @@ def path_digest(path: Column) -> Column:
     return F.sha2(F.array_join(parts, ""), 256)
 
 
+def _numbered_groups(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """``(g, tree)`` by order of ``g``, the rows of the largest group, and the number of groups."""
+    groups = materialize(rows.groupBy("g").agg(F.count("*").alias("leaves")), "merkle-groups")
+    most, trees = groups.agg(F.max("leaves"), F.count("*")).first()
+    if trees <= BROADCAST_ROWS:
+        place = F.row_number().over(Window.orderBy("g")).cast("long") - 1
+        numbered = groups.select("g", place.alias("tree"))
+    else:
+        numbered = ordered_index(groups.withColumn("all", F.lit(0)), "all", [F.col("g")], "merkle-groups").select("g", F.col("idx").alias("tree"))
+    return numbered, most or 0, trees
+
+
 def merkle_manifest(
     docs: DataFrame,
     fields: Sequence[str] = LEAF_FIELDS,
@@ -169,14 +181,11 @@ def merkle_manifest(
         leaf.alias("hash"),
         (F.when(changed != leaf, changed) if found else F.lit(None).cast("binary")).alias("changed"),
     )
-    placed = ordered_index(rows, "g", [F.col("id"), F.col("hash")], "merkle")
-    groups = placed.groupBy("g").agg(F.max("n").alias("n"))
-    groups = ordered_index(groups.withColumn("one", F.lit(0)).withColumnRenamed("n", "leaves"), "one", [F.col("g")], "merkle-groups")
-    groups = materialize(groups.select("g", F.col("idx").alias("tree"), "leaves", F.col("n").alias("trees")), "merkle-trees")
-    sizes = groups.agg(F.max("leaves"), F.count("*")).first()
-    most, trees = sizes[0] or 0, sizes[1]
-    leaves = placed.join(small_side(groups.select("g", "tree"), trees), "g")
-    leaves = materialize(leaves.select("tree", "idx", "n", "hash", F.struct("id", "g", "changed").alias("load")), "merkle-leaves")
+    rows = materialize(rows, "merkle-rows")
+    groups, most, trees = _numbered_groups(rows)
+    numbered = rows.join(small_side(groups.select("g", "tree"), trees), "g")
+    leaves = ordered_index(numbered, "tree", [F.col("id"), F.col("hash")], "merkle")
+    leaves = leaves.select("tree", "idx", "n", "hash", F.struct("id", "g", "changed").alias("load"))
     levels, subroots = climb(leaves, fanout, most, "merkle-level")
     subroots = materialize(subroots, "merkle-subroots")
     tops = subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(trees).cast("long").alias("n"), "hash", F.col("level").alias("load"))

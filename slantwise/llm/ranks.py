@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slantwise.session import materialize, small_side
+from slantwise.session import materialize
 
 
 def ordered_index(rows: DataFrame, group: str, order: list[str | Column], name: str) -> DataFrame:
@@ -15,12 +15,12 @@ def ordered_index(rows: DataFrame, group: str, order: list[str | Column], name:
     order. Rows are dealt by ranges of (group, order), so a group of any size, or one
     value that fills it, is spread over tasks. A place is the row's place in its
     sorted range plus the rows of the group in the ranges before: a table with one
-    row per range and group. ``group`` must not be null, and ``rows`` is stored twice
-    in the shared folder, so pass it narrow. Columns ``_tie``, ``_at``, ``_part``, ``_first`` and
+    row per range and group. ``group`` must not be null. ``rows`` must be a stored
+    table, so that a task that runs again meets the same rows; it is written once
+    more, so pass it narrow. Columns ``_tie``, ``_at``, ``_part``, ``_first`` and
     ``_before`` are in use.
     """
-    # The tie breaker is stored with the row: a task that runs again deals it out alike.
-    marked = materialize(rows.withColumn("_tie", F.monotonically_increasing_id()), f"{name}-rows")
+    marked = rows.withColumn("_tie", F.monotonically_increasing_id())
     keys = [F.col(group), *order, F.col("_tie")]
     placed = marked.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
     placed = placed.withColumn("_at", F.monotonically_increasing_id())
@@ -30,5 +30,5 @@ def ordered_index(rows: DataFrame, group: str, order: list[str | Column], name:
     running = F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumns({"_before": F.coalesce(running, F.lit(0)), "n": F.sum("_rows").over(Window.partitionBy(group))})
     spans = materialize(spans.drop("_rows"), f"{name}-spans")
-    out = placed.join(small_side(spans), ["_part", group])
+    out = placed.join(spans, ["_part", group])
     return out.withColumn("idx", F.col("_before") + F.col("_at") - F.col("_first")).drop("_at", "_part", "_first", "_before")
