@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slantwise.llm.arrow import append_columns
+from slantwise.llm.columns import apart
 from slantwise.llm.suffixes import TestItems, leak_columns
 
 FIELDS = [
@@ -47,6 +48,7 @@ def _loaded(passes: list[Broadcast]) -> Iterator[TestItems]:
             block.__dict__.pop("_value", None)
 
 
+@apart(tuple(name for name, _ in FIELDS), ("text_col",))
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -56,14 +58,17 @@ def find_leaks(
     window: int = 10,
     block_bytes: int = 4 << 20,
     pass_bytes: int | None = None,
+    places: bool = True,
 ) -> DataFrame:
     """Documents with the benchmark items they hold verbatim.
 
     Every shard of documents is turned into a suffix array of word codes; all
     suffixes of the test set that start a window are binary-searched in it. New
     columns: ``n_words``, ``n_hit`` (words inside an occurrence), ``n_items``,
-    ``items_sha256``, ``contaminated``, ``longest_match`` (words) and ``matches``
-    (``first word:words:item:item word``, each the longest at its place).
+    ``items_sha256``, ``contaminated`` and, with ``places``, ``longest_match`` (words)
+    and ``matches`` (``first word:words:item:item word``: where a longest match begins,
+    with one item that has it). Work and memory follow the words of a shard and
+    the classes of equal test windows, however often a text repeats itself.
 
     The test set travels to the tasks as suffix tables of ``block_bytes`` of text
     (or one longer item). The driver and each task hold one table at a time: every
@@ -85,12 +90,13 @@ def find_leaks(
             passes[-1].__dict__.pop("_value", None)
 
     def kernel(column: pa.Array) -> pa.RecordBatch:
-        return leak_columns([passes[0].value] if len(passes) == 1 else _loaded(passes), column)
+        return leak_columns([passes[0].value] if len(passes) == 1 else _loaded(passes), column, places)
 
-    return append_columns(docs, text_col, kernel, FIELDS)
+    return append_columns(docs, text_col, kernel, FIELDS if places else FIELDS[:5])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+@apart((), ("text_col",))
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
-    clean = find_leaks(docs, benchmark, **options).where(~F.col("contaminated"))
-    return clean.select(*[f"`{c}`" for c in docs.columns])
+    clean = find_leaks(docs, benchmark, text_col, places=False, **options).where(~F.col("contaminated"))
+    return clean.select(*docs.columns)

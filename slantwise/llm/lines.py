@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slantwise.llm.columns import apart
 from slantwise.session import materialize, small_side
 
 BREAKING = "address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul|body|head|html"
@@ -29,6 +30,7 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(split, lambda line: F.regexp_replace(line, r"^[\x20\t\r]+|[\x20\t\r]+$", "")), lambda line: line != "")
 
 
+@apart(("n_lines", "n_dropped"), ("text_col", "host_col"))
 def drop_site_boilerplate(
     pages: DataFrame,
     text_col: str = "text",

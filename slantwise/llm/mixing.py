@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slantwise.llm.columns import apart
 from slantwise.session import materialize, small_side
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +45,7 @@ def source_targets(sizes: DataFrame, max_epochs: int = 3, weights: tuple[int, ..
     return out.select("source", "source_size", F.when(F.col("_fits"), share).otherwise(F.col("room").cast("double")).alias("target"))
 
 
+@apart(("size", "source_size", "target", "taken"), ("text_col", "source_col", "id_col"))
 def mix_sources(
     docs: DataFrame,
     text_col: str = "text",

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from slantwise.llm import kernels
 from slantwise.llm.arrow import append_columns
+from slantwise.llm.columns import apart
 from slantwise.session import materialize, small_side
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -50,6 +51,7 @@ def host_rates(judged: DataFrame, host_col: str = "source") -> DataFrame:
     return hosts.select("host", "pages", "failures", shrunk.alias("host_rate"))
 
 
+@apart((*COUNTS, "base_failed", "host_rate", "kept"), ("text_col", "host_col"))
 def host_quality(
     docs: DataFrame,
     text_col: str = "text",

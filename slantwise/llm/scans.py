@@ -1,0 +1,44 @@
+"""Running results over an array inside one row, as column expressions."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from slantwise.functions.arrays import let
+
+
+def _scan(values: Column, kind: str, zero: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Results of all elements before each; every step copies what stands before it."""
+    start = F.struct(zero.alias("run"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    def step(state: Column, value: Column) -> Column:
+        return F.struct(join(state["run"], value).alias("run"), F.concat(state["out"], F.array(state["run"])).alias("out"))
+
+    return F.aggregate(values, start, step, lambda state: state["out"])
+
+
+def running(values: Column, kind: str, zero: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each element, ``join`` over all before it, starting from ``zero``.
+
+    ``join`` must be associative with ``zero`` as its neutral element, and the elements
+    of the type ``kind``. The array is cut into as many blocks as a block has
+    elements, so what is copied grows with the length to the power of one and a half.
+    """
+
+    def in_blocks(array: Column, side: Column) -> Column:
+        places = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.floor((F.size(array) - 1) / side).cast("int")))
+        blocks = F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda k: F.slice(array, k * side + 1, side))
+        return let(blocks, joined)
+
+    def joined(blocks: Column) -> Column:
+        before = _scan(F.transform(blocks, lambda block: F.aggregate(block, zero, join)), kind, zero, join)
+        scanned = F.zip_with(blocks, before, lambda block, base: F.transform(_scan(block, kind, zero, join), lambda x: join(base, x)))
+        return F.flatten(scanned)
+
+    def sized(array: Column) -> Column:
+        return let(F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(array))).cast("int")), lambda side: in_blocks(array, side))
+
+    return let(values, sized)

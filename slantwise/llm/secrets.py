@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slantwise.functions.arrays import let
+from slantwise.llm.columns import apart
+from slantwise.llm.scans import running
+
 # Fixed patterns: kind, pattern, the group whose length counts, its least length.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = (
@@ -46,43 +50,42 @@ def spans_of(text: Column, kind: str, pattern: str, group: int = 0, least: int =
         counted,
         lambda step, value: F.struct(step["gap"].alias("gap"), step["size"].alias("size"), _length(value).alias("value")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    rank = F.lit(KINDS.index(kind))
+
+    def place(found: Column) -> Column:
+        ahead = running(F.transform(found, lambda step: step["gap"] + step["size"]), "int", F.lit(0), lambda a, b: a + b)
+        spans = F.zip_with(
+            found,
+            ahead,
+            lambda step, at: F.struct(
+                (at + step["gap"]).alias("start"), rank.alias("rank"), (at + step["gap"] + step["size"]).alias("end"), step["value"].alias("value")
+            ),
+        )
+        kept = F.filter(spans, lambda x: x["value"] >= least)
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end")))
+
+    return F.when(text.rlike(pattern), let(steps, place)).otherwise(F.array().cast(SPAN))
 
-    def walk(state: Column, step: Column) -> Column:
-        first = state["at"] + step["gap"]
-        last = first + step["size"]
-        one = F.array(F.struct(first.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), last.alias("end")))
-        return F.struct(last.alias("at"), F.when(step["value"] >= least, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
 
-    found = F.aggregate(steps, start, walk, lambda state: state["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
+FAR = -(1 << 30)
+ENDS = "struct<id:int,key:int>"
 
 
-def _sweep(parts: Column, scope: int, backward: bool) -> Column:
-    """For every part in order: whether an identifier and a secret stand close on one side."""
-    far = F.lit(-(1 << 30))
-    flags = "array<struct<start:int,rank:int,end:int,by_id:boolean,by_key:boolean>>"
-    start = F.struct(far.alias("id"), far.alias("key"), F.array().cast(flags).alias("out"))
+def _sweep(parts: Column, backward: bool) -> Column:
+    """For every part in order: the nearest edge of an identifier and of a secret on one side."""
     ordered = F.reverse(parts) if backward else parts
 
-    def walk(state: Column, part: Column) -> Column:
-        near, edge = (-part["end"], -part["start"]) if backward else (part["start"], part["end"])
+    def own(part: Column) -> Column:
+        edge = -part["start"] if backward else part["end"]
         is_id = part["rank"].isin(KINDS.index("access"), KINDS.index("identifier"))
         is_key = part["rank"].isin(KINDS.index("assign"), KINDS.index("hex"), KINDS.index("key"))
-        flagged = F.struct(
-            part["start"].alias("start"),
-            part["rank"].alias("rank"),
-            part["end"].alias("end"),
-            (near - state["id"] <= scope).alias("by_id"),
-            (near - state["key"] <= scope).alias("by_key"),
-        )
-        return F.struct(
-            F.when(is_id, F.greatest(state["id"], edge)).otherwise(state["id"]).alias("id"),
-            F.when(is_key, F.greatest(state["key"], edge)).otherwise(state["key"]).alias("key"),
-            F.when(part["rank"] >= len(BASE), F.concat(state["out"], F.array(flagged))).otherwise(state["out"]).alias("out"),
-        )
+        return F.struct(F.when(is_id, edge).otherwise(FAR).alias("id"), F.when(is_key, edge).otherwise(FAR).alias("key"))
 
-    out = F.aggregate(ordered, start, walk, lambda state: state["out"])
+    def nearest(a: Column, b: Column) -> Column:
+        return F.struct(F.greatest(a["id"], b["id"]).alias("id"), F.greatest(a["key"], b["key"]).alias("key"))
+
+    none = F.struct(F.lit(FAR).alias("id"), F.lit(FAR).alias("key"))
+    out = running(F.transform(ordered, own), ENDS, none, nearest)
     return F.reverse(out) if backward else out
 
 
@@ -90,37 +93,41 @@ def linked_parts(base: Column, weak: Column, scope: int = SCOPE) -> Column:
     """Weak parts whose complement stands within ``scope`` code points.
 
     An identifier needs a secret, a secret needs an identifier, an endpoint needs
-    both. One pass in each direction over the sorted parts carries the nearest end
+    both. Running maxima in each direction over the sorted parts give the nearest end
     of either role, so no pairs are formed.
     """
-    parts = F.array_sort(F.concat(base, weak))
-    both = F.zip_with(
-        _sweep(parts, scope, False),
-        _sweep(parts, scope, True),
-        lambda a, b: F.struct(
-            a["start"].alias("start"), a["rank"].alias("rank"), a["end"].alias("end"),
-            (a["by_id"] | b["by_id"]).alias("by_id"), (a["by_key"] | b["by_key"]).alias("by_key"),
-        ),
-    )
-
-    def belongs(part: Column) -> Column:
-        rank = part["rank"]
+
+    def link(parts: Column) -> Column:
+        flagged = F.zip_with(
+            F.zip_with(parts, _sweep(parts, False), lambda part, left: F.struct(part.alias("part"), left.alias("left"))),
+            _sweep(parts, True),
+            lambda x, right: F.struct(
+                x["part"].alias("part"),
+                ((x["part"]["start"] - x["left"]["id"] <= scope) | (-x["part"]["end"] - right["id"] <= scope)).alias("by_id"),
+                ((x["part"]["start"] - x["left"]["key"] <= scope) | (-x["part"]["end"] - right["key"] <= scope)).alias("by_key"),
+            ),
+        )
+        return F.transform(F.filter(flagged, belongs), lambda x: x["part"])
+
+    def belongs(x: Column) -> Column:
+        rank = x["part"]["rank"]
         return (
-            F.when(rank == KINDS.index("identifier"), part["by_key"])
-            .when(rank == KINDS.index("key"), part["by_id"])
-            .otherwise(part["by_id"] & part["by_key"])
+            F.when(rank < len(BASE), False)
+            .when(rank == KINDS.index("identifier"), x["by_key"])
+            .when(rank == KINDS.index("key"), x["by_id"])
+            .otherwise(x["by_id"] & x["by_key"])
         )
 
-    plain = lambda p: F.struct(p["start"].alias("start"), p["rank"].alias("rank"), p["end"].alias("end"))
-    found = F.transform(F.filter(both, belongs), plain)
+    found = let(F.sort_array(F.concat(base, weak)), link)
     return F.when(F.size(weak) > 0, found).otherwise(F.array().cast(SPAN))
 
 
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"], s["end"])), ",")
+    return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"], s["end"])), ",")
 
 
+@apart(("n_assign", "n_access", "n_hex", "base_sha256", "spans"), ("text_col",))
 def find_secrets(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """Documents with the secrets in their whole text.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from slantwise.llm import pairs
 from slantwise.llm.arrow import append_columns
+from slantwise.llm.columns import apart
 from slantwise.llm.components import connected_components
 from slantwise.llm.repeats import in_filter
 from slantwise.session import materialize
@@ -56,6 +57,7 @@ def _block_tasks(rows: DataFrame, group: str, name: str) -> DataFrame:
     return dealt.withColumn("task", F.concat_ws("/", group, F.least("own", "other"), F.greatest("own", "other")))
 
 
+@apart(("n_shingles", "component_id", "is_least"), ("text_col", "id_col"))
 def similar_components(
     docs: DataFrame,
     text_col: str = "text",
@@ -121,6 +123,7 @@ def similar_components(
     return out.drop("_k", "first", "_text_key")
 
 
+@apart((), ("text_col", "id_col"))
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of linked documents: the least id.
 

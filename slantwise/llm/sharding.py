@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from slantwise.llm.columns import apart
 from slantwise.llm.mixing import word_count
 from slantwise.session import materialize, small_side
 
@@ -30,6 +31,7 @@ def pack(demand: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
+@apart(("size", "text_crc32", "law", "shard", "slot", "grown_shard"), ("text_col", "id_col"))
 def shard_documents(
     docs: DataFrame,
     shards: int = 24,
@@ -94,8 +96,8 @@ def shard_documents(
     demand = np.array([[x.b, x.t, x.r] for x in bounded], float).reshape(-1, 3)
     placed = pack(demand, shards)
     spark = docs.sparkSession
-    schema = T.StructType([T.StructField("_p", T.StringType()), T.StructField("shard", T.IntegerType())])
-    table = spark.createDataFrame([(x._parcel, int(s)) for x, s in zip(bounded, placed)], schema)
+    # An Arrow table becomes a local relation: no job, no Python on the executors.
+    table = spark.createDataFrame(pa.table({"_p": pa.array([x._parcel for x in bounded], pa.string()), "shard": pa.array(placed, pa.int32())}))
     # Bounded by the number of parcels and large groups.
     out = in_parcels(base).join(F.broadcast(table), F.col("_parcel") == F.col("_p")).drop("_p", "_parcel")
     out = out.withColumn("_slice", F.pmod(F.xxhash64("_mark", "_group"), F.lit(SLOT_SLICES)).cast("int"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slantwise.llm import bwt
+from slantwise.llm.columns import apart
 from slantwise.llm.lists import PIECE, distinct_in_batch, shared_pieces, text_node, with_texts
 from slantwise.session import materialize, small_side
 
@@ -13,6 +14,7 @@ COLLECTION_BYTES = 1 << 19
 HOT_LIST = 8192
 
 
+@apart(("n_bytes", "n_removed", "n_spans", "kept_sha256"), ("text_col",))
 def remove_repeats(
     docs: DataFrame,
     text_col: str = "text",

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from slantwise.llm import kernels
 from slantwise.llm.arrow import append_columns
+from slantwise.llm.columns import apart
 
 FIELDS = [("n_bytes", T.LongType()), ("n_tokens", T.LongType()), ("over_limit", T.BooleanType())]
 
@@ -111,6 +112,7 @@ class Counter:
         return out
 
 
+@apart(("n_bytes", "n_tokens", "over_limit"), ("text_col",))
 def count_tokens(
     docs: DataFrame,
     tokenizer: str,
