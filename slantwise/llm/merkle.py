@@ -59,7 +59,7 @@ def with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
     none = F.lit(None).cast(nodes.schema["load"].dataType)
     rows = met.select("tree", "me", "n", F.struct("idx", "hash").alias("sibling"), none.alias("load"), F.lit(None).cast("binary").alias("own"))
     own = nodes.select("tree", F.col("idx").alias("me"), "n", F.lit(None).cast("struct<idx:bigint,hash:binary>"), "load", "hash")
-    siblings = F.array_sort(F.collect_list("sibling"))
+    siblings = F.sort_array(F.collect_list("sibling"))
     run = rows.union(own).groupBy("tree", "me", "n").agg(siblings.alias("run"), F.first("load", True).alias("load"), F.first("own", True).alias("hash"))
 
     def side(before: bool) -> Column:

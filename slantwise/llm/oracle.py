@@ -206,6 +206,78 @@ FROM leaves l JOIN subroots s USING (tree) JOIN folded f ON f.doc_id = l.doc_id
 CROSS JOIN (SELECT hash FROM upper_nodes WHERE n = 1) u
 """
 
+def _way(label: str, cost: str, letters: str) -> str:
+    return f"struct_pack(c := {label}.c + {cost}, a := {label}.a || '{letters}')"
+
+
+def _least(*ways: tuple[str, str, str]) -> str:
+    return f"least({', '.join(_way(*w) for w in ways)})"
+
+
+# Labels l0 to l3: nothing kept yet, system, user, assistant last; a closed way costs too much.
+_KEEP = {k: f"CASE WHEN initial = '{k}' AND fault <> 'x' THEN late ELSE 1000000000 END" for k in "sua"}
+_REROLE = "CASE WHEN fault <> 'x' THEN late + 1 ELSE 1000000000 END"
+REPAIR_CONVERSATIONS = rf"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM base, (SELECT unnest([0, 1]) AS copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+    regexp_replace(text, '[ 	-]+$', '') AS bare, left(role, 1) AS initial
+  FROM damaged
+), met AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS step
+  FROM placed
+), turns AS (
+  SELECT *, CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS kind FROM met
+), coded AS (
+  SELECT *, CASE WHEN kind IN ('b', 'd') THEN 'x' ELSE '' END AS fault, CASE WHEN kind = 't' THEN 5 ELSE 0 END AS late FROM turns
+), dp AS (
+  SELECT conv_id, 0::BIGINT AS i, struct_pack(c := 0::BIGINT, a := '') AS l0, struct_pack(c := 1000000000::BIGINT, a := '') AS l1,
+    struct_pack(c := 5::BIGINT, a := 'I') AS l2, struct_pack(c := 10::BIGINT, a := 'II') AS l3
+  FROM (SELECT DISTINCT conv_id FROM coded)
+  UNION ALL
+  SELECT conv_id, i, l0, l1,
+    least(l2, {_way('l0', '5', 'I')}, {_way('l1', '5', 'I')}, {_way('l3', '5', 'I')}),
+    least(l3, {_way('l2', '5', 'I')}, {_way('l0', '10', 'II')}, {_way('l1', '10', 'II')})
+  FROM (
+    SELECT t.conv_id, t.i, {_way('l0', '2', 'D')} AS l0,
+      {_least(('l1', '2', 'D'), ('l0', _KEEP['s'], 'K'))} AS l1,
+      {_least(('l2', '2', 'D'), *((f'l{k}', cost, letter) for k in (0, 1, 3) for cost, letter in ((_KEEP['u'], 'K'), (_REROLE, 'R'))))} AS l2,
+      {_least(('l3', '2', 'D'), ('l2', _KEEP['a'], 'K'), ('l2', _REROLE, 'R'))} AS l3
+    FROM dp JOIN coded t ON t.conv_id IS NOT DISTINCT FROM dp.conv_id AND t.i = dp.i + 1
+  )
+), sizes AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (kind = 'b') AS blank, count(*) FILTER (kind = 'd') AS duplicate, count(*) FILTER (kind = 't') AS truncated,
+    count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM coded GROUP BY conv_id
+), best AS (
+  SELECT s.*, least(l0, l3).c AS cost, least(l0, l3).a AS audit FROM sizes s JOIN dp ON s.conv_id IS NOT DISTINCT FROM dp.conv_id AND i = n
+), letters AS (
+  SELECT conv_id, len(replace(audit, 'D', '')) % 2 AS odd, unnest(string_split(audit, '')) AS op, unnest(range(1, len(audit) + 1)) AS j
+  FROM best WHERE audit <> ''
+), read AS (
+  SELECT *, sum(CASE WHEN op = 'I' THEN 0 ELSE 1 END) OVER w AS i, sum(CASE WHEN op = 'D' THEN 0 ELSE 1 END) OVER w AS e
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), lines AS (
+  SELECT r.conv_id, j, CASE WHEN op = 'K' THEN t.role WHEN (e + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN op = 'I' THEN '' ELSE t.text END AS line
+  FROM read r LEFT JOIN coded t ON t.conv_id IS NOT DISTINCT FROM r.conv_id AND t.i = r.i AND op <> 'I' WHERE op <> 'D'
+), texts AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY j) AS text FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(texts.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 STATEMENTS: dict[str, str] = {
     "op2_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
     "op4_mix_sources": MIX_SOURCES,
@@ -213,6 +285,7 @@ STATEMENTS: dict[str, str] = {
     "op8_host_quality": HOST_QUALITY,
     "op9_benchmark_leaks": BENCHMARK_LEAKS,
     "op11_merkle_manifest": MERKLE_MANIFEST,
+    "op12_repair_conversations": REPAIR_CONVERSATIONS,
 }
 
 

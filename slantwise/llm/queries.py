@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slantwise.llm import conversations as cv
 from slantwise.llm import decontaminate as dc
+from slantwise.llm import fingerprints as fp
 from slantwise.llm import lines as ln
 from slantwise.llm import merkle as mk
 from slantwise.llm import mixing as mx
@@ -88,7 +90,7 @@ def op8_host_quality(spark, sf_dir):
 @query
 def op9_benchmark_leaks(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    out = dc.find_leaks(documents(spark, sf_dir, "doc_id", "text"), benchmark)
+    out = dc.find_leaks(documents(spark, sf_dir, "doc_id", "text"), benchmark, places=False)
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
@@ -106,3 +108,14 @@ def op11_merkle_manifest(spark, sf_dir):
     found = {"text": F.when(struck, lowered).otherwise(F.col("text"))}
     out = mk.merkle_manifest(docs, fanout=8, found=found)
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op12_repair_conversations(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return cv.repair_conversations(cv.damage(turns), among=turns)
+
+
+@query
+def op13_simhash_components(spark, sf_dir):
+    return fp.similar_fingerprints(documents(spark, sf_dir, "doc_id", "text"), size=4, max_bits=4, seed=42)
