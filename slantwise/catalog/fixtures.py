@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slantwise import constants as K
 from slantwise.operators.features import Analyzer, vocabulary
 from slantwise.operators.labels import assign_labels
+from slantwise.operators.language import LanguageProfiles, learn_profiles
 from slantwise.operators.linear import with_score_columns
 from slantwise.operators.prep import normalize
 from slantwise.operators.training import LinearModel
@@ -35,6 +36,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profiles(spark: SparkSession, sf_dir: str) -> LanguageProfiles:
+    """Language profiles learned from all documents and their ``lang``."""
+    return learn_profiles(table(spark, sf_dir, "documents"))
+
+
 def source_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``outlet_name,label`` of the sources that occur in the documents."""
     number = F.regexp_extract("outlet_name", r"(\d+)$", 1).cast("int")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from slantwise import constants as K
 from slantwise.catalog import fixtures as fx
 from slantwise.functions import text as tx
+from slantwise.operators import language as lg
 from slantwise.operators.splitting import SEED
 
 
@@ -350,6 +351,25 @@ def _language(expr: str) -> str:
 detected AS (SELECT *, CASE WHEN {top} = 0 THEN 'unknown' {cases} END AS detected FROM hits_by_lang)"""
 
 
+def _characters(sizes: Sequence[int] = lg.SIZES) -> str:
+    """All character n-grams of the list ``c``."""
+    parts = []
+    for n in sizes:
+        gram = " || ".join(f"c[i + {k}]" for k in range(n))
+        parts.append(f"list_transform(range(1, len(c) - {n - 1} + 1), lambda i: {gram})")
+    return f"flatten([{', '.join(parts)}])"
+
+
+PROFILES = f"""letters AS (SELECT doc_id, lang, CASE WHEN words = '' THEN [] ELSE string_split(' ' || words || ' ', '') END AS c
+  FROM (SELECT *, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}]+', ' ', 'g')) AS words FROM docs)),
+char_tf AS (SELECT doc_id, lang, gram, count(*) AS tf FROM (SELECT doc_id, lang, unnest({_characters()}) AS gram FROM letters) GROUP BY ALL),
+char_totals AS (SELECT lang, gram, sum(tf)::BIGINT AS n FROM char_tf WHERE lang IS NOT NULL GROUP BY lang, gram),
+profiles AS (SELECT lang, gram, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rank FROM char_totals QUALIFY rank <= {lg.TOP}),
+weighed AS (SELECT t.doc_id, p.lang AS code, sum(tf * ({lg.TOP} + 1 - rank)) AS weight FROM char_tf t JOIN profiles p ON t.gram = p.gram GROUP BY ALL),
+chosen_lang AS (SELECT doc_id, code FROM weighed QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, code) = 1),
+detected AS (SELECT d.*, coalesce(code, '{lg.UNKNOWN}') AS detected FROM docs d LEFT JOIN chosen_lang x ON d.doc_id = x.doc_id)"""
+
+
 def _hash(expr: str) -> str:
     return f"sha256({_collapse(f'lower({expr})')})"
 
@@ -367,29 +387,44 @@ JSON_VIEW = f"""WITH {DOCS} SELECT doc_id, md5(text) AS text_md5, source, date,
 
 
 def _html() -> str:
-    brk = "chr(1)"
-    pruned = _replace("html", r"(?s)<!--.*?-->|<![^>]*>", brk)
-    for tag in K.DROPPED_TAGS:
-        pruned = _replace(pruned, rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)", brk)
+    """Depths as running sums with their running minimum, over one row per piece of a page."""
+    counted = [tag for tag in K.DROPPED_TAGS if tag not in K.RAW_TAGS]
+    mark = _quote(K.MARKUP)
 
     def decode(expr: str) -> str:
         """Each reference between one ``&`` and the next, looked up once."""
-        number = "coalesce(TRY_CAST(nullif(regexp_extract(r, '^#([0-9]+);', 1), '') AS BIGINT), TRY_CAST('0x' || nullif(regexp_extract(r, '^#[xX]([0-9a-fA-F]+);', 1), '') AS BIGINT), 0)"
-        point = f"CASE WHEN {number} BETWEEN 128 AND 159 THEN c1[{number} - 127] WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INTEGER)) ELSE chr(65533) END"
-        name = "named[regexp_extract(r, '^([A-Za-z][A-Za-z0-9]*);', 1)]"
-        known = f"CASE WHEN regexp_matches(r, '^#([0-9]+|[xX][0-9a-fA-F]+);') THEN {point} ELSE {name} END"
-        rest = "regexp_replace(r, '^[^;]*;', '')"
+        number = "coalesce(TRY_CAST(nullif(regexp_extract(r, '^#([0-9]+)', 1), '') AS BIGINT), TRY_CAST('0x' || nullif(regexp_extract(r, '^#[xX]([0-9a-fA-F]+)', 1), '') AS BIGINT), 0)"
+        point = f"CASE WHEN {number} BETWEEN 128 AND 159 THEN c1[{number} - 127] WHEN {number} BETWEEN {tx.FIRST_CHARACTER} AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INTEGER)) ELSE chr(65533) END"
+        name = "named[regexp_extract(r, '^([A-Za-z][A-Za-z0-9]*)', 1)]"
+        known = f"CASE WHEN regexp_matches(r, '^#([0-9]+|[xX][0-9a-fA-F]+)') THEN {point} ELSE {name} END"
+        rest = "regexp_replace(r, '^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?', '')"
         return f"array_to_string(list_transform(string_split({expr}, '&'), lambda r, i: CASE WHEN i = 1 THEN r ELSE coalesce({known} || {rest}, '&' || r) END), '')"
 
     def strip(expr: str) -> str:
         return f"regexp_replace({expr}, {_quote(f'^{K.WS}+|{K.WS}+$')}, '', 'g')"
 
-    nodes = f"string_split({decode(_replace('pruned', '<[^>]+>', brk))}, chr(1))"
-    inner = "regexp_extract(pruned, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)"
+    def is_tag(name: str, slash: str = "") -> str:
+        return f"regexp_matches(mark, '(?i)^<{slash}{name}[\\s/>]')"
+
+    steps = ", ".join(
+        f"CASE WHEN {is_tag(tag)} AND NOT ends_with(mark, '/>') THEN 1 WHEN {is_tag(tag, '/')} THEN -1 ELSE 0 END AS step_{tag}" for tag in counted
+    )
+    sums = ", ".join(f"sum(step_{tag}) OVER w AS sum_{tag}" for tag in counted)
+    deep = " OR ".join(f"sum_{tag} > least(0, low_{tag})" for tag in counted)
+    lows = ", ".join(f"min(sum_{tag}) OVER w AS low_{tag}" for tag in counted)
+    symbol = f"CASE WHEN k = 1 THEN '' WHEN {is_tag('title')} THEN chr(2) WHEN {is_tag('title', '/')} THEN chr(3) ELSE chr(1) END"
+    nodes = f"regexp_split_to_array({decode('pruned')}, '[' || chr(1) || chr(2) || chr(3) || ']')"
+    inner = "regexp_extract(pruned, chr(2) || '([^' || chr(3) || ']*)', 1)"
     names = ", ".join(f"{_quote(name)}: {_quote(value)}" for name, value in tx.ENTITIES.items())
-    return f"""WITH p AS (SELECT page_id AS doc_id, {pruned} AS pruned FROM pages),
+    return f"""WITH clean AS (SELECT page_id AS doc_id, translate(coalesce(html, ''), chr(1) || chr(2) || chr(3), '   ') AS html FROM pages),
+cut AS (SELECT doc_id, list_prepend('', regexp_extract_all(html, {mark})) AS marks, regexp_split_to_array(html, {mark}) AS texts FROM clean),
+pieces AS (SELECT doc_id, unnest(marks) AS mark, unnest(texts) AS piece, unnest(range(1, len(texts) + 1)) AS k FROM cut),
+steps AS (SELECT *, {steps} FROM pieces),
+sums AS (SELECT *, {sums} FROM steps WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+lows AS (SELECT *, {lows} FROM sums WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+p AS (SELECT doc_id, string_agg(CASE WHEN {deep} THEN chr(1) ELSE {symbol} || piece END, '' ORDER BY k) AS pruned FROM lows GROUP BY doc_id),
 tables AS (SELECT MAP {{{names}}} AS named, [{_list(tx.C1_REFERENCES)}] AS c1)
-SELECT doc_id, {strip(decode(_replace(inner, '<[^>]+>', '')))} AS title,
+SELECT doc_id, array_to_string(list_transform(regexp_split_to_array({decode(inner)}, '[' || chr(1) || chr(2) || ']'), lambda n: {strip('n')}), '') AS title,
   array_to_string(list_filter(list_transform({nodes}, lambda n: {strip('n')}), lambda n: n <> ''), ' ') AS text,
   'unknown' AS source FROM p, tables"""
 
@@ -402,7 +437,7 @@ SELECT doc_id, CAST(len(g) AS INTEGER) AS n_grams, CAST(len(list_distinct(g)) AS
 
 def statements() -> dict[str, str]:
     simple = "list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9''\\-]+', ' ', 'g'), ' '), lambda t: t <> '')"
-    prep_en = f"{DOCS}, " + _prepared("detected", "AND detected = 'en'", _language("text") + ", ")
+    prep_en = f"{DOCS}, " + _prepared("detected", "AND detected = 'en'", PROFILES + ", ")
     prep_all = _prepared("docs")
     report_lines = [
         "printf('%s | %d documents', group_name, size)",
@@ -435,8 +470,11 @@ FROM known WHERE label <> pred_label""",
         "normalize_text": f"WITH {DOCS} SELECT doc_id, {_normalize('text')} AS text FROM docs",
         "text_hash": f"WITH {DOCS} SELECT doc_id, {_hash('text')} AS text_hash FROM docs",
         "filter_length": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE length(text) BETWEEN 50 AND 5000",
-        "detect_language": f"WITH {DOCS}, {_language('text')} SELECT doc_id, lang, detected FROM detected",
-        "filter_language": f"WITH {DOCS}, {_language('text')} SELECT doc_id, lang FROM detected WHERE detected = 'en'",
+        "detect_language": f"WITH {DOCS}, {PROFILES} SELECT doc_id, lang, detected FROM detected",
+        "detect_language_by_words": f"WITH {DOCS}, {_language('text')} SELECT doc_id, lang, detected FROM detected",
+        "language_profiles": f"WITH {DOCS}, {PROFILES} SELECT lang, gram, n, CAST(rank AS INTEGER) AS rank FROM profiles",
+        "language_confusion": f"WITH {DOCS}, {PROFILES} SELECT lang, detected, count(*) AS count FROM detected GROUP BY lang, detected",
+        "filter_language": f"WITH {DOCS}, {PROFILES} SELECT doc_id, lang FROM detected WHERE detected = 'en'",
         "preprocess_docs": f"WITH {prep_en} SELECT doc_id, source, text FROM prepared",
         "label_encode": f"""WITH {LABELED} SELECT doc_id, label, CASE label WHEN '{A}' THEN 0 WHEN '{B}' THEN 1 WHEN '{C}' THEN 2 END AS label_int FROM labeled""",
         "tokenize_ngrams": _digest(_content("text")),

@@ -17,6 +17,7 @@ from slantwise.operators import evaluation as ev
 from slantwise.operators import features as ft
 from slantwise.operators import keywords as kw
 from slantwise.operators import labels as lb
+from slantwise.operators import language as lg
 from slantwise.operators import linear as ln
 from slantwise.operators import prep
 from slantwise.operators import reports as rp
@@ -230,17 +231,34 @@ def filter_length(spark, sf_dir):
 
 @query
 def detect_language(spark, sf_dir):
+    detected = fx.profiles(spark, sf_dir).detect(F.col("text"))
+    return fx.docs(spark, sf_dir).select("doc_id", "lang", detected.alias("detected"))
+
+
+@query
+def language_profiles(spark, sf_dir):
+    return lg.language_profiles(fx.docs(spark, sf_dir))
+
+
+@query
+def language_confusion(spark, sf_dir):
+    return lg.language_confusion(fx.docs(spark, sf_dir), fx.profiles(spark, sf_dir))
+
+
+@query
+def detect_language_by_words(spark, sf_dir):
     return fx.docs(spark, sf_dir).select("doc_id", "lang", tx.detect_language(F.col("text")).alias("detected"))
 
 
 @query
 def filter_language(spark, sf_dir):
-    return prep.filter_language(fx.docs(spark, sf_dir), "en").select("doc_id", "lang")
+    return prep.filter_language(fx.docs(spark, sf_dir), "en", profiles=fx.profiles(spark, sf_dir)).select("doc_id", "lang")
 
 
 @query
 def preprocess_docs(spark, sf_dir):
-    return prep.preprocess(fx.docs(spark, sf_dir)).select("doc_id", "source", "text")
+    cleaned = prep.preprocess(fx.docs(spark, sf_dir), profiles=fx.profiles(spark, sf_dir))
+    return cleaned.select("doc_id", "source", "text")
 
 
 @query

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from collections.abc import Iterable, Mapping
 from html.entities import html5
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from slantwise import constants as K
-from slantwise.functions.arrays import contiguous_ngrams, let
+from slantwise.functions.arrays import contiguous_ngrams, let, running
 
 # Characters that canonical composition never changes, alone or next to each
 # other: everything up to the combining marks, and general punctuation. A class
@@ -28,6 +27,12 @@ ENTITIES = {name[:-1]: value for name, value in html5.items() if name.endswith("
 # What the numeric references 128 to 159 stand for.
 C1_REFERENCES = [bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160)]
 NO_CHARACTER = "\ufffd"
+FIRST_CHARACTER = 9
+
+# What stands for a piece of markup in pruned HTML.
+NODE, TITLE_START, TITLE_END = "\x01", "\x02", "\x03"
+# Possessive here, so that a tag with very many attributes needs no stack.
+JAVA_MARKUP = K.MARKUP.replace(K.TAG_REST, K.TAG_REST.replace("*", "*+"))
 
 
 def _nfc_udf():
@@ -125,14 +130,15 @@ def detect_language(
 def decode_entities(text: Column) -> Column:
     """Decode numeric and named references, each once, from left to right.
 
+    A name is all letters and digits behind the ``&``; the semicolon may be missing.
     Code points that are no character become U+FFFD; unknown names stay.
     """
     table = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
-    reference = r"^(?:#([0-9]+)|#[xX]([0-9a-fA-F]+)|([A-Za-z][A-Za-z0-9]*));"
+    reference = r"^(?:#([0-9]+)|#[xX]([0-9a-fA-F]+)|([A-Za-z][A-Za-z0-9]*));?"
 
     def character(decimal: Column, hexadecimal: Column) -> Column:
         number = F.when(decimal != "", decimal).otherwise(F.conv(hexadecimal, 16, 10)).try_cast("bigint")
-        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        valid = number.between(FIRST_CHARACTER, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         point = F.when(valid, number).otherwise(F.lit(ord(NO_CHARACTER)))
         plain = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
         c1 = F.get(F.array(*map(F.lit, C1_REFERENCES)), (point - 128).cast("int"))
@@ -153,23 +159,64 @@ def decode_entities(text: Column) -> Column:
 
 
 def drop_subtrees(html: Column, tags: Iterable[str] = K.DROPPED_TAGS) -> Column:
-    """Replace comments, declarations and unwanted subtrees by a node break.
-
-    A subtree that is never closed reaches to the end of the text.
+    """Visible text with a mark for each piece of markup between.
+
+    Markup is read by kind: comments, declarations, raw elements, and tags, whose
+    quoted attributes may hold ``>``. Each of ``tags`` has a depth, one up at its start
+    and one down, not below zero, at its end tag; text at a depth above zero is
+    hidden. So an end tag without a start does nothing, subtrees may hold their own
+    kind, and one that is never closed reaches to the end. Comments and raw elements
+    that stay open reach there too.
     """
-    out = F.regexp_replace(html, r"(?s)<!--.*?-->|<![^>]*>", "\x01")
-    for tag in tags:
-        out = F.regexp_replace(out, rf"(?is)<{re.escape(tag)}\b[^>]*>.*?(?:</{re.escape(tag)}\s*>|\z)", "\x01")
-    return out
+    counted = [tag for tag in tags if tag not in K.RAW_TAGS]
+    clean = F.translate(html, NODE + TITLE_START + TITLE_END, "   ")
+    pieces = F.struct(F.regexp_extract_all(clean, F.lit(JAVA_MARKUP), F.lit(0)).alias("marks"), F.split(clean, JAVA_MARKUP, -1).alias("texts"))
+
+    def step(mark: Column, tag: str) -> Column:
+        start = mark.rlike(rf"(?i)^<{tag}[\s/>]") & ~mark.endswith("/>")
+        return F.when(start, 1).when(mark.rlike(rf"(?i)^</{tag}[\s/>]"), -1).otherwise(0)
+
+    def steps(mark: Column) -> Column:
+        found = [step(mark, tag) for tag in counted]
+        return F.struct(*[x.alias(f"s{k}") for k, x in enumerate(found)], *[F.least(x, F.lit(0)).alias(f"l{k}") for k, x in enumerate(found)])
+
+    def add(a: Column, b: Column) -> Column:
+        sums = [(a[f"s{k}"] + b[f"s{k}"]).alias(f"s{k}") for k in range(len(counted))]
+        lows = [F.least(a[f"l{k}"], a[f"s{k}"] + b[f"l{k}"]).alias(f"l{k}") for k in range(len(counted))]
+        return F.struct(*sums, *lows)
+
+    fields = [f"{kind}{k}" for kind in "sl" for k in range(len(counted))]
+    zero = F.struct(*[F.lit(0).alias(name) for name in fields])
+
+    def hidden(marks: Column) -> Column:
+        """For each text: whether it stands inside a dropped subtree."""
+        ahead = running(F.concat(F.transform(marks, steps), F.array(zero)), f"struct<{','.join(f'{name}:int' for name in fields)}>", zero, add)
+        return F.transform(ahead, lambda x: F.greatest(F.lit(0), *[x[f"s{k}"] - x[f"l{k}"] for k in range(len(counted))]) > 0)
+
+    def symbol(mark: Column) -> Column:
+        return F.when(mark.rlike(r"(?i)^<title[\s/>]"), TITLE_START).when(mark.rlike(r"(?i)^</title[\s/>]"), TITLE_END).otherwise(NODE)
+
+    def visible(found: Column) -> Column:
+        marked = F.zip_with(
+            F.concat(F.array(F.lit("")), F.transform(found["marks"], symbol)), found["texts"], lambda mark, text: F.struct(mark.alias("mark"), text.alias("text"))
+        )
+        everything = F.transform(marked, lambda x: F.concat(x["mark"], x["text"]))
+        if not counted:
+            return F.array_join(everything, "")
+        kept = F.zip_with(marked, hidden(found["marks"]), lambda x, out: F.when(out, NODE).otherwise(F.concat(x["mark"], x["text"])))
+        some = F.exists(found["marks"], lambda mark: mark.rlike(rf"(?i)^<(?:{'|'.join(counted)})[\s/>]"))
+        return F.array_join(F.when(some, kept).otherwise(everything), "")
+
+    return let(pieces, visible)
 
 
 def html_text(pruned: Column) -> Column:
     """Text nodes, each trimmed, joined by one space."""
-    nodes = F.split(decode_entities(F.regexp_replace(pruned, r"<[^>]+>", "\x01")), "\x01")
+    nodes = F.split(decode_entities(pruned), f"[{NODE}{TITLE_START}{TITLE_END}]")
     return F.array_join(F.filter(F.transform(nodes, strip_ws), lambda node: node != ""), " ")
 
 
 def html_title(pruned: Column) -> Column:
-    """Text of the first ``title`` element, or an empty string."""
-    inner = F.regexp_extract(pruned, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    return strip_ws(decode_entities(F.regexp_replace(inner, r"<[^>]+>", "")))
+    """Text of the first ``title`` element, its nodes trimmed, or an empty string."""
+    inner = F.regexp_extract(pruned, f"{TITLE_START}([^{TITLE_END}]*)", 1)
+    return F.array_join(F.transform(F.split(decode_entities(inner), f"[{NODE}{TITLE_START}]"), strip_ws), "")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slantwise import constants as K
 from slantwise.functions import text as tx
+from slantwise.operators.language import LanguageProfiles
 
 
 def filter_length(
@@ -24,11 +25,17 @@ def filter_language(
     target: str | None = "en",
     text_col: str = "text",
     words: Mapping[str, Iterable[str]] = K.FUNCTION_WORDS,
+    profiles: LanguageProfiles | None = None,
 ) -> DataFrame:
-    """Keep texts detected as ``target``; ``None`` switches the filter off."""
+    """Keep texts detected as ``target``; ``None`` switches the filter off.
+
+    With ``profiles``, learned from labelled texts, character n-grams decide, for any
+    number of languages; without labelled texts the function ``words`` do.
+    """
     if target is None:
         return df
-    return df.where(tx.detect_language(F.col(text_col), words) == target)
+    text = F.col(text_col)
+    return df.where((profiles.detect(text) if profiles else tx.detect_language(text, words)) == target)
 
 
 def deduplicate(df: DataFrame, text_col: str = "text", order_col: str = "doc_id") -> DataFrame:
@@ -60,10 +67,11 @@ def preprocess(
     dedup: bool = True,
     text_col: str = "text",
     order_col: str = "doc_id",
+    profiles: LanguageProfiles | None = None,
 ) -> DataFrame:
     """Length filter, language filter, clean-up, de-duplication, length filter."""
     out = filter_length(df, min_chars, max_chars, text_col)
-    out = filter_language(out, language, text_col)
+    out = filter_language(out, language, text_col, profiles=profiles)
     if normalize_unicode:
         out = normalize(out, text_col)
     if dedup:

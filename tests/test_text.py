@@ -146,7 +146,7 @@ def test_references_are_decoded_once(spark):
         "&amp;amp; &lt;": "&amp; <",
         "&#9999999; &#0; &#xD800;": "\ufffd \ufffd \ufffd",
         "&#128; &#x41; &#99999999999999999999999999;": "\u20ac A \ufffd",
-        "&nosuch; & &copy 1": "&nosuch; & &copy 1",
+        "&nosuch; & &copy 1": "&nosuch; & \u00a9 1",
         "&Aacute;&hearts;": "\u00c1\u2665",
         "": "",
     }
