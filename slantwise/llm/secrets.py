@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slantwise.functions.arrays import let
+from slantwise.functions.arrays import let, running
 from slantwise.llm.columns import apart
-from slantwise.llm.scans import running
 
 # Fixed patterns: kind, pattern, the group whose length counts, its least length.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""

@@ -8,8 +8,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from slantwise.functions.arrays import running
 from slantwise.llm import secrets
-from slantwise.llm.scans import running
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 
