@@ -244,6 +244,18 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY class_name ORDER BY score D
 SELECT class_name, CAST(rank AS INTEGER) AS rank, term AS phrase, score FROM ranked WHERE rank <= 50"""
 
 
+def _group_phrases(k: int = K.K_ANONYMITY, top_k: int = 20) -> str:
+    return f"""WITH {TFIDF}, grouped AS (SELECT doc_id, coalesce(source, 'unknown') AS group_name FROM clean),
+sizes AS (SELECT group_name, count(*) AS size FROM grouped GROUP BY group_name),
+sums AS (SELECT group_name, term, sum(x) AS w FROM tfidf JOIN grouped USING (doc_id) GROUP BY group_name, term),
+shares AS (SELECT group_name, size, size::DOUBLE / (SELECT sum(size) FROM sizes) AS p FROM sizes),
+scored AS (SELECT group_name, term, w - p * sum(w) OVER (PARTITION BY term) AS gap, p * (1 - p) * sum(w) OVER (PARTITION BY term) AS scale, size
+  FROM sums JOIN shares USING (group_name)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY group_name ORDER BY score DESC, term) AS rank
+  FROM (SELECT group_name, term, round(gap * gap / scale, 6) AS score FROM scored WHERE gap > 0 AND scale > 0 AND size >= {k}) WHERE score > 0)
+SELECT group_name, CAST(rank AS INTEGER) AS rank, term AS phrase, score FROM ranked WHERE rank <= {top_k}"""
+
+
 def _mi() -> str:
     cells = []
     for i in range(3):
@@ -504,6 +516,7 @@ SELECT doc_id, source FROM c WHERE copy = 1""",
 FROM tfidf WHERE label IS NOT NULL GROUP BY term""",
         "chi2_phrases": _chi2(),
         "mi_phrases": _mi(),
+        "group_phrases": _group_phrases(),
         "confusion_matrix": f"WITH {CONFUSION} SELECT true_label, pred_label, count FROM cells",
         "accuracy": f"WITH {SCORED} SELECT count(*) AS n, round(avg(CASE WHEN label = pred_label THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy FROM known",
         "per_class_metrics": f"WITH {CONFUSION} SELECT class_name, {_r('precision', 'recall', 'f1')}, support FROM measured",

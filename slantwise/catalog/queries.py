@@ -402,12 +402,7 @@ def vocabulary(spark, sf_dir):
 def tfidf_fit(spark, sf_dir):
     corpus = lb.labeled(fx.clean_docs(spark, sf_dir))
     vocab = fx.fitted_vocabulary(spark, sf_dir)
-    table = ft.tfidf_transform(corpus, vocab, vocab_rows=ROWS)
-    return table.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"),
-        F.round(F.sum("tfidf"), 6).alias("sum_tfidf"),
-        F.round(F.max("tfidf"), 6).alias("max_tfidf"),
-    )
+    return ft.tfidf_fit(corpus, vocab, vocab_rows=ROWS)
 
 
 @query
@@ -416,6 +411,12 @@ def chi2_phrases(spark, sf_dir):
     return ft.chi2_phrases(corpus, fx.fitted_vocabulary(spark, sf_dir), vocab_rows=ROWS)
 
 
+@query
+def group_phrases(spark, sf_dir):
+    corpus = fx.clean_docs(spark, sf_dir)
+    return ft.group_phrases(corpus, fx.fitted_vocabulary(spark, sf_dir), subset_field(corpus, "source"), k=30, vocab_rows=ROWS)
+
+
 @query
 def mi_phrases(spark, sf_dir):
     corpus = lb.labeled(fx.clean_docs(spark, sf_dir))

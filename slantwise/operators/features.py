@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from slantwise import constants as K
 from slantwise.functions import text as tx
-from slantwise.functions.arrays import value_counts
-from slantwise.session import materialize, small_side
+from slantwise.functions.arrays import let, value_counts
+from slantwise.session import BROADCAST_ROWS, materialize, small_side
 
 ROUND = 6
 
@@ -125,6 +125,85 @@ def known_terms(counts: DataFrame, table: DataFrame, rows: int | None = None) ->
     return counts.join(small_side(table, rows), "term")
 
 
+class TermTable:
+    """A bounded table by term as one value that expressions can look terms up in.
+
+    The rows are dealt to about as many slots as there are rows, by a hash of the
+    term; a lookup reads one slot. The table becomes a constant of the plan, so a
+    term is looked up inside its row, without a join.
+    """
+
+    def __init__(self, table: DataFrame, rows: int):
+        self.size = 1 << max(4, (rows - 1).bit_length())
+        values = [c for c in table.columns if c != "term"]
+        entry = F.struct(F.col("term").alias("term"), *values)
+        filled = table.groupBy(self._slot(F.col("term")).alias("slot")).agg(F.sort_array(F.collect_list(entry)).alias("terms"))
+        none = F.array().cast(filled.schema["terms"].dataType)
+        every = table.sparkSession.range(self.size).select(F.col("id").cast("int").alias("slot")).join(filled, "slot", "left")
+        # One row of at most as many terms as the table holds.
+        listed = every.agg(F.sort_array(F.collect_list(F.struct("slot", F.coalesce("terms", none).alias("terms")))).alias("slots"))
+        listed = listed.select(F.transform("slots", lambda x: x["terms"]).alias("slots"))
+        text = listed.select(F.to_json("slots")).first()[0]
+        self.slots = F.from_json(F.lit(text), listed.schema["slots"].dataType)
+
+    def _slot(self, term: Column) -> Column:
+        return F.pmod(F.xxhash64(term), F.lit(self.size)).cast("int")
+
+    def entry(self, slots: Column, term: Column) -> Column:
+        """Row of the table for ``term``, or null; ``slots`` is this table's value, bound by ``let``."""
+        return F.get(F.filter(F.get(slots, self._slot(term)), lambda x: x["term"] == term), F.lit(0))
+
+    def counted(self, terms: Column) -> Column:
+        """Known terms of an array as ``(entry, tf)``, one per distinct term."""
+
+        def known(slots: Column) -> Column:
+            found = F.transform(value_counts(terms), lambda c: F.struct(self.entry(slots, c["term"]).alias("entry"), c["tf"].alias("tf")))
+            return F.filter(found, lambda x: x["entry"].isNotNull())
+
+        return let(self.slots, known)
+
+
+def table_rows(table: DataFrame, rows: int | None) -> int:
+    """``rows`` if the caller has a bound, else the count, as far as it matters for a constant."""
+    return table.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
+
+
+def document_vectors(
+    docs: DataFrame,
+    table: DataFrame,
+    analyzer: Analyzer = DEFAULT_ANALYZER,
+    text_col: str = "text",
+    keep: Sequence[str] = ("doc_id",),
+    rows: int | None = None,
+) -> DataFrame:
+    """``(keep..., vector, norm)``: known terms of each row as ``(entry, tf, w)`` structs.
+
+    ``table`` has ``term``, ``idf`` and what else an entry shall carry; ``w`` is tf-idf
+    before the norm. Rows are told apart as rows, so ids may repeat or be null. With
+    a table of at most ``BROADCAST_ROWS`` terms nothing is shuffled; beyond it terms
+    are joined, and a row's terms come together again by the row's number.
+    """
+    rows = table_rows(table, rows)
+
+    def weigh(x: Column) -> Column:
+        return F.struct(x["entry"].alias("entry"), x["tf"].alias("tf"), (analyzer.tf_weight(x["tf"]) * x["entry"]["idf"]).alias("w"))
+
+    if rows <= BROADCAST_ROWS:
+        found = TermTable(table, rows).counted(analyzer.terms(F.col(text_col)))
+        vectors = docs.select(*keep, F.transform(found, weigh).alias("vector"))
+    else:
+        named = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*keep).alias("_keep"), F.col(text_col).alias("_text"))
+        counts = known_terms(term_counts(named, analyzer, "_text", ("_row",)), table, rows)
+        entry = F.struct("term", *[c for c in table.columns if c != "term"])
+        known = F.sort_array(F.collect_list(F.struct(entry.alias("entry"), "tf")))
+        lists = counts.groupBy("_row").agg(known.alias("_found"))
+        joined = named.select("_row", "_keep").join(lists, "_row", "left")
+        none = F.array().cast(lists.schema["_found"].dataType)
+        vectors = joined.select("_keep.*", F.transform(F.coalesce("_found", none), weigh).alias("vector"))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x["w"] * x["w"])
+    return vectors.select(*keep, "vector", F.sqrt(squares).alias("norm"))
+
+
 def tfidf_transform(
     docs: DataFrame,
     vocab: DataFrame,
@@ -133,13 +212,42 @@ def tfidf_transform(
     keep: Sequence[str] = ("doc_id",),
     vocab_rows: int | None = None,
 ) -> DataFrame:
-    """``(keep..., term, idx, tf, tfidf)``, L2-normalised per document (first ``keep``)."""
-    counts = term_counts(docs, analyzer, text_col, keep)
-    weighted = known_terms(counts, vocab.select("term", "idx", "idf"), vocab_rows).withColumn(
-        "_w", analyzer.tf_weight(F.col("tf")) * F.col("idf")
+    """``(keep..., term, idx, tf, tfidf)``, L2-normalised per row."""
+    vectors = document_vectors(docs, vocab.select("term", "idx", "idf"), analyzer, text_col, keep, vocab_rows)
+    cells = F.transform(
+        "vector",
+        lambda x: F.struct(x["entry"]["term"].alias("term"), x["entry"]["idx"].alias("idx"), x["tf"].alias("tf"), (x["w"] / F.col("norm")).alias("tfidf")),
+    )
+    return vectors.select(*keep, F.inline(cells))
+
+
+def term_sums(
+    docs: DataFrame,
+    vocab: DataFrame,
+    group: Column,
+    analyzer: Analyzer = DEFAULT_ANALYZER,
+    text_col: str = "text",
+    vocab_rows: int | None = None,
+) -> DataFrame:
+    """Long form of the term statistics: ``(group, idx, w, n, top)`` for the terms a group has.
+
+    ``w`` is the sum of tf-idf, ``n`` the number of rows, ``top`` the largest tf-idf. Numbers travel, not
+    terms: one partial aggregate over (group, idx), whatever ``group`` is.
+    """
+    vectors = document_vectors(docs.withColumn("_group", group), vocab.select("term", "idx", "idf"), analyzer, text_col, ("_group",), vocab_rows)
+    cells = F.transform("vector", lambda x: F.struct(x["entry"]["idx"].alias("idx"), (x["w"] / F.col("norm")).alias("x")))
+    return (
+        vectors.select(F.col("_group").alias("group"), F.inline(cells))
+        .groupBy("group", "idx")
+        .agg(F.sum("x").alias("w"), F.count(F.lit(1)).alias("n"), F.max("x").alias("top"))
     )
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(keep[0])))
-    return weighted.select(*keep, "term", "idx", "tf", (F.col("_w") / norm).alias("tfidf"))
+
+
+def tfidf_fit(docs: DataFrame, vocab: DataFrame, analyzer: Analyzer = DEFAULT_ANALYZER, text_col: str = "text", vocab_rows: int | None = None) -> DataFrame:
+    """``(term, df, sum_tfidf, max_tfidf)`` of the terms that occur; terms are attached at the end."""
+    sums = term_sums(docs, vocab, F.lit(0), analyzer, text_col, vocab_rows)
+    named = sums.join(vocab.select("idx", "term"), "idx")
+    return named.select("term", F.col("n").alias("df"), F.round("w", ROUND).alias("sum_tfidf"), F.round("top", ROUND).alias("max_tfidf"))
 
 
 def term_weight_lists(
@@ -166,14 +274,14 @@ def term_weight_lists(
     )
 
 
-def _class_sums(tfidf: DataFrame, classes: Sequence[str], label_col: str) -> DataFrame:
-    """Per term: total weight and document count, overall and per class."""
-    sums = [F.sum("tfidf").alias("_w"), F.count(F.lit(1)).alias("_n")]
+def _class_sums(sums: DataFrame, vocab: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """Per term: total weight and document count, overall and per class, with its ``term``."""
+    totals = [F.sum("w").alias("_w"), F.sum("n").alias("_n")]
     for i, name in enumerate(classes):
-        inside = F.col(label_col) == name
-        sums.append(F.coalesce(F.sum(F.when(inside, F.col("tfidf"))), F.lit(0.0)).alias(f"_w{i}"))
-        sums.append(F.count(F.when(inside, F.lit(1))).alias(f"_n{i}"))
-    return tfidf.groupBy("term").agg(*sums)
+        inside = F.col("group") == name
+        totals.append(F.coalesce(F.sum(F.when(inside, F.col("w"))), F.lit(0.0)).alias(f"_w{i}"))
+        totals.append(F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias(f"_n{i}"))
+    return sums.groupBy("idx").agg(*totals).join(vocab.select("idx", "term"), "idx")
 
 
 def _class_sizes(docs: DataFrame, classes: Sequence[str], label_col: str) -> Column:
@@ -207,7 +315,6 @@ def chi2_phrases(
     analyzer: Analyzer = DEFAULT_ANALYZER,
     text_col: str = "text",
     vocab_rows: int | None = None,
-    id_col: str = "doc_id",
 ) -> DataFrame:
     """One-vs-rest chi-square of summed tf-idf: ``(class_name, rank, phrase, score)``.
 
@@ -216,8 +323,8 @@ def chi2_phrases(
     that holds no or all documents has no statistic.
     """
     sizes = _class_sizes(docs, classes, label_col)
-    tfidf = tfidf_transform(docs, vocab, analyzer, text_col, (id_col, label_col), vocab_rows)
-    sums = _class_sums(tfidf, classes, label_col).withColumn("_sizes", sizes)
+    found = term_sums(docs, vocab, F.col(label_col), analyzer, text_col, vocab_rows)
+    sums = _class_sums(found, vocab, classes).withColumn("_sizes", sizes)
     scores = []
     for i in range(len(classes)):
         p = F.col(f"_sizes.n{i}") / F.col("_sizes.n")
@@ -229,6 +336,37 @@ def chi2_phrases(
     )
 
 
+def group_phrases(
+    docs: DataFrame,
+    vocab: DataFrame,
+    group: Column,
+    top_k: int = 20,
+    k: int = K.K_ANONYMITY,
+    analyzer: Analyzer = DEFAULT_ANALYZER,
+    text_col: str = "text",
+    vocab_rows: int | None = None,
+) -> DataFrame:
+    """Phrases a group has more of than its share: ``(group_name, rank, phrase, score)``.
+
+    The statistic of ``chi2_phrases`` for every group of at least ``k`` rows against all
+    others, for any number of groups, over the terms that stand in the group with
+    more weight than expected. Null groups don't count as one, but as others.
+    """
+    sums = materialize(term_sums(docs, vocab, group, analyzer, text_col, vocab_rows).drop("top"), "term-sums")
+    sizes = docs.groupBy(group.alias("group")).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = materialize(sizes, "group-sizes")
+    rows = sizes.select(F.coalesce(F.sum("_size"), F.lit(0))).scalar()
+    totals = sums.groupBy("idx").agg(F.sum("w").alias("_all"))
+    share = F.col("_size") / rows
+    gap = F.col("w") - share * F.col("_all")
+    score = F.round(F.try_divide(gap * gap, share * (1 - share) * F.col("_all")), ROUND)
+    scored = sums.join(small_side(sizes.where(F.col("_size") >= k)), "group").join(totals, "idx")
+    scored = scored.where(gap > 0).select(F.col("group").alias("group_name"), "idx", score.alias("score")).where(F.col("score") > 0)
+    # The index follows the terms, so it breaks ties as they would.
+    best = top_per_group(scored, "group_name", "score", top_k, "idx")
+    return best.join(vocab.select("idx", "term"), "idx").select("group_name", "rank", F.col("term").alias("phrase"), "score")
+
+
 def mi_phrases(
     docs: DataFrame,
     vocab: DataFrame,
@@ -238,7 +376,6 @@ def mi_phrases(
     analyzer: Analyzer = DEFAULT_ANALYZER,
     text_col: str = "text",
     vocab_rows: int | None = None,
-    id_col: str = "doc_id",
 ) -> DataFrame:
     """Mutual information of term presence and class, re-ranked inside each class.
 
@@ -246,8 +383,8 @@ def mi_phrases(
     orders them by its mean tf-idf times the information.
     """
     sizes = _class_sizes(docs, classes, label_col)
-    tfidf = tfidf_transform(docs, vocab, analyzer, text_col, (id_col, label_col), vocab_rows)
-    sums = _class_sums(tfidf, classes, label_col).withColumn("_sizes", sizes)
+    found = term_sums(docs, vocab, F.col(label_col), analyzer, text_col, vocab_rows)
+    sums = _class_sums(found, vocab, classes).withColumn("_sizes", sizes)
     n = F.col("_sizes.n").cast("double")
     information = F.lit(0.0)
     for i in range(len(classes)):

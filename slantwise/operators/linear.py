@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slantwise import constants as K
+from slantwise.functions import leaveout
 from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
 from slantwise.functions.arrays import contiguous_ngrams, let, value_counts
-from slantwise.operators.features import DEFAULT_ANALYZER, ROUND, Analyzer, known_terms, term_counts, top_per_group
-from slantwise.session import small_side
+from slantwise.operators.features import (
+    DEFAULT_ANALYZER,
+    ROUND,
+    Analyzer,
+    TermTable,
+    document_vectors,
+    known_terms,
+    table_rows,
+    term_counts,
+    top_per_group,
+)
+from slantwise.session import BROADCAST_ROWS, small_side
 
 
 def wide_weights(vocab: DataFrame, weights: DataFrame, classes: Sequence[str] = K.CLASSES) -> DataFrame:
@@ -167,34 +180,35 @@ def explain_terms(
     """Terms that contribute most to the predicted class of each document.
 
     The contribution is coefficient times tf-idf; without a model
-    (``intercepts=None``) it is the tf-idf value alone. Sums and ranks share the
-    partitioning by document, so the terms are shuffled once.
+    (``intercepts=None``) it is the tf-idf value alone. Every row explains its own
+    text, inside the row: terms are neither shuffled nor sorted across rows, and
+    ids may repeat or be null.
     """
-    weighted = _weighted(term_counts(docs, analyzer, text_col, (id_col,)), wide, analyzer, rows)
-    per_doc = Window.partitionBy(id_col)
-    value = F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc))
+    found = document_vectors(docs, wide, analyzer, text_col, (id_col,), rows).where(F.size("vector") > 0)
     if intercepts is None:
-        scored = weighted.select(id_col, "term", F.lit(None).cast("string").alias("pred_label"), value.alias("_c"))
+        chosen, label = F.lit(None).cast("int"), F.lit(None).cast("string")
+
+        def worth(x: Column) -> Column:
+            return x["w"] / F.col("norm")
     else:
-        names = [f"coef_{i}" for i in range(len(classes))]
-        summed = weighted.select(
-            id_col,
-            "term",
-            *names,
-            value.alias("_tfidf"),
-            F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc)).alias("_norm"),
-            *[F.sum(F.col("w") * F.col(name)).over(per_doc).alias(f"_dot_{i}") for i, name in enumerate(names)],
-        )
-        logits = [_intercept(intercepts, i) + F.col(f"_dot_{i}") / F.col("_norm") for i in range(len(classes))]
-        chosen = sc.argmax_index([F.round(z, 12) for z in logits])
-        scored = summed.withColumn("_pred", chosen).select(
-            id_col,
-            "term",
-            sc.label_of(F.col("_pred"), classes).alias("pred_label"),
-            (F.get(F.array(*names), F.col("_pred")) * F.col("_tfidf")).alias("_c"),
-        )
-    rounded = scored.withColumn("contribution", F.round("_c", ROUND)).withColumn("_size", F.abs("contribution"))
-    return top_per_group(rounded, id_col, "_size", top_k).select(id_col, "rank", "term", "pred_label", "contribution")
+
+        def dot(name: str) -> Column:
+            return F.aggregate("vector", F.lit(0.0), lambda total, x: total + x["w"] * x["entry"][name])
+
+        chosen = sc.argmax_index([F.round(_intercept(intercepts, i) + dot(f"coef_{i}") / F.col("norm"), 12) for i in range(len(classes))])
+        label = sc.label_of(F.col("_pred"), classes)
+
+        def worth(x: Column) -> Column:
+            coefs = F.array(*[x["entry"][f"coef_{i}"] for i in range(len(classes))])
+            return F.get(coefs, F.col("_pred")) * x["w"] / F.col("norm")
+
+    def ranked(x: Column) -> Column:
+        value = F.round(worth(x), ROUND)
+        return F.struct((-F.abs(value)).alias("size"), x["entry"]["term"].alias("term"), value.alias("contribution"))
+
+    best = F.slice(F.sort_array(F.transform("vector", ranked)), 1, top_k)
+    listed = found.withColumn("_pred", chosen).select(id_col, label.alias("pred_label"), F.posexplode(best).alias("_at", "_best"))
+    return listed.select(id_col, (F.col("_at") + 1).alias("rank"), "_best.term", "pred_label", "_best.contribution")
 
 
 def leave_one_out(
@@ -211,21 +225,93 @@ def leave_one_out(
 ) -> DataFrame:
     """How much the predicted probability falls when one token is left out.
 
-    All content tokens, or the first ``max_tokens``, are tried in turn. Leaving token i
+    All content tokens, or the first ``max_tokens``, are tried in turn. Leaving a token
     out removes the n-grams that cover it and adds those that now bridge the
     gap; every other n-gram keeps its count. So a variant is described by the
     few terms it changes, and its decision values follow from the document's
     sums plus the changes, instead of rescoring the text once per token.
+
+    Terms are looked up inside the row and go on as numbers; no token leaves its row,
+    so ids may repeat or be null. A model of more than ``BROADCAST_ROWS`` terms is
+    joined instead.
     """
+    rows = table_rows(wide, rows)
+    if rows > BROADCAST_ROWS:
+        return _leave_one_out_joined(docs, wide, intercepts, classes, analyzer, top_k, max_tokens, text_col, id_col, rows)
     low, high = analyzer.ngram_range
-    tokens = tx.simple_tokens(F.col(text_col)) if analyzer.simple else tx.content_tokens(F.col(text_col), analyzer.stop_words)
+    sizes, bridges = leaveout.layout(low, high)
+    numbered = wide.withColumn("number", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+    table = TermTable(numbered.select("term", "number"), rows)
+    # At most BROADCAST_ROWS rows of numbers.
+    values = numbered.orderBy("number").select("idf", *[f"coef_{i}" for i in range(len(classes))]).toPandas().to_numpy(float)
+    base = np.array(intercepts_of(intercepts, len(classes)))
+    model = docs.sparkSession.sparkContext.broadcast((values[:, 0], values[:, 1:], base))
+    sublinear = analyzer.sublinear_tf
+
+    def numbers(t: Column) -> Column:
+        def gram(slots: Column, parts: Sequence[Column]) -> Column:
+            return F.coalesce(table.entry(slots, _spaced(parts))["number"], F.lit(-1))
+
+        def at(slots: Column, i: Column) -> Column:
+            own = [gram(slots, [F.get(t, i + k) for k in range(n)]) for n in sizes]
+            over = [gram(slots, [F.get(t, i - before + k) for k in range(before)] + [F.get(t, i + 1 + k) for k in range(n - before)]) for n, before in bridges]
+            return F.array(*own, *over)
+
+        return let(table.slots, lambda slots: F.flatten(F.transform(t, lambda token, i: at(slots, i))))
+
+    tokens = _content(analyzer, F.col(text_col))
+    several = docs.select(id_col, tokens.alias("_tokens")).where(F.size("_tokens") > 1)
+    coded = several.select(id_col, "_tokens", numbers(F.col("_tokens")).alias("_numbers"))
+    schema = T.StructType([*coded.schema.fields[:2], T.StructField("_falls", T.ArrayType(T.DoubleType()))])
+    tried = coded.mapInArrow(lambda batches: leaveout.with_falls(batches, "_numbers", model.value, low, high, sublinear), schema)
+    falls = F.col("_falls") if max_tokens is None else F.slice("_falls", 1, max_tokens)
+
+    def ranked(x: Column, i: Column) -> Column:
+        value = F.round(x, ROUND)
+        return F.struct((-F.abs(value)).alias("size"), i.alias("position"), F.when(value == 0, F.lit(0.0)).otherwise(value).alias("importance"))
+
+    best = F.slice(F.sort_array(F.transform(falls, ranked)), 1, top_k)
+    listed = tried.select(id_col, "_tokens", F.posexplode(best).alias("_at", "_best"))
+    token = F.get("_tokens", F.col("_best.position")).alias("token")
+    return listed.select(id_col, (F.col("_at") + 1).alias("rank"), "_best.position", token, "_best.importance")
 
-    def joined(parts: Sequence[Column]) -> Column:
-        """One n-gram; null when a part lies outside the text."""
-        spaced = [parts[0]]
-        for part in parts[1:]:
-            spaced += [F.lit(" "), part]
-        return F.concat(*spaced)
+
+def intercepts_of(intercepts: DataFrame, k: int) -> list[float]:
+    """Intercepts in class order, 0 where there is none; one row per class reaches the driver."""
+    found = {r["class_idx"]: r["intercept"] for r in intercepts.where(F.col("class_idx").between(0, k - 1)).collect()}
+    return [float(found.get(i) or 0.0) for i in range(k)]
+
+
+def _content(analyzer: Analyzer, text: Column) -> Column:
+    return tx.simple_tokens(text) if analyzer.simple else tx.content_tokens(text, analyzer.stop_words)
+
+
+def _spaced(parts: Sequence[Column]) -> Column:
+    """One n-gram; null when a part lies outside the text."""
+    spaced = [parts[0]]
+    for part in parts[1:]:
+        spaced += [F.lit(" "), part]
+    return F.concat(*spaced)
+
+
+def _leave_one_out_joined(
+    docs: DataFrame,
+    wide: DataFrame,
+    intercepts: DataFrame,
+    classes: Sequence[str],
+    analyzer: Analyzer,
+    top_k: int,
+    max_tokens: int | None,
+    text_col: str,
+    name_col: str,
+    rows: int,
+) -> DataFrame:
+    """``leave_one_out`` for a model too large to be a constant: terms meet it in joins."""
+    docs = docs.withColumn("_row", F.monotonically_increasing_id())
+    names_of_rows, id_col = docs.select("_row", name_col), "_row"
+    low, high = analyzer.ngram_range
+    tokens = _content(analyzer, F.col(text_col))
+    joined = _spaced
 
     def changes(t: Column, i: Column) -> Column:
         """N-grams that start at token i, with the number of tokens whose removal
@@ -328,8 +414,5 @@ def leave_one_out(
         .withColumn("_size", F.abs("importance"))
     )
     order = Window.partitionBy(id_col).orderBy(F.desc("_size"), "position")
-    return (
-        scored.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= top_k)
-        .select(id_col, "rank", "position", "token", "importance")
-    )
+    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
+    return best.join(names_of_rows, "_row").select(name_col, "rank", "position", "token", "importance")
