@@ -209,30 +209,57 @@ def class_keywords(
     ``max_docs`` keeps the first documents of a class by id. Candidates are the
     n-grams of single documents. Counts per class and term take the place of a
     joined text, so no class is ever held in one row.
+
+    A single token scores its own weight in the class, so the ``top_k`` heaviest
+    tokens set a floor. An n-gram scores at most the length of its terms' weights,
+    which is below the floor unless one of them has the floor's share of it. Only
+    n-grams with such a heavy term are scored; all others just count how many
+    candidates hold a term.
     """
+    low, high = ngram_range
     known = docs.where(F.col(label_col).isin(list(classes)))
     if max_docs is not None:
         first = Window.partitionBy(label_col).orderBy(id_col)
         known = known.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= max_docs)
-    text, pair = F.col(text_col), ["class_name", "term"]
-    known = known.select(F.col(label_col).alias("class_name"), text.alias("_text"))
-    grams = contiguous_ngrams(tx.content_tokens(F.col("_text"), stop_words), *ngram_range)
-    candidates = known.select("class_name", F.explode(F.array_distinct(grams)).alias("keyword")).distinct()
-    candidates = materialize(candidates, "candidates")
-    parts = candidates.select("class_name", "keyword", F.inline(value_counts(F.split("keyword", " "))))
-    held = parts.groupBy(*pair).agg(F.count(F.lit(1)).alias("_held"))
+    pair = ["class_name", "term"]
+    known = materialize(known.select(F.col(label_col).alias("class_name"), tx.tokens(F.col(text_col)).alias("words")), "class-tokens")
+    content = F.filter("words", lambda token: ~token.isin(sorted(set(stop_words)))) if stop_words else F.col("words")
+    grams = known.select("class_name", F.explode(F.array_distinct(contiguous_ngrams(content, low, high))).alias("keyword"))
+    # The number of candidates that hold a term; those of a class in all, as the null term.
+    terms = F.array_append(F.array_distinct(F.split("keyword", " ")), F.lit(None).cast("string"))
+    held = grams.distinct().select("class_name", F.explode(terms).alias("term")).groupBy(*pair).agg(F.count(F.lit(1)).alias("_held"))
+    held = materialize(held, "held-terms")
     # One row per class.
-    sizes = F.broadcast(candidates.groupBy("class_name").agg(F.count(F.lit(1)).alias("_n")))
-    words = known.select("class_name", F.inline(value_counts(tx.tokens(F.col("_text"))))).groupBy(*pair).agg(F.sum("tf").alias("_tf"))
+    sizes = F.broadcast(held.where("term is null").select("class_name", F.col("_held").alias("_n")))
+    words = known.select("class_name", F.inline(value_counts(F.col("words")))).groupBy(*pair).agg(F.sum("tf").alias("_tf"))
     idf = F.ln((F.col("_n") + 2.0) / (F.coalesce("_held", F.lit(0)) + 2.0)) + 1.0
-    weights = words.join(held, pair, "left").join(sizes, "class_name").select(*pair, "_tf", idf.alias("_idf"))
-    weights = materialize(weights, "class-weights")
-    total = F.col("_tf") * F.col("_idf")
-    norms = F.broadcast(weights.groupBy("class_name").agg(F.sum(total * total).alias("_sq")))
+    weights = words.join(held, pair, "left").join(sizes, "class_name")
+    weights = materialize(weights.select(*pair, F.col("_held").isNotNull().alias("_content"), (F.col("_tf") * idf).alias("_total"), idf.alias("_idf")), "class-weights")
+    norms = weights.groupBy("class_name").agg(F.sum(F.col("_total") * F.col("_total")).alias("_sq"))
+    live = _reaching(grams, weights, norms, top_k, low, high)
+    parts = live.select("class_name", "keyword", F.inline(value_counts(F.split("keyword", " "))))
     own = F.col("tf") * F.col("_idf")
-    sims = parts.join(small_side(weights), pair).groupBy("class_name", "keyword").agg(
-        F.sum(own * total).alias("_dot"), F.sum(own * own).alias("_own")
+    sims = parts.join(weights, pair).groupBy("class_name", "keyword").agg(
+        F.sum(own * F.col("_total")).alias("_dot"), F.sum(own * own).alias("_own")
     )
     score = F.round(F.col("_dot") / F.sqrt(F.col("_sq") * F.col("_own")), ROUND)
-    scored = sims.join(norms, "class_name").select("class_name", "keyword", score.alias("score"))
+    scored = sims.join(F.broadcast(norms), "class_name").select("class_name", "keyword", score.alias("score"))
     return top_per_group(scored, "class_name", "score", top_k, "keyword").select("class_name", "rank", "keyword", "score")
+
+
+def _reaching(grams: DataFrame, weights: DataFrame, norms: DataFrame, top_k: int, low: int, high: int) -> DataFrame:
+    """Distinct ``(class_name, keyword)`` that may be among the best ``top_k`` of their class."""
+    if low > 1:  # no single tokens to set a floor
+        return grams.distinct()
+    tokens = weights.where("_content").select("class_name", "term", F.col("_total"))
+    last = top_per_group(tokens, "class_name", "_total", top_k).where(F.col("rank") == top_k)
+    floors = norms.join(last.select("class_name", "_total"), "class_name", "left").select(
+        "class_name",
+        # Less the rounding of two scores; a class of few tokens has no floor.
+        (F.coalesce(F.col("_total") - F.sqrt("_sq") * (2 * 10.0**-ROUND), F.lit(0.0)) / F.sqrt(F.lit(float(high)))).alias("_floor"),
+    )
+    # One row per class.
+    heavy = weights.join(F.broadcast(floors), "class_name").where(F.col("_total") >= F.col("_floor")).select("class_name", "term")
+    heavy = small_side(materialize(heavy, "heavy-terms"))
+    holding = grams.select("class_name", "keyword", F.explode(F.split("keyword", " ")).alias("term")).join(heavy, ["class_name", "term"], "left_semi")
+    return materialize(holding.select("class_name", "keyword").distinct(), "live-candidates")
