@@ -474,11 +474,17 @@ FROM split WHERE split = 'train'""",
 SELECT split, count(*) AS rows, count(label) AS labels FROM every GROUP BY split""",
         "label_template": f"""WITH {DOCS}, {HUMAN} SELECT doc_id, '' AS label, '' AS confidence, '' AS notes FROM docs
 WHERE doc_id NOT IN (SELECT doc_id FROM human_labels)""",
-        "scored_sink": f"WITH {SCORED} SELECT doc_id, source, pred_label, {_r('polarity_score', 'entropy')} FROM scored",
+        "scored_sink": f"""WITH {SCORED} SELECT doc_id, source, pred_label, {_r('polarity_score', 'entropy')},
+  '{{"ids":[' || doc_id || ',null],"label":' || CASE WHEN label IS NULL THEN 'null,"labeled":false' ELSE '"' || label || '","labeled":true' END || '}}' AS meta FROM scored""",
         "errors_sink": f"""WITH {SCORED} SELECT doc_id, label AS true_label, pred_label, {_r('confidence')}, md5(text) AS snippet_md5
 FROM known WHERE label <> pred_label""",
-        "report_sink": f"WITH {SCORED}, {_report(('source', 'region'))} "
-        + " UNION ALL ".join(f"SELECT field, group_name, {i} AS line_no, {line} AS line FROM report" for i, line in enumerate(report_lines)),
+        "report_sink": f"""WITH {SCORED}, {_report(('source', 'region', 'lang'), k=120)}, sizes AS ({group_counts}),
+shown AS (SELECT field, count(*) FILTER (size >= 120) AS up, count(*) FILTER (size < 120) AS down,
+  round(min(mean) FILTER (size >= 120), 6) AS least, round(max(mean) FILTER (size >= 120), 6) AS most FROM sizes GROUP BY field)
+"""
+        + " UNION ALL ".join(f"SELECT 'groups' AS section, field, group_name, {i} AS line_no, {line} AS line FROM report" for i, line in enumerate(report_lines))
+        + """ UNION ALL SELECT 'suppressed_groups', field, group_name, 0, printf('%s | not shown: Group size (%d) < k-anonymity threshold (120)', group_name, size) FROM sizes WHERE size < 120
+UNION ALL SELECT 'summary', field, NULL, 0, printf('%s | %d groups shown, %d not shown, means from %+.3f to %+.3f', field, up, down, least, most) FROM shown WHERE up > 0""",
         "normalize_text": f"WITH {DOCS} SELECT doc_id, {_normalize('text')} AS text FROM docs",
         "text_hash": f"WITH {DOCS} SELECT doc_id, {_hash('text')} AS text_hash FROM docs",
         "filter_length": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE length(text) BETWEEN 50 AND 5000",

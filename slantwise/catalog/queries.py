@@ -35,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 PROBS = sc.prob_columns()
 ROWS = K.MAX_FEATURES
+# Between the sizes of the groups, so that the report has all its sections.
+REPORT_K = 120
 
 
 def query(function: Query) -> Query:
@@ -172,11 +174,14 @@ def label_template(spark, sf_dir):
 def scored_sink(spark, sf_dir):
     path = scratch_path(spark, "scored")
     wanted = ["doc_id", "source", "pred_label", "polarity_score", "entropy"]
-    wr.write_jsonl(fx.scored(spark, sf_dir).select(*wanted), path)
+    # Values of several kinds, nested, as a variant.
+    known = F.struct(F.col("label").alias("label"), F.col("label").isNotNull().alias("labeled"), F.array("doc_id", F.lit(None)).alias("ids"))
+    meta = F.parse_json(F.to_json(known, {"ignoreNullFields": "false"})).alias("meta")
+    wr.write_jsonl(fx.scored(spark, sf_dir).select(*wanted, meta), path)
     stored = spark.read.schema(
-        "doc_id bigint, source string, pred_label string, polarity_score double, entropy double"
+        "doc_id bigint, source string, pred_label string, polarity_score double, entropy double, meta string"
     ).json(path)
-    return stored.select("doc_id", "source", "pred_label", *rounded("polarity_score", "entropy"))
+    return stored.select("doc_id", "source", "pred_label", *rounded("polarity_score", "entropy"), "meta")
 
 
 @query
@@ -195,10 +200,8 @@ def errors_sink(spark, sf_dir):
 @query
 def report_sink(spark, sf_dir):
     path = scratch_path(spark, "report")
-    report = rp.multi_field_report(fx.scored(spark, sf_dir), ("source", "region"))
-    wr_schema = report.schema
-    rp.write_report(report, path)
-    return rp.report_lines(spark.read.schema(wr_schema).json(path))
+    rp.write_report(rp.report_sections(fx.scored(spark, sf_dir), ("source", "region", "lang"), REPORT_K), path)
+    return rp.section_lines(rp.read_report(spark, path))
 
 
 @query

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slantwise import constants as K
@@ -135,6 +135,59 @@ def report_lines(report: DataFrame, classes: Sequence[str] = K.CLASSES) -> DataF
     return report.select(*KEYS, F.posexplode(F.array(*lines)).alias("line_no", "line"))
 
 
+SECTIONS = ("groups", "suppressed_groups", "summary")
+
+
+def report_sections(
+    scored: DataFrame,
+    fields: Sequence[str] = ("source", "region"),
+    k: int = K.K_ANONYMITY,
+    classes: Sequence[str] = K.CLASSES,
+    mask_sizes: bool = False,
+) -> DataFrame:
+    """The whole report as one table: rows of ``groups``, ``suppressed_groups`` and ``summary``.
+
+    ``section`` says which; the columns of the other sections are null. A field
+    whose groups are all suppressed has no summary.
+    """
+    parts = (
+        multi_field_report(scored, fields, k, classes),
+        suppressed_groups(scored, fields, k, mask_sizes),
+        subset_summary(scored, fields, k),
+    )
+    out = None
+    for name, part in zip(SECTIONS, parts):
+        named = part.select(F.lit(name).alias("section"), *part.columns)
+        out = named if out is None else out.unionByName(named, allowMissingColumns=True)
+    return out.withColumn("k", F.lit(k))
+
+
+def section_lines(sections: DataFrame, classes: Sequence[str] = K.CLASSES) -> DataFrame:
+    """Readable lines of all sections: ``(section, field, group_name, line_no, line)``."""
+    groups = report_lines(sections.where(F.col("section") == SECTIONS[0]), classes).withColumn("section", F.lit(SECTIONS[0]))
+    hidden = sections.where(F.col("section") == SECTIONS[1]).withColumn("line", F.format_string("%s | not shown: %s", "group_name", "reason"))
+    summary = sections.where(F.col("section") == SECTIONS[2]).withColumn(
+        "line",
+        F.format_string(
+            "%s | %d groups shown, %d not shown, means from %+.3f to %+.3f",
+            "field", "groups_reported", "groups_suppressed", "min_group_mean", "max_group_mean",
+        ),
+    )
+    columns = ("section", *KEYS, "line_no", "line")
+    single = hidden.unionByName(summary).withColumn("line_no", F.lit(0))
+    return groups.select(*columns).unionByName(single.select(*columns))
+
+
 def write_report(report: DataFrame, path: str) -> None:
-    """The flat report as JSON lines."""
+    """The report as JSON lines; a column that has no value in a row is left out there."""
     report.write.mode("overwrite").json(path)
+
+
+def read_report(spark: SparkSession, path: str, classes: Sequence[str] = K.CLASSES) -> DataFrame:
+    """A stored report, whichever sections it has."""
+    scores = ", ".join(f"score_{c} double" for c in ("mean", "median", "std", "min", "max"))
+    counts = ", ".join(f"count_{name} long" for name in classes)
+    return spark.read.schema(
+        f"section string, field string, group_name string, size long, {scores}, {counts}, mean_entropy double, "
+        "reason string, groups_reported long, groups_suppressed long, min_group_mean double, max_group_mean double, k int"
+    ).json(path)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slantwise import constants as K
 
@@ -32,7 +31,8 @@ def write_label_template(template: DataFrame, path: str, classes: Sequence[str]
     """CSV sheets below ``path``, each part with the guideline lines on top.
 
     The first row of every partition (its running number restarts at 0) brings
-    the guideline and header lines along; nothing is gathered or shuffled.
+    the guideline and header lines along; nothing is gathered or shuffled. When no
+    document is left to label, the sheet is these lines alone.
     """
     header = [line.format(classes=", ".join(classes)) for line in K.TEMPLATE_HEADER] + [",".join(template.columns)]
     row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -40,21 +40,15 @@ def write_label_template(template: DataFrame, path: str, classes: Sequence[str]
     numbered = template.select(line.alias("line"), row_in_partition.alias("row"))
     first = F.array(*[F.lit(text) for text in header], F.col("line"))
     lines = numbered.select(F.explode(F.when(F.col("row") == 0, first).otherwise(F.array("line"))).alias("value"))
+    if template.isEmpty():
+        one = template.sparkSession.range(1, numPartitions=1)
+        lines = one.select(F.explode(F.array(*[F.lit(text) for text in header])).alias("value"))
     lines.write.mode("overwrite").text(path)
 
 
-def _json_ready(df: DataFrame) -> DataFrame:
-    """Variants as strings-in-JSON would be quoted twice; keep them as maps."""
-    out = df
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.VariantType):
-            out = out.withColumn(field.name, F.try_variant_get(field.name, "$", "map<string,string>"))
-    return out
-
-
 def write_jsonl(df: DataFrame, path: str) -> None:
-    """JSON lines, one folder of part files."""
-    _json_ready(df).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """JSON lines, one folder of part files; variants are written as the JSON they hold."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -43,7 +43,13 @@ def score_stream(
 
 
 def read_scored_stream(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Everything scored so far; a document sent again counts with its latest batch."""
+    """Everything scored so far; a document sent again counts with its latest batch.
+
+    Rows that share an id inside that batch all count, as they do when a table is
+    scored at once. Nothing says that two rows without an id are one document, so
+    these all stay.
+    """
     scored = spark.read.parquet(out_dir)
-    latest = scored.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
-    return scored.join(latest, ["doc_id", "batch_id"])
+    named = scored.where("doc_id is not null")
+    latest = named.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
+    return named.join(latest, ["doc_id", "batch_id"]).select(*scored.columns).unionByName(scored.where("doc_id is null"))
