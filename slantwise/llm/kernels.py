@@ -85,6 +85,19 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES):
         first = last
 
 
+def distinct_rows(batches):
+    """Batches without rows that repeat an earlier row's first column in the batch.
+
+    Hot texts are worked on rarely that way. It runs in front of a kernel, in the
+    same worker: a step of its own would keep a second worker per task.
+    """
+    for batch in batches:
+        seen: dict = {}
+        for at, key in enumerate(batch.column(0).to_pylist()):
+            seen.setdefault(key, at)
+        yield batch.take(pa.array(list(seen.values()), pa.int64()))
+
+
 def split_runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of ``inside`` within the texts: starts, ends, run bounds per text."""
     n = len(inside)

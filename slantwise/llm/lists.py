@@ -7,10 +7,10 @@ no comparison; lists with several contents are compared once per content.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slantwise.llm import kernels
 from slantwise.llm.repeats import in_filter
 from slantwise.session import materialize
 
@@ -22,19 +22,6 @@ def text_node(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def distinct_in_batch(texts: DataFrame) -> DataFrame:
-    """``(node, t)`` without copies inside one batch, so hot texts are worked on rarely."""
-
-    def run(batches):
-        for batch in batches:
-            seen: dict = {}
-            for at, node in enumerate(batch.column(0).to_pylist()):
-                seen.setdefault(node, at)
-            yield batch.take(pa.array(list(seen.values()), pa.int64()))
-
-    return texts.mapInArrow(run, texts.schema)
-
-
 def shared_pieces(rows: DataFrame) -> DataFrame:
     """Pieces that share their key with another place.
 
@@ -62,5 +49,6 @@ def shared_pieces(rows: DataFrame) -> DataFrame:
 
 def with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """``chosen`` (one row per ``node``) with the text ``t`` of each node, once."""
-    wanted = distinct_in_batch(in_filter(texts.select("node", "t"), "node", chosen, "node"))
+    texts = in_filter(texts.select("node", "t"), "node", chosen, "node")
+    wanted = texts.mapInArrow(kernels.distinct_rows, texts.schema)
     return chosen.join(wanted.dropDuplicates(["node"]), "node")

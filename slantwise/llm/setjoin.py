@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slantwise.llm import pairs
+from slantwise.llm import kernels, pairs
 from slantwise.llm.arrow import append_columns
 from slantwise.llm.columns import apart
 from slantwise.llm.components import connected_components
@@ -142,27 +142,14 @@ def _verified(base: DataFrame, text_col: str, members: DataFrame, shingle: int,
     wanted = members.join(totals, "g").select("g", "name", "text_key", "blocks")
     wanted = _block_tasks(wanted, "g", "name").select("name", "text_key", "task")
     texts = base.select(text_key(text_col).alias("key"), F.col(text_col).alias("t"))
-    texts = _first_in_task(in_filter(texts, "key", members, "text_key"))
-    sets = append_columns(
-        texts,
-        "t",
-        lambda column: pairs.set_columns(column, shingle),
-        [("d1", T.LongType()), ("d2", T.LongType()), ("elements", T.BinaryType())],
-    ).select("key", "elements")
+    texts = in_filter(texts, "key", members, "text_key")
+
+    def run(batches):
+        for batch in kernels.distinct_rows(batches):
+            found = pairs.set_columns(batch.column(1), shingle)
+            yield pa.RecordBatch.from_arrays([batch.column(0), found.column(2)], ["key", "elements"])
+
+    sets = texts.select("key", "t").mapInArrow(run, "key string, elements binary")
     rows = sets.join(wanted, F.col("key") == F.col("text_key")).select("task", "name", "elements")
     rows = rows.repartition("task").sortWithinPartitions("task")
     return materialize(rows.mapInArrow(lambda batches: pairs.verify(batches, percent), "a string, b string"), "links")
-
-
-def _first_in_task(texts: DataFrame) -> DataFrame:
-    """Without copies of a text inside one batch, so hot texts cross the wire rarely."""
-
-    def run(batches):
-        for batch in batches:
-            keys = batch.column(0).to_pylist()
-            seen: dict = {}
-            for at, key in enumerate(keys):
-                seen.setdefault(key, at)
-            yield batch.take(pa.array(list(seen.values()), pa.int64()))
-
-    return texts.mapInArrow(run, texts.schema)

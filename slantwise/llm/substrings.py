@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slantwise.llm import bwt
+from slantwise.llm import bwt, kernels
 from slantwise.llm.columns import apart
-from slantwise.llm.lists import PIECE, distinct_in_batch, shared_pieces, text_node, with_texts
+from slantwise.llm.lists import PIECE, shared_pieces, text_node, with_texts
 from slantwise.session import materialize, small_side
 
 COLLECTION_BYTES = 1 << 19
@@ -48,7 +48,7 @@ def remove_repeats(
     base = docs.drop(*[c for c in results if c in docs.columns])
     texts = docs.select(text_node(text_col).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     texts = texts.where(F.octet_length("t") >= length)
-    rows = distinct_in_batch(texts).mapInArrow(lambda b: bwt.run_rows(b, length, gram), PIECE)
+    rows = texts.mapInArrow(lambda b: bwt.run_rows(kernels.distinct_rows(b), length, gram), PIECE)
     shared = shared_pieces(rows)
     matched = _matched(texts, shared, length, hot_list, collection_bytes)
     whole = shared.where("exact").select("node", F.col("pos").alias("start"), "size")
