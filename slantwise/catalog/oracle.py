@@ -463,6 +463,8 @@ votes AS (SELECT doc_id, count(DISTINCT {_argmax('a', 'b', 'c', ('0', '1', '2'))
     out: dict[str, str] = {
         "jsonl_scan": JSON_VIEW,
         "jsonl_dir_scan": JSON_VIEW,
+        "jsonl_rejects": """SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN 'missing field: text' ELSE 'not one object' END AS reason
+FROM documents WHERE doc_id % 5 <> 2""",
         "txt_dir_scan": """WITH f AS (SELECT doc_id, regexp_replace(text || chr(10), '\\r\\n?', chr(10), 'g') AS body FROM documents)
 SELECT doc_id, md5(body) AS text_md5, CAST(length(body) AS INTEGER) AS n_chars, 'unknown' AS source, '' AS title FROM f""",
         "html_to_docs": _html(),

@@ -95,6 +95,14 @@ def jsonl_dir_scan(spark, sf_dir):
     return _document_view(sd.read_jsonl_dir(spark, path, pattern="part-*.txt"))
 
 
+@query
+def jsonl_rejects(spark, sf_dir):
+    path = scratch_path(spark, "jsonl-rejects")
+    _json_lines(fx.docs(spark, sf_dir)).write.text(path)
+    found = sd.read_jsonl_rejects(spark, path, pattern="part-*.txt")
+    return found.select(F.regexp_extract("line", r"(\d+)", 1).cast("bigint").alias("doc_id"), "reason")
+
+
 @query
 def txt_dir_scan(spark, sf_dir):
     path = scratch_path(spark, "txt")

@@ -6,13 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slantwise import constants as K
 from slantwise.functions import text as tx
 
 # A line split with a fixed separator keeps a stray CR inside a record.
 TEXT_OPTIONS = {"lineSep": "\n"}
+# Lines from this size on may hold a value that VARIANT has no room for.
+VARIANT_BYTES = 1 << 24
+
+
+REASONS = ("not one object", "malformed", "missing field")
+
+
+def _checked(lines: DataFrame, required: Sequence[str], value_col: str) -> DataFrame:
+    """Lines that are not blank with their ``record`` and the ``reason`` why they are no document.
+
+    A record that is sound but too large for VARIANT has no ``record``, and no reason.
+    """
+    keys = F.json_object_keys(F.col("line"))
+    missing = F.array_except(F.array(*[F.lit(name) for name in required]), keys)
+    braced = F.col("line").startswith("{") & F.col("line").endswith("}")
+    large = F.octet_length("line") >= VARIANT_BYTES
+    reason = (
+        F.when(~braced, REASONS[0])
+        .when(keys.isNull() | (F.col("record").isNull() & ~large), REASONS[1])
+        .when(F.size(missing) > 0, F.concat(F.lit(f"{REASONS[2]}: "), F.array_join(missing, ", ")))
+    )
+    kept = [c for c in lines.columns if c != value_col]
+    split = lines.select(*kept, tx.strip_ws(F.col(value_col)).alias("line")).where(F.col("line") != "")
+    return split.withColumn("record", F.when(braced, F.try_parse_json("line"))).withColumn("reason", reason)
 
 
 def parse_json_lines(
@@ -24,30 +47,28 @@ def parse_json_lines(
     """Documents from a column of JSON lines; works on batch and streaming input.
 
     Blank and malformed lines, lines that are not one JSON object, and objects
-    without a required key are skipped. Known fields become typed columns; the
-    whole record stays in ``record`` so unknown keys are not lost.
+    without a required key are skipped; ``rejected_json_lines`` tells which and why.
+    Known fields become typed columns; the whole record stays in ``record`` so unknown
+    keys are not lost. A record too large for VARIANT keeps its known fields; its
+    ``record`` and ``subset_meta`` are null.
     """
-    line = tx.strip_ws(F.col(value_col))
-    keys = F.json_object_keys(F.col("line"))
-    has_keys = F.lit(True)
-    for name in required:
-        has_keys = has_keys & F.array_contains(keys, name)
-    parsed = (
-        lines.select(*[c for c in lines.columns if c != value_col], line.alias("line"))
-        .where(F.col("line").startswith("{") & F.col("line").endswith("}"))
-        .where(has_keys)
-        .withColumn("record", F.try_parse_json("line"))
-        .where(F.col("record").isNotNull())
-    )
+    parsed = _checked(lines, required, value_col).where("reason is null")
 
     def field(name: str) -> Column:
-        kind = "variant" if name == "subset_meta" else "string"
-        return F.try_variant_get("record", f"$.{name}", kind).alias(name)
+        if name == "subset_meta":
+            return F.try_variant_get("record", f"$.{name}", "variant").alias(name)
+        whole = F.when(F.col("record").isNull(), F.get_json_object("line", f"$.{name}"))
+        return F.coalesce(F.try_variant_get("record", f"$.{name}", "string"), whole).alias(name)
 
     extra = [c for c in lines.columns if c != value_col]
     return parsed.select(*extra, *[field(name) for name in (*required, *optional)], "record")
 
 
+def rejected_json_lines(lines: DataFrame, required: Sequence[str] = K.REQUIRED_FIELDS, value_col: str = "value") -> DataFrame:
+    """The lines that ``parse_json_lines`` skips, blank ones apart, with the ``reason``."""
+    return _checked(lines, required, value_col).where("reason is not null").drop("record")
+
+
 def _scan_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.read.options(**TEXT_OPTIONS, **options).text(path)
 
@@ -57,6 +78,22 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return parse_json_lines(_scan_lines(spark, path))
 
 
+def read_jsonl_rejects(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Rejected records of a file or folder: ``(file_name, block, place, line, reason)``.
+
+    ``block`` is the byte at which the part of the file begins that a task read, and
+    ``place`` sorts the lines of that part, so records are found again without a pass
+    that numbers a whole file.
+    """
+    lines = _scan_lines(spark, path, pathGlobFilter=pattern).select(
+        "value",
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    return rejected_json_lines(lines).select("file_name", "block", "place", "line", "reason")
+
+
 def read_jsonl_dir(spark: SparkSession, directory: str, pattern: str = "*.jsonl") -> DataFrame:
     """Documents of every file of a folder that matches ``pattern``, in one scan.
 
@@ -142,16 +179,3 @@ def read_split(spark: SparkSession, path: str, split: str | None = None, classes
     if "label_int" not in df.columns:
         df = encode_labels(df, classes)
     return df
-
-
-DOCUMENT_SCHEMA = T.StructType(
-    [
-        T.StructField("doc_id", T.StringType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("date", T.StringType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("subset_meta", T.VariantType()),
-    ]
-)
