@@ -580,6 +580,15 @@ FROM scored s JOIN votes v ON s.doc_id = v.doc_id WHERE label IS NULL AND confid
         "mmr_relevance_only": _mmr(5, 0.0),
         "union_files": f"""WITH {DOCS} SELECT doc_id, source, date, CAST(NULL AS VARCHAR) AS url FROM docs
 UNION ALL SELECT page_id, NULL, NULL, url FROM pages""",
+        # The steps by their closed form: the largest mean from the left of the least mean to the right.
+        "isotonic_calibration": f"""WITH {SCORED}, points AS (SELECT round(confidence, 2) AS x, count(*) AS w,
+  sum(CASE WHEN label = pred_label THEN 1.0::DOUBLE ELSE 0 END) AS t FROM known GROUP BY round(confidence, 2)),
+placed AS (SELECT *, row_number() OVER (ORDER BY x) AS k, sum(w) OVER (ORDER BY x) AS cw, sum(t) OVER (ORDER BY x) AS ct FROM points),
+means AS (SELECT a.k AS a, b.k AS b, (b.ct - a.ct + a.t) / (b.cw - a.cw + a.w) AS m FROM placed a JOIN placed b ON a.k <= b.k),
+least AS (SELECT p.k, a, min(m) AS m FROM placed p JOIN means ON a <= p.k AND b >= p.k GROUP BY p.k, a),
+fitted AS (SELECT k, round(max(m), 9) AS v FROM least GROUP BY k),
+steps AS (SELECT min(x) AS lower, max(x) AS upper, sum(w)::DOUBLE AS weight, sum(t) / sum(w) AS value FROM placed JOIN fitted USING (k) GROUP BY v)
+SELECT CAST(row_number() OVER (ORDER BY lower) AS INTEGER) AS step, {_r('lower', 'upper', 'weight', 'value')} FROM steps""",
         "predict_proba": f"WITH {PROBA} SELECT doc_id, {_r(PA, PB, PC)} FROM proba",
         "score_documents": f"""WITH {PROBA} SELECT p.doc_id, c.source, pred_label, {_r(PA, PB, PC, 'polarity_score', 'entropy')}
 FROM predicted p JOIN clean c ON p.doc_id = c.doc_id""",

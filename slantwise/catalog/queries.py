@@ -13,6 +13,7 @@ from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
 from slantwise.functions.arrays import contiguous_ngrams, let
 from slantwise.functions.fields import coerce_date, subset_field
+from slantwise.operators import calibration as cb
 from slantwise.operators import evaluation as ev
 from slantwise.operators import features as ft
 from slantwise.operators import keywords as kw
@@ -615,6 +616,13 @@ def train_svm_calibrated(spark, sf_dir):
     return tr.svm_score_documents(corpus.select("doc_id", "text"), model).drop("text")
 
 
+@query
+def isotonic_calibration(spark, sf_dir):
+    known = _evaluated(spark, sf_dir).withColumn("confidence", F.greatest(*[F.col(p) for p in PROBS]))
+    right = (F.col("label") == F.col("pred_label")).cast("double")
+    return cb.isotonic_steps(known, F.round("confidence", 2), right, bins=1000)
+
+
 @query
 def predict_proba(spark, sf_dir):
     model = fx.fixed_model(spark, sf_dir)
