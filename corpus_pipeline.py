@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slantwise.llm.columns import apart
 from slantwise.llm.decontaminate import decontaminate
 from slantwise.llm.mixing import mix_sources
 from slantwise.llm.quality import host_quality
@@ -27,7 +28,12 @@ from slantwise.session import materialize
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules themselves and whose host (``source``) passes."""
-    return host_quality(docs).where("kept").select(*docs.columns)
+    return _passing(docs)
+
+
+@apart((), ("text", "host"))
+def _passing(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    return host_quality(docs, text, host).where("kept").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +52,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document of which the mix takes nothing leaves the corpus; one without words
     stays once. Sources are weighed by their order, null last.
     """
-    mixed = mix_sources(docs)
+    return _repeated(docs)
+
+
+@apart((), ("text", "source", "name"))
+def _repeated(docs: DataFrame, text: str = "text", source: str = "source", name: str = "doc_id") -> DataFrame:
+    mixed = mix_sources(docs, text, source, name)
     times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
     repeated = mixed.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select(*docs.columns)
