@@ -6,7 +6,7 @@ need no copy of this package.
 
 from pyspark import cloudpickle
 
-from slantwise.llm import bwt, kernels, lattice, pairs, simhash, suffixes, tokencount, windows
+from slantwise.llm import bwt, conversations, kernels, lattice, pairs, simhash, suffixes, tokencount, windows
 
-for _module in (kernels, pairs, suffixes, tokencount, windows, bwt, simhash, lattice):
+for _module in (conversations, kernels, pairs, suffixes, tokencount, windows, bwt, simhash, lattice):
     cloudpickle.register_pickle_by_value(_module)

@@ -9,7 +9,6 @@ always the assistant, so an audit leads to one state only.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import pyarrow as pa
@@ -24,8 +23,10 @@ LEGAL = {"su", "ua", "au"}
 _NEXT = {EMPTY: USER, SYSTEM: USER, ASSISTANT: USER, USER: ASSISTANT}
 _KEPT = {"s": {EMPTY: SYSTEM}, "u": {EMPTY: USER, SYSTEM: USER, ASSISTANT: USER}, "a": {USER: ASSISTANT}, "o": {}}
 
-# Conversations of one shape have one answer; the store is bounded.
+# Conversations of one shape have one answer; a worker keeps so many. A plain store,
+# since a cache decorator would be sent to the workers by name.
 SHAPES = 1 << 14
+_ANSWERS: dict = {}
 
 BLOCK = "from int, to int, cost long, audit string"
 
@@ -53,7 +54,6 @@ def _back_edges(codes: str, at: int, state: int):
                 yield letter, cost, (at - read, before)
 
 
-@lru_cache(SHAPES)
 def cheapest(codes: str, start: int, goals: tuple[int, ...]) -> tuple[int, str] | None:
     """Least cost from ``start`` to one of ``goals`` past all turns, and its least audit.
 
@@ -97,12 +97,22 @@ def cheapest(codes: str, start: int, goals: tuple[int, ...]) -> tuple[int, str]
     return min(crossings, default=None)
 
 
+def remembered(codes: str, start: int, goals: tuple[int, ...]) -> tuple[int, str] | None:
+    """``cheapest``, once per shape."""
+    shape = (codes, start, goals)
+    if shape not in _ANSWERS:
+        if len(_ANSWERS) >= SHAPES:
+            _ANSWERS.clear()
+        _ANSWERS[shape] = cheapest(codes, start, goals)
+    return _ANSWERS[shape]
+
+
 def block_table(codes: str, whole: bool) -> list[dict]:
     """Cheapest ways through a block: of a whole conversation one, else one per pair of states."""
     if whole:
-        cost, audit = cheapest(codes, EMPTY, ENDS)
+        cost, audit = remembered(codes, EMPTY, ENDS)
         return [{"from": EMPTY, "to": EMPTY, "cost": cost, "audit": audit}]
-    ways = ((a, b, cheapest(codes, a, (b,))) for a in STATES for b in STATES)
+    ways = ((a, b, remembered(codes, a, (b,))) for a in STATES for b in STATES)
     return [{"from": a, "to": b, "cost": way[0], "audit": way[1]} for a, b, way in ways if way]
 
 
