@@ -287,3 +287,36 @@ def test_explain_terms(docs, model):
 def test_top_coefficients_are_positive(model):
     rows = ln.top_coefficients(model[2], top_k=4).collect()
     assert rows and all(r.coef > 0 and r["rank"] <= 4 for r in rows)
+
+
+def test_only_frequent_terms_are_counted_by_name(spark, monkeypatch):
+    rows = [(k, " ".join([f"common{k % 5}", "shared", *[f"rare{k}x{i}" for i in range(40)]])) for k in range(60)]
+    sizes = {}
+    write = ft.materialize
+
+    def noted(df, name):
+        stored = write(df, name)
+        sizes[name] = stored.count()
+        return stored
+
+    monkeypatch.setattr(ft, "materialize", noted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.term, r.cf) for r in ft.vocabulary(df, ft.Analyzer((1, 1)), max_features=6, min_df=2, max_df=1.0).collect()]
+    assert sorted(got) == [*[(f"common{k}", 12) for k in range(5)], ("shared", 60)]
+    assert sizes["term-stats"] < 100
+
+
+@pytest.mark.parametrize("max_features", [1, 7, 60, 5000])
+def test_the_floor_does_not_change_the_vocabulary(spark, monkeypatch, max_features):
+    # Few buckets: most terms share one, so the first floor is wrong.
+    monkeypatch.setattr(ft, "LEAST_BITS", 5)
+    monkeypatch.setattr(ft, "BUCKETS_A_TERM", 1)
+    texts = [" ".join(f"w{(k * i * i) % 23}" for i in range(2, 30)) for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    cf, counted = Counter(), Counter()
+    for text in texts:
+        cf.update(grams(text))
+        counted.update(set(grams(text)))
+    kept = [t for t in cf if 2 <= counted[t] <= 0.9 * len(texts)]
+    want = {(t, counted[t], cf[t]) for t in sorted(kept, key=lambda t: (-cf[t], t))[:max_features]}
+    assert {(r.term, r.df, r.cf) for r in ft.vocabulary(df, max_features=max_features, min_df=2, max_df=0.9).collect()} == want
