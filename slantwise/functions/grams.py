@@ -175,6 +175,60 @@ def vectors(lists: pa.Array, parts_of_index: tuple, idf: np.ndarray, coefs: np.n
     return pa.StructArray.from_arrays([terms, dots, chosen], ["terms", "dots", "chosen"])
 
 
+def _reduced(parts: list[tuple]) -> tuple:
+    """Sums, counts and maxima of ``(key, w, n, top)`` parts by key."""
+    key, w, n, top = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    if not len(at):
+        return key, w, n, top
+    return key[at], np.add.reduceat(w[order], at), np.add.reduceat(n[order], at), np.maximum.reduceat(top[order], at)
+
+
+def group_sums(batches, parts_of_index: tuple, idf: np.ndarray, low: int, high: int, sublinear: bool, most: int = 1 << 20):
+    """``(group, number, w, n, top)``: sum, count and maximum of tf-idf per group and term, from columns group and tokens.
+
+    A pair of group and term may have several rows, to be put together.
+    """
+    index = TermIndex(*parts_of_index)
+    width = max(index.size, 1)
+    places: dict = {}
+    waiting, size, kind = [], 0, pa.null()
+
+    def rows(parts):
+        key, w, n, top = parts
+        values = pa.array(list(places), kind)
+        for at in range(0, len(key), SLICE_TOKENS):
+            cut = slice(at, at + SLICE_TOKENS)
+            group = values.take(pa.array(key[cut] // width))
+            columns = [group, pa.array((key[cut] % width).astype(np.int32)), pa.array(w[cut]), pa.array(n[cut]), pa.array(top[cut])]
+            yield pa.RecordBatch.from_arrays(columns, ["group", "number", "w", "n", "top"])
+
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        coded = batch.column(0).dictionary_encode(null_encoding="encode")
+        codes = np.array([places.setdefault(value, len(places)) for value in coded.dictionary.to_pylist()], np.int64)
+        groups, start = codes[coded.indices.to_numpy(zero_copy_only=False)], 0
+        for row_of, count, tokens in slices(batch.column(1)):
+            row, number, tf = index.counted(row_of, tokens, low, high)
+            weight = ((1.0 + np.log(tf)) if sublinear else tf.astype(float)) * idf[number]
+            value = weight / np.sqrt(np.bincount(row, weight * weight, count))[row]
+            waiting.append((groups[start + row] * width + number, value, np.ones(len(row), np.int64), value))
+            start, size = start + count, size + len(row)
+            if size > most:
+                waiting = [_reduced(waiting)]
+                # Twice what is kept at least, so that a value is seldom moved.
+                size = len(waiting[0][0]) // 2
+                if len(waiting[0][0]) > most:
+                    yield from rows(waiting[0])
+                    waiting, size, places = [], 0, {}
+                    codes = np.array([places.setdefault(value, len(places)) for value in coded.dictionary.to_pylist()], np.int64)
+                    groups = codes[coded.indices.to_numpy(zero_copy_only=False)]
+    if waiting:
+        yield from rows(_reduced(waiting))
+
+
 def around(lists: pa.Array, parts_of_index: tuple, shapes: list[tuple[int, ...]]) -> pa.ListArray:
     """Per token and shape, a tuple of offsets, the number of the term made there, -1 for none."""
     index = TermIndex(*parts_of_index)

@@ -79,11 +79,13 @@ def importances(cells: np.ndarray, low: int, high: int, idf: np.ndarray, coefs:
 
 def with_falls(batches, numbers: str, model: tuple, low: int, high: int, sublinear: bool):
     """Batches with the list column ``numbers`` replaced by the list column ``_falls``."""
+    starts, bridges = layout(low, high)
     for batch in batches:
         at = batch.schema.names.index(numbers)
         lists = batch.column(at)
-        cells, bounds = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        found = [importances(cells[a:b], low, high, *model, sublinear) for a, b in zip(bounds[:-1], bounds[1:])]
+        cells, bounds = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+        one = len(starts) + len(bridges)
+        found = [importances(cells[a:b], low, high, *model, sublinear) if b - a > one else np.zeros(0) for a, b in zip(bounds[:-1], bounds[1:])]
         sizes = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
         falls = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(found) if found else np.zeros(0)))
         columns = [falls if k == at else batch.column(k) for k in range(batch.num_columns)]

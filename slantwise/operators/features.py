@@ -289,13 +289,22 @@ def term_sums(
     """Long form of the term statistics: ``(group, idx, w, n, top)`` for the terms a group has.
 
     ``w`` is the sum of tf-idf, ``n`` the number of rows, ``top`` the largest tf-idf. Numbers travel, not
-    terms: one partial aggregate over (group, idx), whatever ``group`` is.
+    terms, and a task sums its own rows first: one row per (group, idx) and task is shuffled.
     """
+    low, high = analyzer.ngram_range
+    sublinear = analyzer.sublinear_tf
+    sums = [F.sum("w").alias("w"), F.sum("n").alias("n"), F.max("top").alias("top")]
+    if table_rows(vocab, vocab_rows) <= BROADCAST_ROWS:
+        terms = TermTable(vocab.select("term", "idx", "idf"))
+        model = terms.model
+        pairs = docs.select(group.alias("group"), analyzer.tokens(F.col(text_col)).alias("tokens"))
+        fields = [T.StructField("number", T.IntegerType()), T.StructField("w", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("top", T.DoubleType())]
+        schema = T.StructType([T.StructField("group", pairs.schema["group"].dataType), *fields])
+        partial = pairs.mapInArrow(lambda batches: grams.group_sums(batches, *model.value[:2], low, high, sublinear), schema)
+        return partial.groupBy("group", "number").agg(*sums).join(terms.rows.select("number", "idx"), "number").select("group", "idx", "w", "n", "top")
     cells = document_terms(docs.withColumn("_group", group), vocab.select("term", "idx", "idf"), analyzer, text_col, ("_group",), vocab_rows)
-    return (
-        cells.groupBy(F.col("_group").alias("group"), "idx")
-        .agg(F.sum("tfidf").alias("w"), F.count(F.lit(1)).alias("n"), F.max("tfidf").alias("top"))
-    )
+    named = cells.select(F.col("_group").alias("group"), "idx", F.col("tfidf").alias("w"), F.lit(1).alias("n"), F.col("tfidf").alias("top"))
+    return named.groupBy("group", "idx").agg(*sums)
 
 
 def tfidf_fit(docs: DataFrame, vocab: DataFrame, analyzer: Analyzer = DEFAULT_ANALYZER, text_col: str = "text", vocab_rows: int | None = None) -> DataFrame:

@@ -84,6 +84,11 @@ def _decisions(intercepts: DataFrame, k: int) -> list[Column]:
     ]
 
 
+def scoring_table(wide: DataFrame, k: int) -> TermTable:
+    """The terms of a model of ``k`` classes with their coefficients, for at most ``BROADCAST_ROWS`` terms."""
+    return TermTable(wide, [f"coef_{i}" for i in range(k)])
+
+
 def linear_scores(
     docs: DataFrame,
     wide: DataFrame,
@@ -95,19 +100,21 @@ def linear_scores(
     rows: int | None = None,
     keep: Sequence[str] | None = None,
     normalize: bool = False,
+    table: TermTable | None = None,
 ) -> DataFrame:
     """``(id, z_0, z_1, ...)``: intercept plus coefficient times tf-idf, per class.
 
     One row per input row, which scores by its own text, also with a repeated or
     null id. Null text scores by the intercepts. A model of at most ``BROADCAST_ROWS`` terms is
     met inside the row, without a shuffle; with a larger one sums are kept per text.
-    ``keep`` lists the columns to carry instead of the id.
+    ``keep`` lists the columns to carry instead of the id, and ``table`` is the ``scoring_table``
+    of the model, for a caller that scores more than once.
     """
     k, text = len(classes), F.col(text_col)
     kept = [id_col] if keep is None else list(keep)
-    rows = table_rows(wide, rows)
+    rows = table_rows(wide, rows) if table is None else 0
     if rows <= BROADCAST_ROWS:
-        table, base = TermTable(wide, [f"coef_{i}" for i in range(k)]), intercepts_of(intercepts, k)
+        table, base = table or scoring_table(wide, k), intercepts_of(intercepts, k)
         dots = table.vectors(analyzer, tx.normalize_text(text) if normalize else text, cells=False)["dots"]
         scored = docs.select(*kept, dots.alias("_dots"))
         return scored.select(*kept, *[(F.lit(base[i]) + F.get("_dots", F.lit(i))).alias(f"z_{i}") for i in range(k)])
@@ -145,6 +152,7 @@ def score_documents(
     id_col: str = "doc_id",
     normalize: bool = True,
     rows: int | None = None,
+    table: TermTable | None = None,
 ) -> DataFrame:
     """Documents with probabilities, label, signed score and entropy.
 
@@ -152,7 +160,7 @@ def score_documents(
     it is read once, and its tokens alone reach the Python workers.
     """
     k = len(classes)
-    decided = linear_scores(docs, wide, intercepts, classes, analyzer, text_col, id_col, rows, docs.columns, normalize)
+    decided = linear_scores(docs, wide, intercepts, classes, analyzer, text_col, id_col, rows, docs.columns, normalize, table)
     probs = sc.softmax([F.col(f"z_{i}") for i in range(k)])
     scored = decided.select(*docs.columns, *[p.alias(name) for p, name in zip(probs, sc.prob_columns(classes))])
     return with_score_columns(scored, classes)
@@ -277,10 +285,10 @@ def leave_one_out(
     model, sublinear = table.model, analyzer.sublinear_tf
     shapes = [tuple(range(n)) for n in sizes] + [(*range(-before, 0), *range(1, n - before + 1)) for n, before in bridges]
     tokens = _content(analyzer, F.col(text_col))
-    several = docs.select(id_col, tokens.alias("_tokens")).where(F.size("_tokens") > 1)
-    coded = several.select(id_col, "_tokens", table.around(F.col("_tokens"), shapes).alias("_numbers"))
+    coded = docs.select(id_col, tokens.alias("_tokens")).select(id_col, "_tokens", table.around(F.col("_tokens"), shapes).alias("_numbers"))
     schema = T.StructType([*coded.schema.fields[:2], T.StructField("_falls", T.ArrayType(T.DoubleType()))])
     tried = coded.mapInArrow(lambda batches: leaveout.with_falls(batches, "_numbers", (*model.value[1:], base), low, high, sublinear), schema)
+    # A text of one token has nothing left to score; its row has no falls.
     falls = F.col("_falls") if max_tokens is None else F.slice("_falls", 1, max_tokens)
 
     def ranked(x: Column, i: Column) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from slantwise.operators.linear import score_documents
+from slantwise.operators.features import table_rows
+from slantwise.operators.linear import score_documents, scoring_table
 from slantwise.operators.training import LinearModel
+from slantwise.session import BROADCAST_ROWS
 from slantwise.sources.documents import TEXT_OPTIONS, parse_json_lines
 
 
@@ -24,14 +26,16 @@ def score_stream(
 
     Each micro-batch overwrites its own ``batch_id=N`` folder, so a batch that is
     replayed after a failure replaces its output instead of repeating it. The
-    model tables are read per batch and joined like in the batch plan.
+    model is read when the stream starts, once for all batches, unless it is too large for that:
+    then its tables are read per batch and joined like in the batch plan.
     """
     lines = spark.readStream.options(**TEXT_OPTIONS, maxFilesPerTrigger=files_per_batch).text(in_dir)
     docs = parse_json_lines(lines).drop("record", "subset_meta")
     wide, intercepts = model.wide(), model.intercepts
+    table = scoring_table(wide, len(model.classes)) if table_rows(wide, model.rows) <= BROADCAST_ROWS else None
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_documents(batch, wide, intercepts, model.classes, model.analyzer, rows=model.rows)
+        scored = score_documents(batch, wide, intercepts, model.classes, model.analyzer, rows=model.rows, table=table)
         scored.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     return (

@@ -84,3 +84,38 @@ def test_phrases_per_group(spark):
         want |= {(g, k + 1): (term, -score) for k, (score, term) in enumerate(sorted(scores)[:2])}
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert all(got[k][1] == pytest.approx(want[k][1], abs=2e-6) for k in want)
+
+
+def test_sums_do_not_depend_on_how_often_they_are_passed_on(spark, model):
+    import pyarrow as pa
+
+    from slantwise.functions import grams
+
+    vocab = model[0].orderBy("idx").toPandas()
+    parts, idf = grams.index_of(vocab["term"].tolist()), vocab["idf"].to_numpy()
+    tokens = [["public", "taxes"], [], None, ["market", "taxes", "market"], ["weather"]] * 30
+    groups = pa.array([None if k % 7 == 0 else f"g{k % 4}" for k in range(len(tokens))])
+    batches = [pa.record_batch([groups[k : k + 10], pa.array(tokens[k : k + 10], pa.list_(pa.string()))], ["group", "tokens"]) for k in range(0, len(tokens), 10)]
+
+    def summed(most):
+        got, rows = {}, 0
+        for batch in grams.group_sums(iter(batches), parts, idf, 1, 3, True, most):
+            for r in batch.to_pylist():
+                w, n, top = got.get((r["group"], r["number"]), (0.0, 0, 0.0))
+                got[r["group"], r["number"]] = (w + r["w"], n + r["n"], max(top, r["top"]))
+                rows += 1
+        return got, rows
+
+    whole, rows = summed(1 << 20)
+    often, more = summed(5)
+    assert rows == len(whole) < more and whole.keys() == often.keys()
+    assert all(often[key] == pytest.approx(whole[key]) for key in whole)
+
+
+def test_scores_need_no_exchange_and_no_second_look_at_the_model(spark, model):
+    vocab, wide, intercepts = model
+    docs = table(spark, range(len(TEXTS)))
+    scored = ln.score_documents(docs, wide, intercepts, rows=40)
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString().replace("Exchange RoundRobinPartitioning", "").replace("RoundRobin", "")
+    again = ln.score_documents(docs, None, intercepts, table=ln.scoring_table(wide, 3))
+    assert [tuple(r) for r in again.orderBy("doc_id").collect()] == [tuple(r) for r in scored.orderBy("doc_id").collect()]
