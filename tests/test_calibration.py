@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from slantwise.operators import features as ft
+from slantwise.operators import training as tr
 from slantwise.operators.calibration import isotonic_table
 from slantwise.operators.training import smoothed_targets
 
@@ -46,3 +48,15 @@ def test_targets_stop_short_of_zero_and_one(spark):
     rows = sorted(map(tuple, smoothed_targets(df).collect()))
     assert [r[:2] for r in rows] == [(-1.0, 0.0), (-1.0, 1.0), (0.5, 0.0), (0.5, 1.0), (1.5, 0.0), (1.5, 1.0)]
     assert [r[2] for r in rows] == pytest.approx([2 / 3, 1 / 3, 1 / 4, 3 / 4, 1 / 4, 3 / 4])
+
+
+def test_separators_do_not_depend_on_how_many_are_fitted_at_once(spark):
+    words = {"left": "union wages strike", "center": "weather council budget", "right": "taxes market border"}
+    rows = [(k % 9, name, " ".join(words[name].split()[: 1 + k % 3])) for k in range(18) for name in words]
+    docs = spark.createDataFrame(rows, "doc_id long, label string, text string").coalesce(1)
+    vocab = ft.vocabulary(docs, max_features=20, min_df=1, max_df=1.0).persist()
+    table = tr.feature_table(docs, vocab)
+    assert table.count() == len(rows)
+    one, three = (tr.train_svm_calibrated(docs.withColumn("doc_id", F.monotonically_increasing_id()), vocab, max_iter=3, fits_at_once=n) for n in (1, 3))
+    assert [x for pair in one.sigmoid for x in pair] == pytest.approx([x for pair in three.sigmoid for x in pair])
+    assert len(three.sigmoid) == 9
