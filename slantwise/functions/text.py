@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterable, Mapping
+from functools import reduce
 from html.entities import html5
 
 import pandas as pd
@@ -22,6 +23,9 @@ from slantwise.functions.arrays import contiguous_ngrams, let, running
 NFC_STABLE_RANGES = r"\x00-\x{2FF}\x{2002}-\x{2064}"
 MAY_NEED_NFC = "[^" + NFC_STABLE_RANGES + "]"
 
+# A word of each phrase in ``K.BOILERPLATE``, by its first letter and its rest.
+BOILERPLATE_WORD = "(?i)[nacr](?:ewsletter|lick|dvertisement|rticle|opyright|eserved)"
+
 # Named character references, by name without the closing semicolon.
 ENTITIES = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
 # What the numeric references 128 to 159 stand for.
@@ -60,13 +64,21 @@ def collapse_ws(text: Column) -> Column:
 
 
 def normalize_text(text: Column) -> Column:
-    """Compose, straighten quotes and dashes, drop links, addresses and boilerplate."""
-    out = F.translate(nfc(text), "‘’“”", "''\"\"")
-    out = F.replace(out, F.lit("—"), F.lit(" -- "))
-    out = F.replace(out, F.lit("–"), F.lit(" - "))
-    for pattern in (K.URL, K.EMAIL, *K.BOILERPLATE):
-        out = F.regexp_replace(out, pattern, " ")
-    return collapse_ws(out)
+    """Compose, straighten quotes and dashes, drop links, addresses and boilerplate.
+
+    Costly patterns run only over texts that hold what they cannot match without. A piece that is
+    dropped leaves a space, so no word of a phrase arises on the way.
+    """
+    out = nfc(text)
+    for mark, plain in (("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"'), ("—", " -- "), ("–", " - ")):
+        out = F.replace(out, F.lit(mark), F.lit(plain))
+    out = F.regexp_replace(out, K.URL, " ")
+    out = let(out, lambda x: F.when(x.contains("@"), F.regexp_replace(x, K.EMAIL, " ")).otherwise(x))
+    return collapse_ws(let(out, lambda x: F.when(x.rlike(BOILERPLATE_WORD), _without_boilerplate(x)).otherwise(x)))
+
+
+def _without_boilerplate(text: Column) -> Column:
+    return reduce(lambda out, pattern: F.regexp_replace(out, pattern, " "), K.BOILERPLATE, text)
 
 
 def text_hash(text: Column) -> Column:
