@@ -16,6 +16,9 @@ from pyspark import cloudpickle
 # Tokens handled at once; a longer row is a slice of its own.
 SLICE_TOKENS = 1 << 18
 
+# Buckets in a row of counts, and rows sent at once.
+PART, PARTS = 1 << 13, 64
+
 
 def slices(lists: pa.Array):
     """Parts of a list array as ``(row of each token, number of rows, tokens)``; null rows are empty."""
@@ -281,17 +284,30 @@ def _hashed(rows: np.ndarray, tokens: pa.Array, low: int, high: int, bits: int,
 
 
 def bucket_counts(batches, low: int, high: int, bits: int):
-    """``(bucket, n)``: n-grams of the lists in the first column, counted by hash."""
+    """``(part, counts)``: n-grams of the lists in the first column, counted by hash; a part is a run of ``PART`` buckets."""
     counts, hashes = np.zeros(1 << bits, np.int64), _Hashes()
     for batch in batches:
         for rows, _, tokens in slices(batch.column(0)):
             if len(tokens):
                 for _, _, buckets in _hashed(rows, tokens, low, high, bits, hashes)[2]:
                     counts += np.bincount(buckets, minlength=1 << bits)
-    filled = np.flatnonzero(counts)
-    for at in range(0, len(filled), SLICE_TOKENS):
-        part = filled[at : at + SLICE_TOKENS]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["bucket", "n"])
+    parts = counts.reshape(-1, PART)
+    filled = np.flatnonzero(parts.any(axis=1))
+    for at in range(0, len(filled), PARTS):
+        some = filled[at : at + PARTS]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([parts[k].tobytes() for k in some], pa.binary())], ["part", "counts"])
+
+
+def bucket_sums(batches):
+    """``(bucket, n)`` of the filled buckets, from the parts of all tasks; every part is in one task."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+            own = np.frombuffer(counts.as_buffer(), np.int64)
+            sums[part] = sums[part] + own if part in sums else own
+    for part, counts in sums.items():
+        filled = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array((part * PART + filled).astype(np.int32)), pa.array(counts[filled])], ["bucket", "n"])
 
 
 def _counted_rows(counts: dict):

@@ -90,8 +90,8 @@ def _frequent_terms(tokens: DataFrame, ngram_range: tuple[int, int], within: Col
     """
     low, high = ngram_range
     bits = min(max(LEAST_BITS, (BUCKETS_A_TERM * max_features - 1).bit_length()), 24)
-    counts = tokens.mapInArrow(lambda batches: grams.bucket_counts(batches, low, high, bits), "bucket int, n long")
-    buckets = materialize(counts.groupBy("bucket").agg(F.sum("n").alias("n")), "buckets")
+    counts = tokens.mapInArrow(lambda batches: grams.bucket_counts(batches, low, high, bits), "part int, counts binary")
+    buckets = materialize(counts.repartition("part").mapInArrow(grams.bucket_sums, "bucket int, n long"), "buckets")
     rung = F.floor(F.log2("n") * 16).cast("int")
     sizes = buckets.groupBy(rung.alias("rung")).agg(F.count(F.lit(1)).alias("buckets"), F.min("n").alias("least"), F.sum("n").alias("n"))
     # One row per step of the logarithm.
