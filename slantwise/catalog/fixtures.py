@@ -93,9 +93,14 @@ def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("doc_id", "round", *probs)
 
 
-def fitted_vocabulary(spark: SparkSession, sf_dir: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
-    """Vocabulary of the labelled clean documents, fitted once and stored."""
-    corpus = clean_docs(spark, sf_dir).where(F.col("label").isNotNull())
+def stored_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled clean documents, stored for queries that fit on them and read them again."""
+    return materialize(clean_docs(spark, sf_dir), "clean-docs")
+
+
+def fitted_vocabulary(spark: SparkSession, sf_dir: str, analyzer: Analyzer = Analyzer(), stored: DataFrame | None = None) -> DataFrame:
+    """Vocabulary of the labelled clean documents, ``stored`` or read here, fitted once and stored."""
+    corpus = (clean_docs(spark, sf_dir) if stored is None else stored).where(F.col("label").isNotNull())
     return materialize(vocabulary(corpus, analyzer, K.MAX_FEATURES), "vocab")
 
 
@@ -108,9 +113,9 @@ def fixed_weights(vocab: DataFrame) -> DataFrame:
     )
 
 
-def fixed_model(spark: SparkSession, sf_dir: str) -> LinearModel:
+def fixed_model(spark: SparkSession, sf_dir: str, stored: DataFrame | None = None) -> LinearModel:
     """The fixed coefficients over the fitted vocabulary."""
-    vocab = fitted_vocabulary(spark, sf_dir)
+    vocab = fitted_vocabulary(spark, sf_dir, stored=stored)
     values = ", ".join(f"({i}, cast({v} as double))" for i, v in enumerate(INTERCEPTS))
     intercepts = spark.sql(f"SELECT * FROM VALUES {values} AS t(class_idx, intercept)")
     return LinearModel(vocab, fixed_weights(vocab), intercepts, rows=K.MAX_FEATURES)

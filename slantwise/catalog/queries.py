@@ -378,8 +378,9 @@ def labeled_unlabeled(spark, sf_dir):
 
 @query
 def tfidf_transform(spark, sf_dir):
-    vocab = fx.fitted_vocabulary(spark, sf_dir)
-    table = ft.tfidf_transform(fx.clean_docs(spark, sf_dir), vocab, vocab_rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    vocab = fx.fitted_vocabulary(spark, sf_dir, stored=stored)
+    table = ft.tfidf_transform(stored, vocab, vocab_rows=ROWS)
     return table.select("doc_id", "term", "tf", *rounded("tfidf"))
 
 
@@ -412,27 +413,28 @@ def vocabulary(spark, sf_dir):
 
 @query
 def tfidf_fit(spark, sf_dir):
-    corpus = lb.labeled(fx.clean_docs(spark, sf_dir))
-    vocab = fx.fitted_vocabulary(spark, sf_dir)
-    return ft.tfidf_fit(corpus, vocab, vocab_rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    vocab = fx.fitted_vocabulary(spark, sf_dir, stored=stored)
+    return ft.tfidf_fit(lb.labeled(stored), vocab, vocab_rows=ROWS)
 
 
 @query
 def chi2_phrases(spark, sf_dir):
-    corpus = lb.labeled(fx.clean_docs(spark, sf_dir))
-    return ft.chi2_phrases(corpus, fx.fitted_vocabulary(spark, sf_dir), vocab_rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    return ft.chi2_phrases(lb.labeled(stored), fx.fitted_vocabulary(spark, sf_dir, stored=stored), vocab_rows=ROWS)
 
 
 @query
 def group_phrases(spark, sf_dir):
-    corpus = fx.clean_docs(spark, sf_dir)
-    return ft.group_phrases(corpus, fx.fitted_vocabulary(spark, sf_dir), subset_field(corpus, "source"), k=30, vocab_rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    vocab = fx.fitted_vocabulary(spark, sf_dir, stored=stored)
+    return ft.group_phrases(stored, vocab, subset_field(stored, "source"), k=30, vocab_rows=ROWS)
 
 
 @query
 def mi_phrases(spark, sf_dir):
-    corpus = lb.labeled(fx.clean_docs(spark, sf_dir))
-    return ft.mi_phrases(corpus, fx.fitted_vocabulary(spark, sf_dir), vocab_rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    return ft.mi_phrases(lb.labeled(stored), fx.fitted_vocabulary(spark, sf_dir, stored=stored), vocab_rows=ROWS)
 
 
 def _evaluated(spark, sf_dir) -> DataFrame:
@@ -536,14 +538,16 @@ def top_coefficients(spark, sf_dir):
 
 @query
 def explain_terms(spark, sf_dir):
-    model = fx.fixed_model(spark, sf_dir)
-    return ln.explain_terms(fx.clean_docs(spark, sf_dir), model.wide(), model.intercepts, rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    model = fx.fixed_model(spark, sf_dir, stored)
+    return ln.explain_terms(stored, model.wide(), model.intercepts, rows=ROWS)
 
 
 @query
 def leave_one_out(spark, sf_dir):
-    model = fx.fixed_model(spark, sf_dir)
-    return ln.leave_one_out(fx.clean_docs(spark, sf_dir), model.wide(), model.intercepts, rows=ROWS)
+    stored = fx.stored_docs(spark, sf_dir)
+    model = fx.fixed_model(spark, sf_dir, stored)
+    return ln.leave_one_out(stored, model.wide(), model.intercepts, rows=ROWS)
 
 
 @query
