@@ -4,128 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slantwise import constants as K
-from slantwise.functions import scores as sc
 from slantwise.functions import text as tx
-from slantwise.functions.arrays import contiguous_ngrams, let, value_counts
+from slantwise.functions import textgrams
+from slantwise.functions.arrays import contiguous_ngrams, value_counts
 from slantwise.operators.features import ROUND, top_per_group
 from slantwise.session import materialize, small_side
 
 
-def _text_square(runs: Column, others: Column, n_candidates: Column) -> Column:
-    """Squared length of the text vector: content terms, then terms no candidate holds."""
-    rare_idf = F.ln((n_candidates + 2.0) / 2.0) + 1.0
-    content = F.aggregate(runs, F.lit(0.0), lambda s, r: s + r["tf"] * r["idf"] * r["tf"] * r["idf"])
-    return content + F.aggregate(others, F.lit(0.0), lambda s, o: s + o["tf"] * o["tf"]) * rare_idf * rare_idf
-
-
-def _term_runs(placed: Column, held: Column, n_candidates: Column) -> Column:
-    """``(start, tf, idf)`` of every content term, in term order.
-
-    ``placed`` are the content tokens sorted with their places, ``held`` the
-    number of candidates per term. Every content token is in some candidate, so
-    both list the same terms in the same order.
-    """
-
-    def run(ends: Column) -> Column:
-        def describe(end: Column, j: Column) -> Column:
-            start = F.coalesce(F.get(ends, j - 1), F.lit(-1)) + 1
-            idf = F.ln((n_candidates + 2.0) / (F.get(held, j)["tf"] + 2.0)) + 1.0
-            return F.struct(start.alias("start"), (end - start + 1).alias("tf"), idf.alias("idf"))
-
-        return F.transform(ends, describe)
-
-    def is_end(item: Column, i: Column) -> Column:
-        following = F.get(placed, i + 1)["term"]
-        return F.when(following == item["term"], F.lit(None)).otherwise(i)
-
-    return let(F.filter(F.transform(placed, is_end), lambda i: i.isNotNull()), run)
-
-
-def _weights_by_place(placed: Column, runs: Column) -> Column:
-    """Per content token, in text order: its term number and its weights."""
-
-    def spread_run(run: Column, number: Column) -> Column:
-        square = run["idf"] * run["idf"]
-        return F.transform(
-            F.slice(placed, run["start"] + 1, run["tf"]),
-            lambda item: F.struct(
-                item["place"].alias("place"),
-                number.alias("term"),
-                (run["tf"] * square).alias("dot"),
-                square.alias("sq"),
-            ),
-        )
-
-    return F.sort_array(F.flatten(F.transform(runs, spread_run)))
-
-
-def _gram_scores(weights: Column, norm_sq: Column, low: int, high: int) -> Column:
-    """``(raw, start, n)`` of every n-gram of the text."""
-
-    def scored(terms: Column, dots: Column, squares: Column) -> Column:
-        def gram(n: int, start: Column) -> Column:
-            at = [start + k for k in range(n)]
-            # A term used twice in a candidate has weight 2 there: its square counts 4 times.
-            repeats = [
-                F.when(F.get(terms, at[i]) == F.get(terms, at[j]), F.get(squares, at[i]) * 2).otherwise(0.0)
-                for i in range(n)
-                for j in range(i + 1, n)
-            ]
-            length_sq = sc.total([F.get(squares, p) for p in at] + repeats)
-            raw = sc.total([F.get(dots, p) for p in at]) / F.sqrt(norm_sq * length_sq)
-            return F.struct(raw.alias("raw"), start.alias("start"), F.lit(n).alias("n"))
-
-        def of_size(n: int) -> Column:
-            return F.transform(F.slice(terms, F.lit(n), F.size(terms)), lambda _, start: gram(n, start))
-
-        return F.flatten(F.array(*[of_size(n) for n in range(low, high + 1)]))
-
-    return let(
-        F.transform(weights, lambda w: w["term"]),
-        lambda terms: let(
-            F.transform(weights, lambda w: w["dot"]),
-            lambda dots: let(F.transform(weights, lambda w: w["sq"]), lambda squares: scored(terms, dots, squares)),
-        ),
-    )
-
-
-def _best_grams(content: Column, scores: Column, top_k: int) -> Column:
-    """The best distinct n-grams by rounded score, then by name.
-
-    N-grams with different scores differ, so ``top_k`` distinct scores hold at
-    least ``top_k`` distinct n-grams: everything below the last of them, less the
-    rounding step, can be left out before any string is built.
-    """
-    leading = F.slice(F.sort_array(F.array_distinct(F.transform(scores, lambda s: s["raw"])), False), 1, top_k)
-    lowest = F.coalesce(F.array_min(leading), F.lit(0.0)) - 2 * 10.0**-ROUND
-
-    def named(floor: Column) -> Column:
-        return F.sort_array(
-            F.transform(
-                F.filter(scores, lambda s: s["raw"] >= floor),
-                lambda s: F.struct(
-                    (-F.round(s["raw"], ROUND)).alias("order"),
-                    F.array_join(F.slice(content, s["start"] + 1, s["n"]), " ").alias("keyword"),
-                ),
-            )
-        )
-
-    def distinct(items: Column) -> Column:
-        first = F.transform(
-            items, lambda x, i: F.when((i == 0) | (F.get(items, i - 1)["keyword"] != x["keyword"]), x)
-        )
-        return F.transform(
-            F.slice(F.filter(first, lambda x: x.isNotNull()), 1, top_k),
-            lambda x, i: F.struct((i + 1).alias("rank"), x["keyword"].alias("keyword"), (-x["order"]).alias("score")),
-        )
-
-    return let(let(lowest, named), distinct)
-
-
 def text_keywords(
     text: Column,
     top_k: int = 20,
@@ -136,48 +26,20 @@ def text_keywords(
 
     Each text has a private space: the text and its distinct candidate n-grams
     are the documents, single tokens are the terms. A term's document frequency
-    is 1 (the text) plus the candidates that hold it. Sorting and run lengths
-    give all counts in n log n steps, and no row leaves its partition.
+    is 1 (the text) plus the candidates that hold it. Array code counts and scores the n-grams of
+    many texts at once, and only those that may be listed get a name; no row leaves its partition.
     """
     low, high = ngram_range
-    stop = sorted(set(stop_words))
-
-    def is_content(token: Column) -> Column:
-        return ~token.isin(stop) if stop else F.lit(True)
-
-    def with_candidates(words: Column, content: Column, candidates: Column) -> Column:
-        n_candidates = F.size(candidates)
-        members = F.flatten(F.transform(candidates, lambda c: F.array_distinct(F.split(c, " "))))
-        placed = F.sort_array(
-            F.transform(content, lambda t, i: F.struct(t.alias("term"), i.alias("place")))
-        )
-        others = value_counts(F.filter(words, lambda t: ~is_content(t)))
-
-        def with_runs(items: Column, runs: Column) -> Column:
-            scores = let(
-                _text_square(runs, others, n_candidates),
-                lambda norm_sq: let(_weights_by_place(items, runs), lambda w: _gram_scores(w, norm_sq, low, high)),
-            )
-            return let(scores, lambda s: _best_grams(content, s, top_k))
+    stop = frozenset(stop_words)
 
-        found = let(
-            placed,
-            lambda items: let(
-                let(value_counts(members), lambda held: _term_runs(items, held, n_candidates)),
-                lambda runs: with_runs(items, runs),
-            ),
-        )
-        return F.when(n_candidates > 0, found)
+    def leading(lists: pa.Array) -> pa.Array:
+        return textgrams.leading_grams(lists, stop, low, high, top_k, 2 * 10.0**-ROUND)
 
-    return let(
-        tx.tokens(text),
-        lambda words: let(
-            F.filter(words, is_content),
-            lambda content: let(
-                F.array_distinct(contiguous_ngrams(content, low, high)),
-                lambda candidates: with_candidates(words, content, candidates),
-            ),
-        ),
+    found = F.arrow_udf(leading, "array<struct<raw: double, keyword: string>>")(tx.tokens(text))
+    ranked = F.sort_array(F.transform(found, lambda s: F.struct((-F.round(s["raw"], ROUND)).alias("order"), s["keyword"].alias("keyword"))))
+    return F.transform(
+        F.slice(ranked, 1, top_k),
+        lambda x, i: F.struct((i + 1).alias("rank"), x["keyword"].alias("keyword"), (-x["order"]).alias("score")),
     )
 
 
