@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from slantwise import constants as K
 from slantwise.functions import grams
 from slantwise.functions import text as tx
-from slantwise.functions.arrays import value_counts
+from slantwise.functions.arrays import let, value_counts
 from slantwise.session import BROADCAST_ROWS, materialize, small_side
 
 ROUND = 6
@@ -22,6 +22,9 @@ ROUND = 6
 # Buckets of the first count of n-grams, per term kept; at least two to the power of the other.
 BUCKETS_A_TERM, LEAST_BITS = 128, 16
 
+# Tokens a class may have that are looked for in its texts.
+HEAVY_TOKENS = 1_000
+
 
 @dataclass(frozen=True)
 class Analyzer:
@@ -495,13 +498,32 @@ def topic_leakage(
     stop_words: Iterable[str] = K.STOP_WORDS,
     text_col: str = "text",
 ) -> DataFrame:
-    """Most frequent 1-2-grams of each predicted class, in at least ``min_df`` documents."""
-    counts = term_counts(docs, Analyzer((1, 2), stop_words), text_col, keep=(pred_col,))
-    totals = (
-        counts.groupBy(F.col(pred_col).alias("class_name"), "term")
-        .agg(F.count(F.lit(1)).alias("_df"), F.sum("tf").alias("count"))
-        .where(F.col("_df") >= min_df)
-    )
-    return top_per_group(totals, "class_name", "count", top_k).select(
+    """Most frequent 1-2-grams of each predicted class, in at least ``min_df`` documents.
+
+    A pair of tokens is at most as frequent as either of them, and the ``top_k`` most frequent tokens
+    of a class set a floor. So after the tokens only pairs of tokens that reach the floor
+    are counted. A class with fewer tokens, or with more than ``HEAVY_TOKENS`` at the floor, counts all pairs.
+    """
+    tokens = docs.select(F.col(pred_col).alias("class_name"), Analyzer((1, 1), stop_words).tokens(F.col(text_col)).alias("tokens"))
+    tokens = materialize(tokens, "class-tokens")
+    single = materialize(_class_totals(tokens, F.col("tokens")), "single-tokens")
+    last = top_per_group(single.where(F.col("_df") >= min_df), "class_name", "count", top_k).where(F.col("rank") == top_k)
+    # One row per class.
+    floors = F.broadcast(last.select(F.col("class_name").alias("_class"), F.col("count").alias("_floor")))
+    heavy = single.join(floors, F.col("class_name").eqNullSafe(F.col("_class"))).where(F.col("count") >= F.col("_floor"))
+    first = Window.partitionBy("_class").orderBy(F.desc("count"), "term")
+    some = heavy.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= HEAVY_TOKENS + 1)
+    lists = some.groupBy("_class").agg(F.collect_list("term").alias("_heavy")).where(F.size("_heavy") <= HEAVY_TOKENS)
+    paired = tokens.join(F.broadcast(lists), F.col("class_name").eqNullSafe(F.col("_class")), "left")
+    kept = F.transform("tokens", lambda x: F.when(F.col("_heavy").isNull() | F.array_contains("_heavy", x), x))
+    pairs = let(kept, lambda items: F.transform(F.slice(items, F.lit(2), F.size(items)), lambda x, i: F.concat(F.get(items, i), F.lit(" "), x)))
+    both = single.unionByName(_class_totals(paired, F.filter(pairs, lambda x: x.isNotNull())))
+    return top_per_group(both.where(F.col("_df") >= min_df), "class_name", "count", top_k).select(
         "class_name", "rank", "term", "count"
     )
+
+
+def _class_totals(tokens: DataFrame, terms: Column) -> DataFrame:
+    """``(class_name, term, _df, count)`` of the terms of each class."""
+    counts = tokens.select("class_name", F.inline(value_counts(terms)))
+    return counts.groupBy("class_name", "term").agg(F.count(F.lit(1)).alias("_df"), F.sum("tf").alias("count"))
