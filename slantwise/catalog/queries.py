@@ -107,15 +107,16 @@ def jsonl_rejects(spark, sf_dir):
 @query
 def txt_dir_scan(spark, sf_dir):
     path = scratch_path(spark, "txt")
-    fx.docs(spark, sf_dir).select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    names = wr.write_txt_files(fx.docs(spark, sf_dir), path)
     read = sd.read_txt_dir(spark, path, recursive=True)
-    return read.select(
-        F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
+    found = read.select(
+        *wr.txt_file_place(F.col("path")),
         F.md5("text").alias("text_md5"),
         F.char_length("text").alias("n_chars"),
         "source",
         "title",
     )
+    return names.join(found, ["folder", "place"]).select("doc_id", "text_md5", "n_chars", "source", "title")
 
 
 @query

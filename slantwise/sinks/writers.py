@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slantwise import constants as K
 
+# A folder of text files holds about this many.
+FOLDER_FILES = 1000
+# Files of the local disk go without checksum files, each of which costs more processes than the text.
+PLAIN_LOCAL = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
     """One partition folder per split.
@@ -56,3 +61,25 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(
         header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
+
+
+def write_txt_files(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One ``.txt`` file per document, and ``(folder, place, id)`` that tells whose each is.
+
+    Files stand in folders of about ``FOLDER_FILES``, so that listing them costs one call per
+    folder. A folder is written by one task in order of the id; Spark numbers its files
+    in that order, which ``txt_file_place`` reads from their paths.
+    """
+    folders = max(1, -(-docs.count() // FOLDER_FILES))
+    dealt = docs.select(id_col, text_col, F.pmod(F.xxhash64(id_col), F.lit(folders)).cast("int").alias("folder"))
+    sorted_rows = dealt.repartition(folders, "folder").sortWithinPartitions("folder", id_col)
+    files = sorted_rows.select("folder", text_col).write.partitionBy("folder")
+    files.options(maxRecordsPerFile=1, **PLAIN_LOCAL).text(path)
+    place = F.row_number().over(Window.partitionBy("folder").orderBy(id_col)) - 1
+    return dealt.select("folder", place.alias("place"), id_col)
+
+
+def txt_file_place(path: Column) -> list[Column]:
+    """``folder`` and ``place`` of a file that ``write_txt_files`` wrote."""
+    pattern = r"folder=(\d+)/part-.*\.c(\d+)\.txt$"
+    return [F.regexp_extract(path, pattern, k).cast("int").alias(name) for k, name in ((1, "folder"), (2, "place"))]

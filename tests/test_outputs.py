@@ -11,6 +11,7 @@ from slantwise.operators import reports as rp
 from slantwise.operators.training import LinearModel
 from slantwise.plans import flows
 from slantwise.sinks import writers as wr
+from slantwise.sources.documents import read_txt_dir
 from slantwise.sources.label_files import read_human_labels
 from slantwise.streaming.score_stream import read_scored_stream, score_stream
 
@@ -91,3 +92,14 @@ def test_stream_keeps_rows_that_share_or_lack_an_id(spark, tmp_path):
     send(spark.createDataFrame([("2", "tax"), (None, "tax")], docs.schema))
     now = [r for r in rows if r[0] != "2"] + [("2", "tax"), (None, "tax")]
     assert seen(read_scored_stream(spark, out)) == seen(flows.score(spark.createDataFrame(now, docs.schema), model))
+
+
+def test_text_files_stand_in_few_folders_and_are_told_apart(spark, tmp_path):
+    rows = [(7 * k - 3000, f"text {k}" if k % 50 else None) for k in range(2500)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = tmp_path / "txt"
+    names = wr.write_txt_files(docs, str(path))
+    assert len(list(path.glob("*/*.txt"))) == len(rows) and len(list(path.glob("folder=*"))) <= 3
+    files = read_txt_dir(spark, str(path), recursive=True).select("text", *wr.txt_file_place(F.col("path")))
+    got = names.join(files, ["folder", "place"]).select("doc_id", "text")
+    assert Counter(tuple(r) for r in got.collect()) == Counter((i, f"{t or ''}\n") for i, t in rows)
