@@ -130,10 +130,44 @@ class TermIndex:
         return found // total, found % total, tf
 
 
-def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
+def lists_of(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
 
 
+def _weighed(index: TermIndex, rows: np.ndarray, count: int, tokens: pa.Array, idf: np.ndarray, low: int, high: int, sublinear: bool) -> tuple:
+    """``(row, number, tf, weight)`` of the known n-grams of a slice, and the length of every row's weights, 1 for none."""
+    row, number, tf = index.counted(rows, tokens, low, high)
+    weight = ((1.0 + np.log(tf)) if sublinear else tf.astype(float)) * idf[number]
+    norm = np.sqrt(np.bincount(row, weight * weight, count))
+    return row, number, tf, weight, np.where(norm > 0, norm, 1.0)
+
+
+def _cells(number: np.ndarray, tf: np.ndarray, value: np.ndarray) -> pa.StructArray:
+    columns = [pa.array(number.astype(np.int32)), pa.array(tf.astype(np.int32)), pa.array(value.astype(float))]
+    return pa.StructArray.from_arrays(columns, ["number", "tf", "tfidf"])
+
+
+def replaced(batch: pa.RecordBatch, at: int, column: pa.Array, name: str) -> pa.RecordBatch:
+    """The rows from ``at`` on that ``column`` is made for, with it instead of the last column."""
+    kept = [x.slice(at, len(column)) for x in batch.columns[:-1]]
+    fields = [batch.schema.field(k) for k in range(len(kept))]
+    return pa.RecordBatch.from_arrays([*kept, column], schema=pa.schema([*fields, pa.field(name, column.type)]))
+
+
+def with_terms(batches, parts_of_index: tuple, idf: np.ndarray, low: int, high: int, sublinear: bool):
+    """Batches whose last column, lists of tokens, gives way to ``terms`` as ``vectors`` has them.
+
+    A slice goes on as soon as it is done, so what a worker holds does not grow with the rows of a batch.
+    """
+    index = TermIndex(*parts_of_index)
+    for batch in batches:
+        at = 0
+        for rows, count, tokens in slices(batch.column(batch.num_columns - 1)):
+            row, number, tf, weight, safe = _weighed(index, rows, count, tokens, idf, low, high, sublinear)
+            yield replaced(batch, at, lists_of(np.bincount(row, minlength=count), _cells(number, tf, weight / safe[row])), "terms")
+            at += count
+
+
 def vectors(lists: pa.Array, parts_of_index: tuple, idf: np.ndarray, coefs: np.ndarray, low: int, high: int, sublinear: bool, top: tuple | None = None, cells: bool = True) -> pa.StructArray:
     """Per row ``terms`` as ``(number, tf, tfidf)``, and ``dots``, the products with the columns of ``coefs``.
 
@@ -145,10 +179,7 @@ def vectors(lists: pa.Array, parts_of_index: tuple, idf: np.ndarray, coefs: np.n
     index = TermIndex(*parts_of_index)
     sizes, parts, products, classes = [], [], [], []
     for rows, count, tokens in slices(lists):
-        row, number, tf = index.counted(rows, tokens, low, high)
-        weight = ((1.0 + np.log(tf)) if sublinear else tf.astype(float)) * idf[number]
-        norm = np.sqrt(np.bincount(row, weight * weight, count))
-        safe = np.where(norm > 0, norm, 1.0)
+        row, number, tf, weight, safe = _weighed(index, rows, count, tokens, idf, low, high, sublinear)
         dots = [np.bincount(row, weight * coefs[number, k], count) / safe for k in range(coefs.shape[1])]
         products.append(np.stack(dots, axis=1) if dots else np.zeros((count, 0)))
         value = weight / safe[row]
@@ -168,13 +199,10 @@ def vectors(lists: pa.Array, parts_of_index: tuple, idf: np.ndarray, coefs: np.n
         if cells:
             parts.append((number, tf, value))
     joined = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(3)]
-    cell = pa.StructArray.from_arrays(
-        [pa.array(joined[0].astype(np.int32)), pa.array(joined[1].astype(np.int32)), pa.array(joined[2].astype(float))], ["number", "tf", "tfidf"]
-    )
     table = np.concatenate(products) if products else np.zeros((0, coefs.shape[1]))
-    dots = _lists(np.full(len(table), coefs.shape[1]), pa.array(table.ravel()))
+    dots = lists_of(np.full(len(table), coefs.shape[1]), pa.array(table.ravel()))
     chosen = pa.array(np.concatenate(classes).astype(np.int32)) if classes else pa.nulls(len(table), pa.int32())
-    terms = _lists(np.concatenate(sizes) if sizes else np.zeros(0, np.int64), cell)
+    terms = lists_of(np.concatenate(sizes) if sizes else np.zeros(0, np.int64), _cells(*joined))
     return pa.StructArray.from_arrays([terms, dots, chosen], ["terms", "dots", "chosen"])
 
 
@@ -241,7 +269,7 @@ def around(lists: pa.Array, parts_of_index: tuple, shapes: list[tuple[int, ...]]
         parts.append(np.stack([find(shape) for shape in shapes], axis=1).ravel())
         sizes.append(np.bincount(rows, minlength=count) * len(shapes))
     joined = np.concatenate(parts) if parts else np.zeros(0)
-    return _lists(np.concatenate(sizes) if sizes else np.zeros(0, np.int64), pa.array(joined.astype(np.int32)))
+    return lists_of(np.concatenate(sizes) if sizes else np.zeros(0, np.int64), pa.array(joined.astype(np.int32)))
 
 
 # Multipliers of the token and the final mix of a hash.

@@ -208,6 +208,14 @@ class TermTable:
 
         return F.arrow_udf(found, kind)(analyzer.tokens(text))
 
+    def terms(self, docs: DataFrame, analyzer: Analyzer, text_col: str, keep: Sequence[str]) -> DataFrame:
+        """``(keep..., terms)``, all known terms of every row: as ``vectors`` gives them, but a few rows at a time."""
+        model, (low, high), sublinear = self.model, analyzer.ngram_range, analyzer.sublinear_tf
+        tokens = docs.select(*keep, analyzer.tokens(F.col(text_col)).alias("_tokens"))
+        cell = T.StructType([T.StructField("number", T.IntegerType()), T.StructField("tf", T.IntegerType()), T.StructField("tfidf", T.DoubleType())])
+        schema = T.StructType([*tokens.schema.fields[:-1], T.StructField("terms", T.ArrayType(cell))])
+        return tokens.mapInArrow(lambda batches: grams.with_terms(batches, *model.value[:2], low, high, sublinear), schema)
+
     def around(self, tokens: Column, shapes: Sequence[tuple[int, ...]]) -> Column:
         """Numbers of the terms around every token, per token one for each shape: see ``grams.around``."""
         model, shapes = self.model, [tuple(s) for s in shapes]
@@ -236,8 +244,7 @@ def document_terms(
     rows = table_rows(table, rows)
     if rows <= BROADCAST_ROWS:
         terms = TermTable(table)
-        found = docs.select(*keep, terms.vectors(analyzer, F.col(text_col)).alias("_found"))
-        cells = found.select(*keep, F.inline("_found.terms"))
+        cells = terms.terms(docs, analyzer, text_col, keep).select(*keep, F.inline("terms"))
         return cells.join(terms.rows, "number").drop("number")
     vectors = joined_vectors(docs, table, analyzer, text_col, keep, rows)
     cells = F.transform("vector", lambda x: F.struct(x["tf"].alias("tf"), (x["w"] / F.col("norm")).alias("tfidf"), x["entry"].alias("entry")))
@@ -328,7 +335,7 @@ def term_weight_lists(
     """One row per document with the ``indices`` of its terms and their normalised ``values``."""
     if table_rows(vocab, vocab_rows) <= BROADCAST_ROWS:
         found = TermTable(vocab.select("term", "idx", "idf"))
-        terms = docs.select(*keep, found.vectors(analyzer, F.col(text_col))["terms"].alias("terms"))
+        terms = found.terms(docs, analyzer, text_col, keep)
         # Numbers follow the index, which has no gaps.
         return terms.select(*keep, F.col("terms.number").alias("indices"), F.col("terms.tfidf").alias("values"))
     counts = term_counts(docs, analyzer, text_col, keep)

@@ -119,3 +119,20 @@ def test_scores_need_no_exchange_and_no_second_look_at_the_model(spark, model):
     assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString().replace("Exchange RoundRobinPartitioning", "").replace("RoundRobin", "")
     again = ln.score_documents(docs, None, intercepts, table=ln.scoring_table(wide, 3))
     assert [tuple(r) for r in again.orderBy("doc_id").collect()] == [tuple(r) for r in scored.orderBy("doc_id").collect()]
+
+
+def test_known_terms_leave_a_worker_a_slice_at_a_time(spark, model, monkeypatch):
+    import pyarrow as pa
+
+    from slantwise.functions import grams
+
+    monkeypatch.setattr(grams, "SLICE_TOKENS", 8)
+    vocab = model[0].orderBy("idx").toPandas()
+    parts, idf = grams.index_of(vocab["term"].tolist()), vocab["idf"].to_numpy()
+    tokens = pa.array([["public", "taxes"], [], None, ["market", "taxes", "market"], ["weather"]] * 30, pa.list_(pa.string()))
+    batch = pa.record_batch([pa.array(range(len(tokens))), tokens], ["doc_id", "tokens"])
+    got = list(grams.with_terms([batch], parts, idf, 1, 3, True))
+    assert max(len(b) for b in got) <= 10 < sum(len(b) for b in got) == len(tokens)
+    whole = grams.vectors(tokens, parts, idf, idf.reshape(-1, 1)[:, :0], 1, 3, True)
+    assert [r for b in got for r in b.column("terms").to_pylist()] == whole.field("terms").to_pylist()
+    assert [r for b in got for r in b.column("doc_id").to_pylist()] == list(range(len(tokens)))
