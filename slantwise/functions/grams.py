@@ -260,18 +260,6 @@ def group_sums(batches, parts_of_index: tuple, idf: np.ndarray, low: int, high:
         yield from rows(_reduced(waiting))
 
 
-def around(lists: pa.Array, parts_of_index: tuple, shapes: list[tuple[int, ...]]) -> pa.ListArray:
-    """Per token and shape, a tuple of offsets, the number of the term made there, -1 for none."""
-    index = TermIndex(*parts_of_index)
-    sizes, parts = [], []
-    for rows, count, tokens in slices(lists):
-        find = index.finder(index.coded(tokens), rows)
-        parts.append(np.stack([find(shape) for shape in shapes], axis=1).ravel())
-        sizes.append(np.bincount(rows, minlength=count) * len(shapes))
-    joined = np.concatenate(parts) if parts else np.zeros(0)
-    return lists_of(np.concatenate(sizes) if sizes else np.zeros(0, np.int64), pa.array(joined.astype(np.int32)))
-
-
 # Multipliers of the token and the final mix of a hash.
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 

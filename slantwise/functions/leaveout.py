@@ -1,6 +1,6 @@
 """Array code for leaving tokens out of a text; it runs inside Python workers.
 
-A text comes as term numbers, a fixed number per token: the n-grams that start at
+A text is looked up as term numbers, a fixed number per token: the n-grams that start at
 the token, and those that bridge the gap it leaves, -1 where there is none or the
 model does not know it. The module travels with the job.
 """
@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
+from slantwise.functions.grams import TermIndex, lists_of, replaced, slices
+
 
 def layout(low: int, high: int) -> tuple[list[int], list[tuple[int, int]]]:
     """Sizes of the n-grams that start at a token, and (size, tokens before the gap) of the bridging ones."""
@@ -77,19 +79,44 @@ def importances(cells: np.ndarray, low: int, high: int, idf: np.ndarray, coefs:
     return softmax(before)[chosen] - softmax(decide(dots_left, left[:, None]))[:, chosen]
 
 
-def with_falls(batches, numbers: str, model: tuple, low: int, high: int, sublinear: bool):
-    """Batches with the list column ``numbers`` replaced by the list column ``_falls``."""
+def _leading(falls: np.ndarray, k: int, digits: int) -> np.ndarray:
+    """Places of all falls that may be among the ``k`` largest once rounded, ties by place.
+
+    A fall in the middle between two rounded values may go to either, so it is kept beside the ``k`` largest of the others.
+    """
+    scaled = np.abs(falls) * 10.0**digits
+    unsure = np.abs(scaled - np.floor(scaled) - 0.5) < 1e-6
+    sure = np.flatnonzero(~unsure)
+    first = sure[np.argsort(-np.floor(scaled[sure] + 0.5), kind="stable")[:k]]
+    return np.sort(np.concatenate([first, np.flatnonzero(unsure)]))
+
+
+def with_falls(batches, parts_of_index: tuple, model: tuple, low: int, high: int, sublinear: bool, k: int, most: int | None, digits: int):
+    """Batches whose last column, lists of tokens, gives way to ``falls``: ``(position, token, fall)`` of those that may be listed.
+
+    Terms are looked up, and texts tried, a slice at a time, so what a worker holds does not grow with the rows of a batch.
+    ``most`` is the number of tokens of a text that count. A text of one token has nothing left to score.
+    """
+    index = TermIndex(*parts_of_index)
     starts, bridges = layout(low, high)
+    shapes = [tuple(range(n)) for n in starts] + [(*range(-before, 0), *range(1, n - before + 1)) for n, before in bridges]
     for batch in batches:
-        at = batch.schema.names.index(numbers)
-        lists = batch.column(at)
-        cells, bounds = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-        one = len(starts) + len(bridges)
-        found = [importances(cells[a:b], low, high, *model, sublinear) if b - a > one else np.zeros(0) for a, b in zip(bounds[:-1], bounds[1:])]
-        sizes = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-        falls = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(found) if found else np.zeros(0)))
-        columns = [falls if k == at else batch.column(k) for k in range(batch.num_columns)]
-        yield pa.RecordBatch.from_arrays(columns, ["_falls" if k == at else name for k, name in enumerate(batch.schema.names)])
+        at = 0
+        for rows, count, tokens in slices(batch.column(batch.num_columns - 1)):
+            find = index.finder(index.coded(tokens), rows)
+            cells = np.stack([find(shape) for shape in shapes], axis=1)
+            sizes = np.bincount(rows, minlength=count)
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            found, listed = [], np.zeros(count, np.int64)
+            for row in np.flatnonzero(sizes > 1):
+                falls = importances(cells[bounds[row] : bounds[row + 1]], low, high, *model, sublinear)[:most]
+                places = _leading(falls, k, digits)
+                found.append((places, bounds[row] + places, falls[places]))
+                listed[row] = len(places)
+            position, place, fall = (np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(3))
+            columns = [pa.array(position.astype(np.int32)), tokens.take(pa.array(place.astype(np.int64))), pa.array(fall)]
+            yield replaced(batch, at, lists_of(listed, pa.StructArray.from_arrays(columns, ["position", "token", "fall"])), "falls")
+            at += count
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

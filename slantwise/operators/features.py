@@ -216,11 +216,6 @@ class TermTable:
         schema = T.StructType([*tokens.schema.fields[:-1], T.StructField("terms", T.ArrayType(cell))])
         return tokens.mapInArrow(lambda batches: grams.with_terms(batches, *model.value[:2], low, high, sublinear), schema)
 
-    def around(self, tokens: Column, shapes: Sequence[tuple[int, ...]]) -> Column:
-        """Numbers of the terms around every token, per token one for each shape: see ``grams.around``."""
-        model, shapes = self.model, [tuple(s) for s in shapes]
-        return F.arrow_udf(lambda lists: grams.around(lists, model.value[0], shapes), "array<int>")(tokens)
-
 
 def table_rows(table: DataFrame, rows: int | None) -> int:
     """``rows`` if the caller has a bound, else the count, as far as it matters for a constant."""

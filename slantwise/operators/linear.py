@@ -278,27 +278,26 @@ def leave_one_out(
     if rows > BROADCAST_ROWS:
         return _leave_one_out_joined(docs, wide, intercepts, classes, analyzer, top_k, max_tokens, text_col, id_col, rows)
     low, high = analyzer.ngram_range
-    sizes, bridges = leaveout.layout(low, high)
     names = [f"coef_{i}" for i in range(len(classes))]
     table = TermTable(wide.select("term", "idf", *names), names)
     base = np.array(intercepts_of(intercepts, len(classes)))
     model, sublinear = table.model, analyzer.sublinear_tf
-    shapes = [tuple(range(n)) for n in sizes] + [(*range(-before, 0), *range(1, n - before + 1)) for n, before in bridges]
-    tokens = _content(analyzer, F.col(text_col))
-    coded = docs.select(id_col, tokens.alias("_tokens")).select(id_col, "_tokens", table.around(F.col("_tokens"), shapes).alias("_numbers"))
-    schema = T.StructType([*coded.schema.fields[:2], T.StructField("_falls", T.ArrayType(T.DoubleType()))])
-    tried = coded.mapInArrow(lambda batches: leaveout.with_falls(batches, "_numbers", (*model.value[1:], base), low, high, sublinear), schema)
-    # A text of one token has nothing left to score; its row has no falls.
-    falls = F.col("_falls") if max_tokens is None else F.slice("_falls", 1, max_tokens)
-
-    def ranked(x: Column, i: Column) -> Column:
-        value = F.round(x, ROUND)
-        return F.struct((-F.abs(value)).alias("size"), i.alias("position"), F.when(value == 0, F.lit(0.0)).otherwise(value).alias("importance"))
-
-    best = F.slice(F.sort_array(F.transform(falls, ranked)), 1, top_k)
-    listed = tried.select(id_col, "_tokens", F.posexplode(best).alias("_at", "_best"))
-    token = F.get("_tokens", F.col("_best.position")).alias("token")
-    return listed.select(id_col, (F.col("_at") + 1).alias("rank"), "_best.position", token, "_best.importance")
+    tokens = docs.select(id_col, _content(analyzer, F.col(text_col)).alias("_tokens"))
+    cell = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("token", T.StringType()), T.StructField("fall", T.DoubleType())])
+    schema = T.StructType([tokens.schema.fields[0], T.StructField("falls", T.ArrayType(cell))])
+
+    def tried(batches):
+        parts, idf, coefs = model.value
+        return leaveout.with_falls(batches, parts, (idf, coefs, base), low, high, sublinear, top_k, max_tokens, ROUND)
+
+    def ranked(x: Column) -> Column:
+        value = F.round(x["fall"], ROUND)
+        importance = F.when(value == 0, F.lit(0.0)).otherwise(value)
+        return F.struct((-F.abs(value)).alias("size"), x["position"].alias("position"), x["token"].alias("token"), importance.alias("importance"))
+
+    best = F.slice(F.sort_array(F.transform("falls", ranked)), 1, top_k)
+    listed = tokens.mapInArrow(tried, schema).select(id_col, F.posexplode(best).alias("_at", "_best"))
+    return listed.select(id_col, (F.col("_at") + 1).alias("rank"), "_best.position", "_best.token", "_best.importance")
 
 
 def intercepts_of(intercepts: DataFrame, k: int) -> list[float]:

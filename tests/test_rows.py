@@ -136,3 +136,30 @@ def test_known_terms_leave_a_worker_a_slice_at_a_time(spark, model, monkeypatch)
     whole = grams.vectors(tokens, parts, idf, idf.reshape(-1, 1)[:, :0], 1, 3, True)
     assert [r for b in got for r in b.column("terms").to_pylist()] == whole.field("terms").to_pylist()
     assert [r for b in got for r in b.column("doc_id").to_pylist()] == list(range(len(tokens)))
+
+
+def test_tokens_that_are_not_listed_stay_in_the_worker(spark, model, monkeypatch):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    import numpy as np
+    import pyarrow as pa
+
+    from slantwise.functions import grams, leaveout
+
+    rng = random.Random(3)
+    falls = np.array([rng.choice([0.0, 2.5e-6, -2.5e-6, 1e-9, rng.uniform(-4e-6, 4e-6)]) for _ in range(500)])
+    exact = [Decimal(repr(float(abs(x)))).quantize(Decimal("1e-6"), ROUND_HALF_UP) for x in falls]
+    for k in (1, 15, 400, 600):
+        best = sorted(range(len(falls)), key=lambda i: (-exact[i], i))[:k]
+        assert set(best) <= set(leaveout._leading(falls, k, 6).tolist())
+
+    monkeypatch.setattr(grams, "SLICE_TOKENS", 50)
+    vocab = model[1].orderBy("term").toPandas()
+    parts, idf, coefs = grams.index_of(vocab["term"].tolist()), vocab["idf"].to_numpy(), vocab[["coef_0", "coef_1", "coef_2"]].to_numpy()
+    texts = [[rng.choice(["public", "taxes", "market", "other"]) for _ in range(n)] for n in (40, 1, 200, 0, 30, 30)]
+    batch = pa.record_batch([pa.array(range(6)), pa.array(texts, pa.list_(pa.string()))], ["doc_id", "tokens"])
+    got = list(leaveout.with_falls([batch], parts, (idf, coefs, np.zeros(3)), 1, 3, True, 5, None, 6))
+    lists = [r for b in got for r in b.column("falls").to_pylist()]
+    assert len(got) > 2 and [len(x) for x in lists] == [5, 0, 5, 0, 5, 5]
+    assert all(text[x["position"]] == x["token"] for text, row in zip(texts, lists) for x in row)
