@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slantwise import constants as K
+from slantwise.functions import textfiles
+from slantwise.session import local_folder, materialize
 
 # A folder of text files holds about this many.
 FOLDER_FILES = 1000
@@ -67,11 +70,19 @@ def write_txt_files(docs: DataFrame, path: str, text_col: str = "text", id_col:
     """One ``.txt`` file per document, and ``(folder, place, id)`` that tells whose each is.
 
     Files stand in folders of about ``FOLDER_FILES``, so that listing them costs one call per
-    folder. A folder is written by one task in order of the id; Spark numbers its files
-    in that order, which ``txt_file_place`` reads from their paths.
+    folder. A folder is written by one task in order of the id; its files are numbered
+    in that order, which ``txt_file_place`` reads from their paths. Below a folder of the local disk, or one
+    mounted there, tasks write the files themselves; elsewhere Spark's writer does.
     """
     folders = max(1, -(-docs.count() // FOLDER_FILES))
     dealt = docs.select(id_col, text_col, F.pmod(F.xxhash64(id_col), F.lit(folders)).cast("int").alias("folder"))
+    local = local_folder(docs.sparkSession, path)
+    if local is not None:
+        rows = dealt.select(id_col, "folder", F.concat(F.coalesce(text_col, F.lit("")), F.lit("\n")).alias("content"))
+        ordered = rows.repartition(folders, "folder").sortWithinPartitions("folder", id_col, "content")
+        schema = T.StructType([T.StructField("folder", T.IntegerType()), T.StructField("place", T.IntegerType()), rows.schema[id_col]])
+        # The names are stored, so the files are written now, and once.
+        return materialize(ordered.mapInArrow(lambda batches: textfiles.written(batches, local), schema), "txt-names")
     sorted_rows = dealt.repartition(folders, "folder").sortWithinPartitions("folder", id_col)
     files = sorted_rows.select("folder", text_col).write.partitionBy("folder")
     files.options(maxRecordsPerFile=1, **PLAIN_LOCAL).text(path)

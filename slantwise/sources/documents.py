@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from slantwise import constants as K
 from slantwise.functions import text as tx
+from slantwise.functions import textfiles
+from slantwise.session import local_folder
 
 # A line split with a fixed separator keeps a stray CR inside a record.
 TEXT_OPTIONS = {"lineSep": "\n"}
@@ -122,19 +125,30 @@ def _document(doc_id: Column, text: Column, title: Column, source: str) -> list[
 def _read_files(spark: SparkSession, directory: str, extension: str, recursive: bool) -> DataFrame:
     """One row per file: stem, path and content as valid UTF-8 with LF line ends."""
     content = F.make_valid_utf8(F.col("content").cast("string"))
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{extension}")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(directory)
-        .select(
-            F.regexp_replace("_metadata.file_name", rf"\.{extension}$", "").alias("stem"),
-            F.regexp_replace(content, r"\r\n?", "\n").alias("content"),
-            "path",
-        )
+    return _files(spark, directory, f"*.{extension}", recursive).select(
+        F.regexp_replace("file_name", rf"\.{extension}$", "").alias("stem"),
+        F.regexp_replace(content, r"\r\n?", "\n").alias("content"),
+        "path",
     )
 
 
+def _files(spark: SparkSession, directory: str, pattern: str, recursive: bool) -> DataFrame:
+    """``(file_name, path, content)`` of the files that match.
+
+    Spark's scan holds every file on the driver and reads about 32 small ones a task. So a tree of the local
+    disk, or one mounted there, is listed by folder, and tasks list and read the files. Neither has empty files.
+    """
+    root = local_folder(spark, directory) if recursive else None
+    if root is not None and os.path.isdir(root):
+        rows = textfiles.chunks(root.rstrip("/") or "/", pattern)
+        cores = spark.sparkContext.defaultParallelism
+        parts = spark.createDataFrame(rows, "folder string, part int, parts int").repartition(max(1, min(len(rows), 16 * cores)))
+        return parts.mapInArrow(lambda batches: textfiles.contents(batches, pattern), "file_name string, path string, content binary")
+    scan = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
+    # The name in the file's metadata is encoded as in a URI.
+    return scan.load(directory).select(F.substring_index("path", "/", -1).alias("file_name"), "path", "content")
+
+
 def read_txt_dir(
     spark: SparkSession, directory: str, default_source: str = "unknown", recursive: bool = False
 ) -> DataFrame:

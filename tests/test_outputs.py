@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from slantwise.functions import scores as sc
+from slantwise.functions import textfiles
 from slantwise.operators import reports as rp
 from slantwise.operators.training import LinearModel
 from slantwise.plans import flows
 from slantwise.sinks import writers as wr
+from slantwise.sources import documents
 from slantwise.sources.documents import read_txt_dir
 from slantwise.sources.label_files import read_human_labels
 from slantwise.streaming.score_stream import read_scored_stream, score_stream
@@ -103,3 +105,24 @@ def test_text_files_stand_in_few_folders_and_are_told_apart(spark, tmp_path):
     files = read_txt_dir(spark, str(path), recursive=True).select("text", *wr.txt_file_place(F.col("path")))
     got = names.join(files, ["folder", "place"]).select("doc_id", "text")
     assert Counter(tuple(r) for r in got.collect()) == Counter((i, f"{t or ''}\n") for i, t in rows)
+
+
+def test_a_tree_of_files_is_read_as_spark_reads_it(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textfiles, "CHUNK_FILES", 2)
+    monkeypatch.setattr(textfiles, "BATCH_BYTES", 5)
+    for name, content in {"a.txt": b"one\r\ntwo", "b c%20.txt": b" ", "empty.txt": b"", "d=1/e.txt": b"\xff?", "d=1/.f.txt": b"no", "_g/h.txt": b"no", "i/j/k.txt": b"deep", "i/l.md": b"no", "i/\xe9.txt": "\xe9".encode()}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    rows = {(r.doc_id, r.text, r.path) for r in read_txt_dir(spark, str(tmp_path), recursive=True).collect()}
+    monkeypatch.setattr(documents, "local_folder", lambda spark, path: None)
+    scan = read_txt_dir(spark, str(tmp_path), recursive=True)
+    assert {(r.doc_id, r.text, r.path) for r in scan.collect()} == rows and len(rows) == 5
+
+
+def test_files_of_rows_that_share_an_id_and_of_null_text(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "")], "doc_id long, text string")
+    names = wr.write_txt_files(docs, str(tmp_path / "txt"))
+    files = read_txt_dir(spark, str(tmp_path / "txt"), recursive=True).select("text", *wr.txt_file_place(F.col("path")))
+    got = [(r.doc_id, r.text) for r in names.join(files, ["folder", "place"]).collect()]
+    assert sorted(got) == [(1, "a\n"), (1, "b\n"), (2, "\n"), (3, "\n")]
+    assert "BinaryFile" not in files._jdf.queryExecution().toString()
