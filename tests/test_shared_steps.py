@@ -8,6 +8,8 @@ from slantwise.functions import grams
 from slantwise.functions import text as tx
 from slantwise.functions import textgrams
 from slantwise.operators import features as ft
+from slantwise.operators import linear as ln
+from slantwise.operators import training as tr
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -74,3 +76,25 @@ def test_topic_leakage_counts_only_pairs_of_frequent_tokens(spark, monkeypatch,
     if heavy > 1:
         # The pairs of all tokens would be ten times as many.
         assert pairs[1].count() * 10 < len([1 for _, term in counted if " " in term])
+
+
+@pytest.mark.parametrize("name", ["train_logreg"])
+def test_training_cleans_and_tokenises_once(spark, monkeypatch, name):
+    calls, tokenised = [], []
+    monkeypatch.setattr(fx, "normalize", lambda df, real=fx.normalize: calls.append(1) or real(df))
+    monkeypatch.setattr(tx, "content_tokens", lambda *a, real=tx.content_tokens: tokenised.append(1) or real(*a))
+    assert qs.REGISTRY[name](spark, SF_DIR).count()
+    assert len(calls) == len(tokenised) == 1
+
+
+def test_a_table_of_tokens_gives_the_same_model(spark):
+    docs = fx.clean_docs(spark, SF_DIR).where("label is not null")
+    tokens, tokenized = ft.token_table(docs)
+    plain, read = ft.vocabulary(docs, max_features=300), ft.vocabulary(tokens, tokenized, 300)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, read.collect()))
+    assert sorted(map(tuple, ft.tfidf_transform(docs, plain).collect())) == sorted(map(tuple, ft.tfidf_transform(tokens, plain, tokenized).collect()))
+    assert ft.vocabulary(tokens, tokenized).count() == ft.vocabulary(docs).count()
+    model = tr.train_logreg(tokens, plain, max_iter=3, analyzer=tokenized)
+    assert not model.analyzer.tokenized
+    scored = ln.linear_scores(docs, model.wide(), model.intercepts, analyzer=model.analyzer, normalize=False)
+    assert scored.count() == docs.count() and scored.where("z_0 is null").isEmpty()
