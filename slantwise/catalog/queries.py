@@ -217,8 +217,9 @@ def report_sink(spark, sf_dir):
 @query
 def model_tables(spark, sf_dir):
     path = scratch_path(spark, "model")
-    corpus = fx.clean_docs(spark, sf_dir)
-    tr.save_model(tr.train_logreg(corpus, fx.fitted_vocabulary(spark, sf_dir)), path)
+    corpus, tokenized = fx.token_docs(fx.clean_docs(spark, sf_dir))
+    vocab = fx.fitted_vocabulary(spark, sf_dir, tokenized, corpus)
+    tr.save_model(tr.train_logreg(corpus, vocab, analyzer=tokenized), path)
     exported = tr.export_terms(tr.load_model(spark, path))
     return exported.select("term", "idx", "idf", *[F.get("coef", F.lit(i)).alias(f"coef_{c}") for i, c in enumerate(K.CLASSES)])
 

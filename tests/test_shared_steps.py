@@ -78,7 +78,7 @@ def test_topic_leakage_counts_only_pairs_of_frequent_tokens(spark, monkeypatch,
         assert pairs[1].count() * 10 < len([1 for _, term in counted if " " in term])
 
 
-@pytest.mark.parametrize("name", ["train_logreg"])
+@pytest.mark.parametrize("name", ["train_logreg", "model_tables"])
 def test_training_cleans_and_tokenises_once(spark, monkeypatch, name):
     calls, tokenised = [], []
     monkeypatch.setattr(fx, "normalize", lambda df, real=fx.normalize: calls.append(1) or real(df))
