@@ -20,8 +20,9 @@ SLICE_TOKENS = 1 << 18
 PART, PARTS = 1 << 13, 64
 
 
-def slices(lists: pa.Array):
+def slices(lists: pa.Array, most: int | None = None):
     """Parts of a list array as ``(row of each token, number of rows, tokens)``; null rows are empty."""
+    most = min(most or SLICE_TOKENS, SLICE_TOKENS)
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
     lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     values = lists.flatten()
@@ -29,7 +30,7 @@ def slices(lists: pa.Array):
     start = 0
     while start < len(lengths):
         before = ends[start] - lengths[start]
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         rows = np.repeat(np.arange(stop - start), lengths[start:stop])
         yield rows, stop - start, values.slice(before, ends[stop - 1] - before)
         start = stop

@@ -16,6 +16,10 @@ from pyspark import cloudpickle
 from slantwise.functions.grams import TermIndex, lists_of, replaced, slices
 
 
+# Tokens looked up at once; each has a number for every shape.
+TRIED_TOKENS = 1 << 15
+
+
 def layout(low: int, high: int) -> tuple[list[int], list[tuple[int, int]]]:
     """Sizes of the n-grams that start at a token, and (size, tokens before the gap) of the bridging ones."""
     sizes = list(range(low, high + 1))
@@ -102,7 +106,7 @@ def with_falls(batches, parts_of_index: tuple, model: tuple, low: int, high: int
     shapes = [tuple(range(n)) for n in starts] + [(*range(-before, 0), *range(1, n - before + 1)) for n, before in bridges]
     for batch in batches:
         at = 0
-        for rows, count, tokens in slices(batch.column(batch.num_columns - 1)):
+        for rows, count, tokens in slices(batch.column(batch.num_columns - 1), TRIED_TOKENS):
             find = index.finder(index.coded(tokens), rows)
             cells = np.stack([find(shape) for shape in shapes], axis=1)
             sizes = np.bincount(rows, minlength=count)
